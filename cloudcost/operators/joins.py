@@ -1,0 +1,20 @@
+"""Join helpers with an explicit size check before a broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables above this many rows are joined by shuffle instead.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+
+    The check is a bounded count (``limit(max_rows + 1)``), so it reads at most
+    that many rows. Above the bound the frame is returned as is and Spark plans a
+    shuffle join (AQE can still switch to broadcast from runtime sizes).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
