@@ -9,12 +9,21 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.
 
     The check is a bounded count (``limit(max_rows + 1)``), so it reads at most
     that many rows. Above the bound the frame is returned as is and Spark plans a
-    shuffle join (AQE can still switch to broadcast from runtime sizes).
+    shuffle join (AQE can still switch to broadcast from runtime sizes). The
+    outcome is remembered per plan (``semanticHash``) for the session, so a
+    dimension used by several joins is counted once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    small = _CHECKED.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = small
+    return F.broadcast(df) if small else df

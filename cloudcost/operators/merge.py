@@ -42,6 +42,9 @@ def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
     if columns is None:
         columns = (target.columns if target is not None else batches[0].df.columns)
     values = [c for c in columns if c not in keys]
+    if target is None and len(batches) == 1:
+        # nothing to merge into: a batch is unique on its key already
+        return batches[0].df.select(*columns)
 
     untouched = None
     if target is not None and partition_col is not None:

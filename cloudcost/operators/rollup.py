@@ -24,29 +24,34 @@ SLB_COLUMNS = ["usage_date", "cloud_provider", "billing_account_id", "usage_acco
                "is_li_outside_of_month", "cost", "ext_cost"]
 
 
-def _rollup(df: DataFrame, provider: str, outside: bool, date_col: str, ws: dt.date, we: dt.date,
+def _rollup(df: DataFrame, provider: str, outside: bool | None, date_col: str, ws: dt.date, we: dt.date,
             billing_account: Column, usage_account: Column, account_name: Column | None,
             service_code: Column, service_name: Column, billing_type: Column,
             cost: Column, ext_cost: Column) -> DataFrame:
+    """In-month and outside-of-month rows of one provider.
+
+    ``outside=None`` computes both in ONE scan and ONE aggregation: the flag is
+    a grouping column, so the two row sets never mix. ``True``/``False`` keep
+    only one of them.
+    """
     d = F.col(date_col)
     bm = F.col("billing_month")
-    if outside:
-        cond = (bm >= F.lit(ws)) & ~same_month(bm, d)
-        usage_date = F.last_day(bm)
-    else:
-        cond = d.between(F.lit(ws), F.lit(we)) & same_month(bm, d)
-        usage_date = d
+    in_month = d.between(F.lit(ws), F.lit(we)) & same_month(bm, d)
+    out_month = (bm >= F.lit(ws)) & ~same_month(bm, d)
+    cond = in_month if outside is False else out_month if outside is True else (in_month | out_month)
+    flag = ~same_month(bm, d)
     rows = df.filter(cond).select(
-        usage_date.alias("usage_date"),
+        F.when(flag, F.last_day(bm)).otherwise(d).alias("usage_date"),
         billing_account.alias("billing_account_id"),
         usage_account.alias("usage_account_id"),
         (account_name if account_name is not None else F.lit(None).cast("string")).alias("_uan"),
         service_code.alias("service_code"),
         service_name.alias("_sn"),
         billing_type.alias("billing_type"),
+        flag.alias("is_li_outside_of_month"),
         cost.alias("_c"), ext_cost.alias("_e"))
     g = rows.groupBy("usage_date", "billing_account_id", "usage_account_id", "service_code",
-                     "billing_type").agg(
+                     "billing_type", "is_li_outside_of_month").agg(
         F.max("_uan").alias("usage_account_name"),
         F.max("_sn").alias("service_name"),
         F.sum("_c").cast(C.MONEY).alias("cost"),
@@ -54,10 +59,10 @@ def _rollup(df: DataFrame, provider: str, outside: bool, date_col: str, ws: dt.d
     return g.select(
         "usage_date", F.lit(provider).alias("cloud_provider"), "billing_account_id",
         "usage_account_id", "usage_account_name", "service_code", "service_name", "billing_type",
-        F.lit(outside).alias("is_li_outside_of_month"), "cost", "ext_cost")
+        "is_li_outside_of_month", "cost", "ext_cost")
 
 
-def rollup_huawei(hw: DataFrame, ws: dt.date, we: dt.date, outside: bool = False) -> DataFrame:
+def rollup_huawei(hw: DataFrame, ws: dt.date, we: dt.date, outside: bool | None = False) -> DataFrame:
     """cost = consume amount, ext cost = external official amount."""
     return _rollup(hw, C.HWC, outside, "bill_date", ws, we,
                    F.col("payer_account_id"), F.col("customer_id"), None,
@@ -66,7 +71,7 @@ def rollup_huawei(hw: DataFrame, ws: dt.date, we: dt.date, outside: bool = False
                    F.col("consume_amount"), F.col("ext_official_amount"))
 
 
-def rollup_gcp(gcp: DataFrame, ws: dt.date, we: dt.date, outside: bool = False) -> DataFrame:
+def rollup_gcp(gcp: DataFrame, ws: dt.date, we: dt.date, outside: bool | None = False) -> DataFrame:
     """cost = cost + credits (NULL as 0), both internal and external."""
     z = F.lit(0).cast(C.MONEY)
     return _rollup(gcp, C.GCP, outside, "usage_date", ws, we,
@@ -76,7 +81,7 @@ def rollup_gcp(gcp: DataFrame, ws: dt.date, we: dt.date, outside: bool = False)
                    F.coalesce("ext_cost", z) + F.coalesce("ext_credits", z))
 
 
-def rollup_aws(aws: DataFrame, ws: dt.date, we: dt.date, outside: bool = False) -> DataFrame:
+def rollup_aws(aws: DataFrame, ws: dt.date, we: dt.date, outside: bool | None = False) -> DataFrame:
     """cost = unblended, ext cost = external unblended; no billing account."""
     return _rollup(aws, C.AWS, outside, "usage_date", ws, we,
                    F.lit(""), F.col("usage_account_id"), None,
@@ -85,14 +90,10 @@ def rollup_aws(aws: DataFrame, ws: dt.date, we: dt.date, outside: bool = False)
 
 
 def service_level_rows(aws: DataFrame, gcp: DataFrame, hw: DataFrame, ws: dt.date, we: dt.date) -> DataFrame:
-    """The six rollups in one frame (union, no shuffle of its own)."""
-    parts = [rollup_huawei(hw, ws, we, False), rollup_huawei(hw, ws, we, True),
-             rollup_gcp(gcp, ws, we, False), rollup_gcp(gcp, ws, we, True),
-             rollup_aws(aws, ws, we, False), rollup_aws(aws, ws, we, True)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The six rollups (three fused in/outside-month aggregations) in one frame."""
+    return (rollup_huawei(hw, ws, we, None)
+            .unionByName(rollup_gcp(gcp, ws, we, None))
+            .unionByName(rollup_aws(aws, ws, we, None)))
 
 
 def with_parent_category(slb: DataFrame, service_types: DataFrame) -> DataFrame:

@@ -48,6 +48,14 @@ class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.d = spark, sf_dir
 
+    def _table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a loaded table once (parquet under the shared checkpoint folder)
+        and read it back: consumers then scan it with pruning and pushdown
+        instead of re-deriving it from raw exports, and its lineage is cut."""
+        path = scratch_path(self.spark, f"{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     # raw inputs ---------------------------------------------------------
     @cached_property
     def cur(self) -> DataFrame:
@@ -71,10 +79,10 @@ class Fixture:
 
     @cached_property
     def view(self) -> DataFrame:
-        return fx.amortized_view(self.spark, self.d)
+        return fx.amortized_view(self.spark, self.d, self.cur)
 
     def external_cur(self) -> DataFrame:
-        fx.register_cur_external_tables(self.spark, self.d)
+        fx.register_cur_external_tables(self.spark, self.d, self.cur)
         names = loads.list_tables(self.spark, fx.CUR_EXT_PREFIX, {fx.EXCLUDED_CUR_TABLE})
         return loads.union_tables(self.spark, names)
 
@@ -110,15 +118,15 @@ class Fixture:
     # loaded tables ------------------------------------------------------
     @cached_property
     def aws_daily(self) -> DataFrame:
-        return loads.aws_load(self.cur, self.external_cur(), self.view, WS, WE)
+        return self._table(loads.aws_load(self.cur, self.external_cur(), self.view, WS, WE), "aws_daily")
 
     @cached_property
     def gcp_daily(self) -> DataFrame:
-        return loads.gcp_load(self.gcp_export, WS, WE)
+        return self._table(loads.gcp_load(self.gcp_export, WS, WE), "gcp_daily")
 
     @cached_property
     def hw_daily(self) -> DataFrame:
-        return loads.huawei_load(self.hw_records, self.hw_external_records, WS, WE)
+        return self._table(loads.huawei_load(self.hw_records, self.hw_external_records, WS, WE), "hw_daily")
 
     def slb_at(self, as_of: dt.date, run_ts: dt.datetime) -> DataFrame:
         return billing.service_level_billing(self.aws_daily, self.gcp_daily, self.hw_daily,
@@ -126,7 +134,7 @@ class Fixture:
 
     @cached_property
     def slb(self) -> DataFrame:
-        return self.slb_at(AS_OF, RUN_TS)
+        return self._table(self.slb_at(AS_OF, RUN_TS), "service_level")
 
     @cached_property
     def daily_pricing(self) -> DataFrame:

@@ -44,8 +44,18 @@ EXCLUDED_CUR_TABLE = "cur_ext_excluded"
 CUR_EXT_PREFIX = "cur_ext_"
 
 
+_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of one driver table; the DataFrame (schema + file listing) is
+    reused within a session instead of re-reading parquet footers."""
+    key = (id(spark), sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 def _s(c) -> Column:
@@ -121,28 +131,28 @@ def cur_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cur_external_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def cur_external_tables(spark: SparkSession, sf_dir: str, cur: DataFrame | None = None) -> dict[str, DataFrame]:
     """The same line items split over three external CUR tables, plus one
     table the fan-in must exclude."""
-    cur = cur_line_items(spark, sf_dir)
+    cur = cur if cur is not None else cur_line_items(spark, sf_dir)
     acct = F.col("line_item_usage_account_id").cast("bigint")
     out = {f"{CUR_EXT_PREFIX}{i}": cur.filter(acct % 3 == i) for i in range(3)}
     out[EXCLUDED_CUR_TABLE] = cur.filter(acct % 3 == 0)
     return out
 
 
-def register_cur_external_tables(spark: SparkSession, sf_dir: str) -> list[str]:
+def register_cur_external_tables(spark: SparkSession, sf_dir: str, cur: DataFrame | None = None) -> list[str]:
     names = []
-    for name, df in cur_external_tables(spark, sf_dir).items():
+    for name, df in cur_external_tables(spark, sf_dir, cur).items():
         df.createOrReplaceTempView(name)
         names.append(name)
     return names
 
 
-def amortized_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def amortized_view(spark: SparkSession, sf_dir: str, cur: DataFrame | None = None) -> DataFrame:
     """Pre-aggregated (daily-shaped) amortized-cost view of the 'A' flag lines,
     with partition columns year/month."""
-    cur = cur_line_items(spark, sf_dir)
+    cur = cur if cur is not None else cur_line_items(spark, sf_dir)
     sub = cur.filter(F.col("line_item_line_item_type").isin("Usage", "DiscountedUsage"))
     bm = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
     return (sub.groupBy(
