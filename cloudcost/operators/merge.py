@@ -66,23 +66,28 @@ def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
     for f in frames[1:]:
         u = u.unionByName(f)
 
-    owned_by = {c: [i for i, b in enumerate(batches, start=1) if c in b.update_cols] for c in values}
-    aggs: list[Column] = []
+    owned_by = {c: tuple(i for i, b in enumerate(batches, start=1) if c in b.update_cols) for c in values}
+    # columns with the same owners are picked together: one max_by per owner
+    # set (plus one min_by for the first row) instead of two per column
+    groups: dict[tuple[int, ...], list[str]] = {}
     for c in values:
-        first = F.min_by(F.col(c), F.col(_SEQ))
-        owners = owned_by[c]
-        if owners:
-            rank = F.when(F.col(_SEQ).isin(*owners), F.col(_SEQ))
-            last_owner = F.max_by(F.struct(F.col(c).alias("v")), rank)
-            aggs.append(F.struct(last_owner.alias("o"), first.alias("f")).alias(c))
-        else:
-            aggs.append(first.alias(c))
+        if owned_by[c]:
+            groups.setdefault(owned_by[c], []).append(c)
+    aggs: list[Column] = [F.min_by(F.struct(*[F.col(c) for c in values]), F.col(_SEQ)).alias("__first")]
+    for n, (owners, cols) in enumerate(groups.items()):
+        rank = F.when(F.col(_SEQ).isin(*owners), F.col(_SEQ))
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias(f"__own{n}"))
     merged = u.groupBy(*keys).agg(*aggs)
 
+    where = {c: n for n, (_, cols) in enumerate(groups.items()) for c in cols}
+
     def pick(c: str) -> Column:
-        if c in keys or not owned_by[c]:
+        if c in keys:
             return F.col(c)
-        return F.when(F.col(f"{c}.o").isNotNull(), F.col(f"{c}.o.v")).otherwise(F.col(f"{c}.f")).alias(c)
+        if c not in where:
+            return F.col(f"__first.{c}").alias(c)
+        own = f"__own{where[c]}"
+        return F.when(F.col(own).isNotNull(), F.col(f"{own}.{c}")).otherwise(F.col(f"__first.{c}")).alias(c)
     out = merged.select(*[pick(c) for c in columns])
     if untouched is not None:
         out = out.unionByName(untouched)

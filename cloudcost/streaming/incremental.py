@@ -67,6 +67,7 @@ def run_fixture_stream(spark: SparkSession, export: DataFrame, ws: dt.date, we:
     and return the final daily table (equal to the batch A3 over the window)."""
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/_checkpoint"
-    export.write.mode("overwrite").partitionBy("partition_date").parquet(landing)
+    # one file per ingestion day, as an export job would land them
+    export.repartition("partition_date").write.mode("overwrite").partitionBy("partition_date").parquet(landing)
     gcp_incremental_load(spark, landing, table, ckpt, ws, we, max_lag_days=2, files_per_trigger=8)
     return read_daily_table(spark, table)
