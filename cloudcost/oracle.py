@@ -685,6 +685,30 @@ FINAL: dict[str, str] = {
         COALESCE(project_id, '') AS project_id, service_description AS service_name, region,
         credit_sum AS credits_total, credits_null AS credits_missing, usage_unit FROM gcp""",
     "stream_incremental_daily": "SELECT * FROM gcp_daily",
+    "cur_v1_period_scan": """SELECT d AS usage_date, line_item_usage_account_id, line_item_line_item_type,
+        line_item_unblended_cost FROM cur WHERE CAST(year AS INTEGER) = 2001 AND CAST(month AS INTEGER) = 7""",
+    "cur_v2_period_scan": """SELECT d AS usage_date, line_item_usage_account_id, product_servicename AS service_name,
+        product_region AS region FROM cur WHERE billing_period = '2001-07'""",
+    "gcp_partition_scan": """SELECT CAST(usage_start_time AS DATE) AS usage_date, partition_date, billing_account_id,
+        project_id, cost FROM gcp WHERE partition_date BETWEEN DATE '2001-07-11' AND DATE '2001-07-20'""",
+    "huawei_typed_records": """SELECT bill_date, CAST(cycle || '-01' AS DATE) AS billing_month,
+        COALESCE(payer_account_id, '') AS payer_account_id, COALESCE(customer_id, '') AS customer_id,
+        COALESCE(enterprise_project_id, '') AS enterprise_project_id,
+        COALESCE(enterprise_project_name, '') AS enterprise_project_name,
+        COALESCE(cloud_service_type, '') AS cloud_service_type,
+        COALESCE(cloud_service_type_name, '') AS cloud_service_type_name, COALESCE(sku_code, '') AS sku_code,
+        COALESCE(product_spec_desc, '') AS product_spec_desc, COALESCE(resource_type_code, '') AS resource_type_code,
+        COALESCE(resource_type_name, '') AS resource_type_name, COALESCE(resource_name, '') AS resource_name,
+        COALESCE(region, '') AS region, COALESCE(region_name, '') AS region_name,
+        CAST(charge_mode AS INTEGER) AS charge_mode, CAST(bill_type AS INTEGER) AS bill_type,
+        consume_amount, debt_amount, official_amount FROM hw""",
+    "pricing_start_bounds": "SELECT MIN(start_date) AS min_start, MAX(start_date) AS max_start FROM pricing",
+    "distinct_accounts_in_range": """SELECT DISTINCT line_item_usage_account_id FROM cur
+        WHERE year = '2001' AND d BETWEEN DATE '2001-07-01' AND DATE '2001-07-31'""",
+    "daily_pricing_join": "SELECT product_id, organization_id, usage_date, cloud_provider, c AS cost, "
+                          "ad AS after_discount_cost FROM calc_ext",
+    "amortized_by_product": """SELECT b.product_id, a.usage_date, a.billing_entity, a.cost
+        FROM amort a JOIN bem b ON a.billing_entity = b.billing_entity""",
 }
 
 

@@ -595,3 +595,58 @@ def _q_ss(f: Fixture) -> DataFrame:
 @query("stream_incremental_daily")
 def _q_r1(f: Fixture) -> DataFrame:
     return incremental.run_fixture_stream(f.spark, f.gcp_export, WS, WE)
+
+
+# --- operators that the flows use internally, each with its own key ------------------------
+
+@query("cur_v1_period_scan")
+def _q_s1(f: Fixture) -> DataFrame:
+    rows = f.cur.filter(cur_src.period_predicate(cur_src.V1, Y, M))
+    return rows.select(F.to_date(cur_src.TS).alias("usage_date"), "line_item_usage_account_id",
+                       "line_item_line_item_type", "line_item_unblended_cost")
+
+
+@query("cur_v2_period_scan")
+def _q_s2(f: Fixture) -> DataFrame:
+    rows = f.cur.filter(cur_src.period_predicate(cur_src.V2, Y, M))
+    return rows.select(F.to_date(cur_src.TS).alias("usage_date"), "line_item_usage_account_id",
+                       F.expr(cur_src.V2.service_name).alias("service_name"),
+                       F.col(cur_src.V2.region).alias("region"))
+
+
+@query("gcp_partition_scan")
+def _q_s4(f: Fixture) -> DataFrame:
+    lo, hi = refresh_window(REFRESH_AS_OF, C.GCP, first_run=False)
+    rows = f.gcp_export.filter(F.col("partition_date").between(F.lit(lo), F.lit(hi)))
+    return rows.select(F.to_date("usage_start_time").alias("usage_date"), "partition_date",
+                       "billing_account_id", F.col("project.id").alias("project_id"), "cost")
+
+
+@query("huawei_typed_records")
+def _q_s12(f: Fixture) -> DataFrame:
+    return daily.huawei_typed(f.hw_records)
+
+
+@query("pricing_start_bounds")
+def _q_a17(f: Fixture) -> DataFrame:
+    return f.pricing_rows.agg(F.min("start_date").alias("min_start"), F.max("start_date").alias("max_start"))
+
+
+@query("distinct_accounts_in_range")
+def _q_u4(f: Fixture) -> DataFrame:
+    lines = f.cur.filter((F.col("year") == str(Y)) & reports.ts_date_between(cur_src.TS, REPORT_LO, REPORT_HI))
+    return lines.select("line_item_usage_account_id").distinct()
+
+
+@query("daily_pricing_join")
+def _q_j3(f: Fixture) -> DataFrame:
+    x = costs._costs_with_pricing(f.slb, f.external_products, f.product_accounts, f.daily_pricing,
+                                  PREV_START, AS_OF)
+    return x.select("product_id", "organization_id", "usage_date", "cloud_provider",
+                    F.col("c").alias("cost"), F.col("ad").alias("after_discount_cost"))
+
+
+@query("amortized_by_product")
+def _q_j7(f: Fixture) -> DataFrame:
+    return (f.amortized.join(f.billing_entity_map, "billing_entity")
+            .select("product_id", "usage_date", "billing_entity", "cost"))

@@ -61,6 +61,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def _fact(spark: SparkSession, sf_dir: str, name: str, spread: int | None) -> DataFrame:
+    """A driver fact table; ``spread`` re-partitions it round-robin first so the
+    per-row adapter work runs on every core (the driver tables are single
+    row groups, i.e. one scan task). Used when landing the exports."""
+    df = table(spark, sf_dir, name)
+    return df.repartition(spread) if spread else df
+
+
 def _s(c) -> Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
@@ -73,9 +81,9 @@ def _dec(c: str, t: str = C.MONEY) -> Column:
 # AWS Cost and Usage Report line items
 # ---------------------------------------------------------------------------
 
-def cur_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cur_line_items(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
     """lineitem x part x supplier as CUR (v1 and v2 columns side by side)."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = _fact(spark, sf_dir, "lineitem", spread).select(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
@@ -189,8 +197,8 @@ def org_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # GCP billing export
 # ---------------------------------------------------------------------------
 
-def gcp_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def gcp_export(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
+    ev = _fact(spark, sf_dir, "events", spread)
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
     ev = ev.select("event_id", "user_id", "event_type", "value",
                    (F.col("ts") - F.expr(f"INTERVAL {GCP_SHIFT_DAYS} DAYS")).alias("usage_start_time"),
@@ -238,8 +246,8 @@ def gcp_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Huawei bill records (flat, as in the JSON payload)
 # ---------------------------------------------------------------------------
 
-def huawei_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+def huawei_records(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
+    o = _fact(spark, sf_dir, "orders", spread)
     bd = F.to_date("o_orderdate")
     m0 = F.trunc(bd, "MM")
     cycle = F.date_format(F.when(F.col("o_orderkey") % 9 == 0, F.add_months(m0, 1)).otherwise(m0), "yyyy-MM")
@@ -371,8 +379,8 @@ def existing_billings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # above are landed once per session and driver folder in that layout (under
 # the shared checkpoint folder); every query then scans the landed files, with
 # partition pruning on the period columns, exactly as it would scan real
-# exports. Landing also spreads each export over several files, so the scans
-# are parallel even though every driver table is a single row group.
+# exports. Landing also spreads each export over many files, so the scans are
+# parallel even though every driver table is a single parquet row group.
 
 _LANDED: dict[tuple[str, str], dict[str, str]] = {}
 
@@ -388,11 +396,13 @@ def landed_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
     n = max(spark.sparkContext.defaultParallelism, 2)
     paths = {"cur": f"{base}/cur", "gcp": f"{base}/gcp", "huawei": f"{base}/huawei"}
-    cur = cur_line_items(spark, sf_dir)
-    cur.repartition(n).write.partitionBy("year", "month").parquet(paths["cur"])
-    gcp = gcp_export(spark, sf_dir)
-    gcp.repartition(n).write.partitionBy("partition_date").parquet(paths["gcp"])
-    write_huawei_pages(huawei_records(spark, sf_dir).repartition(n), paths["huawei"])
+    cur = cur_line_items(spark, sf_dir, spread=n)
+    # one file per billing period / ingestion day; Spark packs small files into
+    # about one split per core when it reads a window of them
+    cur.repartition(n, "year", "month").write.partitionBy("year", "month").parquet(paths["cur"])
+    gcp = gcp_export(spark, sf_dir, spread=n)
+    gcp.repartition(n, "partition_date").write.partitionBy("partition_date").parquet(paths["gcp"])
+    write_huawei_pages(huawei_records(spark, sf_dir, spread=n), paths["huawei"])
     paths["cur_schema"] = cur.schema.json()
     paths["gcp_schema"] = gcp.schema.json()
     _LANDED[key] = paths
