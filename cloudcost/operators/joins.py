@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import app_id
+
 # Dimension tables above this many rows are joined by shuffle instead.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-_CHECKED: dict[tuple[int, int], bool] = {}
+_CHECKED: dict[tuple[str, int, int], bool] = {}
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -21,7 +23,7 @@ def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     outcome is remembered per plan (``semanticHash``) for the session, so a
     dimension used by several joins is counted once.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
     small = _CHECKED.get(key)
     if small is None:
         small = df.limit(max_rows + 1).count() <= max_rows

@@ -53,15 +53,22 @@ def date_spine(spark: SparkSession, pricing: DataFrame, as_of: dt.date) -> DataF
     return spark.range(n).select(F.date_add(F.lit(lo), F.col("id").cast("int")).alias("pricing_date"))
 
 
-def daily_org_pricing(pricing: DataFrame, as_of: dt.date) -> DataFrame:
+def daily_org_pricing(pricing: DataFrame, as_of: dt.date,
+                      clip: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """One row per (day, organization, provider) with the fees in force.
 
     The range join ``day >= start AND day < next`` becomes a per-row explode of
     ``sequence(start, next - 1)``; empty intervals are dropped first (sequence
     would count backwards otherwise). Work is spread over the pricing rows.
+    ``clip=(lo, hi)`` cuts every interval to the days a consumer needs *before*
+    exploding (a filter on the generated day cannot be pushed below the explode).
     """
-    iv = pricing_validity_intervals(pricing, as_of).filter(F.col("start_date") < F.col("next_start_date"))
-    days = F.explode(F.sequence(F.col("start_date"), F.date_sub(F.col("next_start_date"), 1)))
+    iv = pricing_validity_intervals(pricing, as_of)
+    lo, hi = F.col("start_date"), F.date_sub(F.col("next_start_date"), 1)
+    if clip is not None:
+        lo, hi = F.greatest(lo, F.lit(clip[0])), F.least(hi, F.lit(clip[1]))
+    iv = iv.select("*", lo.alias("_lo"), hi.alias("_hi")).filter(F.col("_lo") <= F.col("_hi"))
+    days = F.explode(F.sequence(F.col("_lo"), F.col("_hi")))
     z = F.lit(0).cast(C.PERCENT)
     return iv.select(days.alias("pricing_date"), *PRICING_KEY,
                      *[F.coalesce(F.col(c).cast(C.PERCENT), z).alias(c) for c in FEES])

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.dates import add_months, first_of_month, previous_month, rollup_window
+from ..functions.dates import add_months, first_of_month, previous_month, rollup_window, same_month
 from ..operators import costs, pricing, rollup
+from ..operators.joins import broadcast_checked
 from ..operators.merge import Batch, keyed_merge, upsert_all, window_delete
 
 SLB_OUT = rollup.SLB_COLUMNS[:9] + ["parent_category", "cost", "ext_cost", "last_updated_at"]
@@ -87,34 +88,55 @@ def customer_daily_cost(slb: DataFrame, aws_daily: DataFrame, products: DataFram
     """
     start = add_months(first_of_month(as_of), -1)
     prods = costs.products_with_org(products, organizations, external_only=True)
-    cc = costs.customer_cost_per_day(slb, prods, product_accounts, daily_pricing, start, as_of)
-    inm = costs.payer_cost_in_month(aws_daily, prods, product_accounts, start, as_of) \
-        .withColumnRenamed("cost", "_in")
-    out = costs.payer_cost_outside_month(aws_daily, prods, product_accounts, start) \
-        .withColumnRenamed("cost", "_out")
+    k = ["product_id", "organization_id", "usage_date", "cloud_provider"]
+    z = F.lit(0).cast(C.MONEY)
+    none = F.lit(None).cast(C.MONEY)
+    # customer-cost rows (A13 input) and AWS payer-cost rows (A15/A16 input) are
+    # unioned and aggregated ONCE on (product, org, day, provider): one shuffle
+    # instead of three aggregations and two shuffle joins
+    cc_rows = costs._costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, as_of).select(
+        *k, "c", "ad", "hf", "sf", none.alias("_in"), none.alias("_out"), F.lit(True).alias("_cc"))
+    acc = costs.product_account_map(prods, product_accounts)
+    a = aws_daily.filter(F.col("billing_type") != "Tax")
+    inm = (a.filter(F.col("usage_date").between(F.lit(start), F.lit(as_of))
+                    & same_month(F.col("usage_date"), F.col("billing_month")))
+           .select("usage_account_id", "usage_date", F.col("net_unblended_cost").alias("_in"),
+                   none.alias("_out")))
+    outm = (a.filter(~same_month(F.col("usage_date"), F.col("billing_month"))
+                     & (F.col("billing_month") >= F.lit(start)))
+            .select("usage_account_id", F.last_day("billing_month").alias("usage_date"),
+                    none.alias("_in"), F.col("net_unblended_cost").alias("_out")))
+    payer = inm.unionByName(outm)
+    payer = payer.join(broadcast_checked(acc), payer["usage_account_id"] == acc["account_id"]).select(
+        "product_id", "organization_id", "usage_date", F.lit(C.AWS).alias("cloud_provider"),
+        none.alias("c"), none.alias("ad"), none.alias("hf"), none.alias("sf"), "_in", "_out",
+        F.lit(False).alias("_cc"))
+    g = cc_rows.unionByName(payer).groupBy(*k).agg(
+        F.sum("c").cast(C.MONEY).alias("cost"),
+        F.sum("ad").cast(C.MONEY).alias("after_discount_cost"),
+        F.sum("hf").cast(C.MONEY).alias("handling_fee"),
+        F.sum("sf").cast(C.MONEY).alias("support_fee"),
+        F.sum("_in").alias("_in"), F.sum("_out").alias("_out"),
+        F.max("_cc").alias("_cc"))
+    cc = g.filter("_cc")   # only (day, provider) pairs that have customer-cost rows
     am = (amortized.join(billing_entity_map, "billing_entity")
           .select("product_id", "usage_date", F.col("cost").alias("_am")))
-    k = ["product_id", "organization_id", "usage_date"]
     aws = F.col("cloud_provider") == C.AWS
-    # the payer-cost lookups only apply to AWS rows
-    j = (cc.join(prods, ["product_id", "organization_id"])
-         .join(inm, k, "left")
-         .join(out, k, "left")
+    j = (cc.join(broadcast_checked(prods), ["product_id", "organization_id"])
          .join(am, ["product_id", "usage_date"], "left"))
-    z = F.lit(0).cast(C.MONEY)
     regular_aws = (F.coalesce("_in", z) + F.coalesce("_out", z)).cast(C.MONEY)
-    payer = (F.when(F.col("cloud_provider") == C.HWC,
-                    (F.col("cost") * F.lit(hwc_factor).cast("decimal(3,2)")).cast(C.MONEY))
-             .when(aws & F.col("exceptional"), F.coalesce("_am", z))
-             .when(aws, regular_aws)
-             .otherwise(F.col("after_discount_cost")))
+    payer_cost = (F.when(F.col("cloud_provider") == C.HWC,
+                         (F.col("cost") * F.lit(hwc_factor).cast("decimal(3,2)")).cast(C.MONEY))
+                  .when(aws & F.col("exceptional"), F.coalesce("_am", z))
+                  .when(aws, regular_aws)
+                  .otherwise(F.col("after_discount_cost")))
     return j.select(
         F.col("usage_date").alias("day"),
         F.col("organization_id").alias("mc_org_id"),
         F.col("organization_name").alias("mc_org_name"),
         F.col("product_name").alias("customer_name"),
         "cloud_provider",
-        payer.cast(C.MONEY).alias("payer_cost"),
+        payer_cost.cast(C.MONEY).alias("payer_cost"),
         (F.col("after_discount_cost") + F.col("handling_fee") + F.col("support_fee")).cast(C.MONEY)
         .alias("customer_cost"),
         (~F.col("internal")).alias("external"))

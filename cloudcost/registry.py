@@ -167,6 +167,11 @@ class Fixture:
     def daily_pricing(self) -> DataFrame:
         return pricing.daily_org_pricing(self.pricing_rows, AS_OF)
 
+    @cached_property
+    def daily_pricing_window(self) -> DataFrame:
+        """Daily pricing cut to the days the invoice / customer-cost runs read."""
+        return pricing.daily_org_pricing(self.pricing_rows, AS_OF, clip=(PREV_START, AS_OF))
+
     @cached_property
     def external_products(self) -> DataFrame:
         return costs.products_with_org(self.products, self.organizations, external_only=True)
@@ -177,12 +182,12 @@ class Fixture:
 
     def customer_daily_cost(self) -> DataFrame:
         return billing.customer_daily_cost(self.slb, self.aws_daily, self.products, self.organizations,
-                                           self.product_accounts, self.daily_pricing, self.amortized,
+                                           self.product_accounts, self.daily_pricing_window, self.amortized,
                                            self.billing_entity_map, AS_OF)
 
     def monthly_invoice(self) -> DataFrame:
         return billing.monthly_invoice(self.slb, self.products, self.organizations, self.product_accounts,
-                                       self.daily_pricing, self.pricing_rows, self.billings, AS_OF)
+                                       self.daily_pricing_window, self.pricing_rows, self.billings, AS_OF)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,14 +443,14 @@ def _q_j2(f: Fixture) -> DataFrame:
 
 @query("customer_cost_per_day")
 def _q_a13(f: Fixture) -> DataFrame:
-    return costs.customer_cost_per_day(f.slb, f.external_products, f.product_accounts, f.daily_pricing,
+    return costs.customer_cost_per_day(f.slb, f.external_products, f.product_accounts, f.daily_pricing_window,
                                        PREV_START, AS_OF)
 
 
 @query("invoice_provider_cost")
 def _q_a14(f: Fixture) -> DataFrame:
     prods = costs.products_with_org(f.products, f.organizations)
-    return costs.invoice_provider_cost(f.slb, prods, f.product_accounts, f.daily_pricing, PREV_START, PREV_END)
+    return costs.invoice_provider_cost(f.slb, prods, f.product_accounts, f.daily_pricing_window, PREV_START, PREV_END)
 
 
 @query("payer_cost_in_month")
@@ -640,7 +645,7 @@ def _q_u4(f: Fixture) -> DataFrame:
 
 @query("daily_pricing_join")
 def _q_j3(f: Fixture) -> DataFrame:
-    x = costs._costs_with_pricing(f.slb, f.external_products, f.product_accounts, f.daily_pricing,
+    x = costs._costs_with_pricing(f.slb, f.external_products, f.product_accounts, f.daily_pricing_window,
                                   PREV_START, AS_OF)
     return x.select("product_id", "organization_id", "usage_date", "cloud_provider",
                     F.col("c").alias("cost"), F.col("ad").alias("after_discount_cost"))

@@ -19,6 +19,9 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # CPU-heavy aggregations (decimal sums, max_by structs) over small shuffles
+    # should not be squeezed into one task; irrelevant once partitions are large
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -55,10 +58,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not cdir:
         cdir = tempfile.mkdtemp(prefix="cloudcost-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cdir)
-    spark.sparkContext.setCheckpointDir(cdir)
+    try:
+        spark.sparkContext.setCheckpointDir(cdir)
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session
+        pass
     return cdir
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (for per-session memos)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Default parallelism of the session (cores of the cluster)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism", None) or 8)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

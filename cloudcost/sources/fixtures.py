@@ -386,15 +386,15 @@ _LANDED: dict[tuple[str, str], dict[str, str]] = {}
 
 
 def landed_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    from ..session import scratch_path
+    from ..session import app_id, parallelism, scratch_path
     from .files import write_huawei_pages
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     paths = _LANDED.get(key)
     if paths is not None:
         return paths
     base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
-    n = max(spark.sparkContext.defaultParallelism, 2)
+    n = max(parallelism(spark), 2)
     paths = {"cur": f"{base}/cur", "gcp": f"{base}/gcp", "huawei": f"{base}/huawei"}
     cur = cur_line_items(spark, sf_dir, spread=n)
     # one file per billing period / ingestion day; Spark packs small files into
