@@ -45,6 +45,13 @@ def scan_view_window(view: DataFrame, ws: dt.date, we: dt.date) -> DataFrame:
         zero.alias("blended_cost"), zero.alias("net_unblended_cost"))
 
 
+def aws_cleanup_applies(as_of: dt.date, cleanup: bool) -> bool:
+    """K9 runs only when asked for and only on a full-refresh day (the reload
+    window then covers everything the delete removes)."""
+    from .. import config as C
+    return cleanup and as_of.day in C.AWS_FULL_REFRESH_DAYS
+
+
 def aws_window_delete(existing: DataFrame, as_of: dt.date) -> DataFrame:
     """K9: before a reload, drop rows with usage date and billing month both on
     or after the first of the previous month."""
