@@ -52,8 +52,10 @@ def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
         for b in batches:
             p = b.df.select(partition_col)
             parts = p if parts is None else parts.unionByName(p)
-        parts = parts.distinct()
-        # a handful of months: Spark's size estimate makes this a broadcast semi/anti join
+        # the distinct partition values of an update (months of a refresh
+        # window) are a short list: broadcast it so the target is never
+        # shuffled by month (a handful of huge partitions)
+        parts = F.broadcast(parts.distinct())
         untouched = target.join(parts, partition_col, "left_anti").select(*columns)
         target = target.join(parts, partition_col, "left_semi")
 

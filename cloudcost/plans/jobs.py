@@ -1,131 +1,163 @@
-"""Runnable jobs: read the current tables, compute, publish a new version.
-
-Spark cannot overwrite a path it is reading, so every job writes a *new*
-version folder under the table's base path and then moves the table's pointer
-(a one-line text file written through Spark, so it works on any shared file
-system). Readers follow the pointer. A failed or killed job leaves the pointer
-on the previous complete version; re-running it is safe. Tables are
-partitioned by month so later scans prune.
+"""Runnable jobs: read the current tables, compute, write back only what changed.
+
+Daily and service-level tables are partitioned by month. A run reads only the
+month partitions its refresh window touches (partition pruning), merges them
+with the new loads, writes the result to a staging folder under the shared
+checkpoint folder, and then replaces exactly those partitions of the table with
+dynamic partition overwrite. Staging first is what makes this legal: Spark
+cannot overwrite partitions it is still reading. Untouched history is never
+read or copied. A killed run leaves the previous partitions in place (the
+overwrite happens only after staging completed); a re-run is idempotent.
+
+Small tables that are rebuilt as a whole (daily pricing) and append-only tables
+(invoices, with the duplicate guard) are written directly.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from ..functions.dates import refresh_window
+from ..functions.dates import add_months, first_of_month, refresh_window, rollup_window
 from ..operators.merge import append_new
+from ..session import scratch_path
 from ..sources import cur as cur_src
 from ..sources import files
 from . import billing, loads
 
-POINTER = "_current"
 
-
-def current(spark: SparkSession, base: str) -> DataFrame | None:
-    """The published version of a table, or None before its first run."""
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before its first run."""
     try:
-        ptr = spark.read.text(f"{base}/{POINTER}").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+        return spark.read.parquet(path)
+    except AnalysisException:
         return None
-    return spark.read.parquet(ptr["value"]) if ptr else None
 
 
-def publish(df: DataFrame, base: str, version: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version and point the table at it."""
-    path = f"{base}/v={version}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def months_between(lo: dt.date, hi: dt.date) -> list[dt.date]:
+    """First days of the months from ``lo`` to ``hi`` (a short, bounded list)."""
+    out, m = [], first_of_month(lo)
+    while m <= hi:
+        out.append(m)
+        m = add_months(m, 1)
+    return out
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Stage ``df`` (cuts its lineage to the table it may read), then replace
+    only the partitions present in it."""
     spark = df.sparkSession
-    spark.createDataFrame([(path,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/{POINTER}")
-    return path
+    staging = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(staging)
+    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
-def _version(run_ts: dt.datetime) -> str:
-    return run_ts.strftime("%Y%m%dT%H%M%S")
+def _touched(existing: DataFrame | None, col: str, months: list[dt.date]) -> DataFrame | None:
+    return None if existing is None else existing.filter(F.col(col).isin(*months))
 
 
 def run_aws_load(spark: SparkSession, cur_path: str, external_tables: list[str], view_tables: list[str],
-                 out_base: str, as_of: dt.date, run_ts: dt.datetime, first_run: bool = False,
-                 cleanup: bool = False) -> str:
-    """F1 as a job: internal CUR (parquet, year/month partitions), external CUR
-    tables and amortized views from the catalog, merged into the daily table."""
+                 table_path: str, as_of: dt.date, first_run: bool = False, cleanup: bool = False) -> list[dt.date]:
+    """internal CUR (parquet, year/month partitions), external CUR tables and
+    amortized views from the catalog, merged into the daily table's touched months.
+
+    Returns the billing months rewritten."""
     ws, we = refresh_window(as_of, "AWS", first_run)
-    existing = current(spark, out_base)
+    months = months_between(ws, we)
+    target = _touched(read_table(spark, table_path), "billing_month", months)
     ext = loads.union_tables(spark, external_tables) if external_tables else None
     views = loads.union_tables(spark, view_tables) if view_tables else None
     delete = as_of if loads.aws_cleanup_applies(as_of, cleanup) else None
-    out = loads.aws_load(cur_src.read_cur(spark, cur_path), ext, views, ws, we, existing=existing,
+    out = loads.aws_load(cur_src.read_cur(spark, cur_path), ext, views, ws, we, existing=target,
                          delete_window_as_of=delete)
-    return publish(out, out_base, _version(run_ts), ["billing_month"])
+    overwrite_partitions(out, table_path, ["billing_month"])
+    return months
 
 
-def run_gcp_load(spark: SparkSession, export_path: str, out_base: str, as_of: dt.date,
-                 run_ts: dt.datetime, first_run: bool = False) -> str:
-    """F2 as a job: export partitioned by ingestion date -> daily -> merge."""
+def run_gcp_load(spark: SparkSession, export_path: str, table_path: str, as_of: dt.date,
+                 first_run: bool = False) -> list[dt.date]:
+    """export partitioned by ingestion date -> daily -> merge into the usage
+    months the window touches."""
     ws, we = refresh_window(as_of, "GCP", first_run)
-    out = loads.gcp_load(spark.read.parquet(export_path), ws, we, existing=current(spark, out_base))
-    return publish(out.withColumn("usage_month", F.trunc("usage_date", "MM")), out_base, _version(run_ts),
-                   ["usage_month"])
-
-
-def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: str | None, out_base: str,
-                    as_of: dt.date, run_ts: dt.datetime, first_run: bool = False) -> str:
-    """F3 as a job: landed JSON pages (internal and external accounts) -> merge."""
+    months = months_between(ws, we)
+    existing = read_table(spark, table_path)
+    target = None if existing is None else existing.filter(F.col("usage_month").isin(*months)).drop("usage_month")
+    out = loads.gcp_load(spark.read.parquet(export_path), ws, we, existing=target)
+    overwrite_partitions(out.withColumn("usage_month", F.trunc("usage_date", "MM")), table_path, ["usage_month"])
+    return months
+
+
+def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: str | None, table_path: str,
+                    as_of: dt.date, first_run: bool = False) -> list[dt.date]:
+    """landed JSON pages (internal and external accounts) -> merge. Bill
+    cycles may run one month past the bill date, hence one extra month."""
     ws, we = refresh_window(as_of, "HWC", first_run)
+    months = months_between(ws, add_months(first_of_month(we), 1))
+    target = _touched(read_table(spark, table_path), "billing_month", months)
     ext = files.read_huawei_pages(spark, external_pages) if external_pages else None
-    out = loads.huawei_load(files.read_huawei_pages(spark, internal_pages), ext, ws, we,
-                            existing=current(spark, out_base))
-    return publish(out, out_base, _version(run_ts), ["billing_month"])
-
-
-def run_service_level(spark: SparkSession, aws_base: str, gcp_base: str, hw_base: str,
-                      service_types: DataFrame, out_base: str, as_of: dt.date, run_ts: dt.datetime) -> str:
-    """F4 as a job: rollups of the current daily tables, upsert, purge."""
-    gcp = current(spark, gcp_base)
-    if gcp is not None and "usage_month" in gcp.columns:
-        gcp = gcp.drop("usage_month")
-    out = billing.service_level_billing(current(spark, aws_base), gcp, current(spark, hw_base),
-                                        service_types, as_of, run_ts, existing=current(spark, out_base))
-    return publish(out.withColumn("usage_month", F.trunc("usage_date", "MM")), out_base, _version(run_ts),
-                   ["usage_month"])
-
-
-def run_daily_pricing(spark: SparkSession, pricing_rows: DataFrame, out_base: str, as_of: dt.date,
-                      run_ts: dt.datetime) -> str:
-    """F5 + K6 as a job."""
-    out = billing.daily_pricing_job(pricing_rows, as_of, existing=current(spark, out_base))
-    return publish(out, out_base, _version(run_ts))
-
-
-def run_monthly_invoice(spark: SparkSession, slb_base: str, products: DataFrame, organizations: DataFrame,
-                        product_accounts: DataFrame, pricing_base: str, pricing_rows: DataFrame,
-                        billings_base: str, as_of: dt.date, run_ts: dt.datetime) -> str:
-    """F6 + K8 as a job: invoices of the previous month appended once."""
-    slb = current(spark, slb_base)
-    existing = current(spark, billings_base)
-    inv = billing.monthly_invoice(slb.drop("usage_month"), products, organizations, product_accounts,
-                                  current(spark, pricing_base), pricing_rows,
-                                  existing if existing is not None else _empty_billings(spark), as_of)
-    out = inv if existing is None else append_new(existing, inv, ["month_date", "product_id", "cloud_provider"])
-    return publish(out, billings_base, _version(run_ts))
-
-
-def run_customer_cost(spark: SparkSession, slb_base: str, aws_base: str, products: DataFrame,
-                      organizations: DataFrame, product_accounts: DataFrame, pricing_base: str,
-                      amortized: DataFrame, billing_entity_map: DataFrame, out_base: str, as_of: dt.date,
-                      run_ts: dt.datetime) -> str:
-    """F7 + K7 as a job."""
-    new = billing.customer_daily_cost(current(spark, slb_base).drop("usage_month"), current(spark, aws_base),
-                                      products, organizations, product_accounts, current(spark, pricing_base),
-                                      amortized, billing_entity_map, as_of)
-    existing = current(spark, out_base)
-    out = new if existing is None else billing.customer_cost_upsert(existing, new)
-    return publish(out, out_base, _version(run_ts))
+    out = loads.huawei_load(files.read_huawei_pages(spark, internal_pages), ext, ws, we, existing=target)
+    overwrite_partitions(out, table_path, ["billing_month"])
+    return months
+
+
+def run_service_level(spark: SparkSession, aws_path: str, gcp_path: str, hw_path: str,
+                      service_types: DataFrame, table_path: str, as_of: dt.date,
+                      run_ts: dt.datetime) -> None:
+    """rollups of the daily tables over the rewrite window.
+
+    The window starts on the first of a month, so upsert (K5) followed by the
+    purge of untouched window rows (K10) leaves exactly this run's rows in the
+    window months: those partitions are replaced, older ones are kept."""
+    gcp = read_table(spark, gcp_path).drop("usage_month")
+    out = billing.service_level_billing(read_table(spark, aws_path), gcp, read_table(spark, hw_path),
+                                        service_types, as_of, run_ts)
+    ws, _ = rollup_window(as_of)
+    out = out.withColumn("usage_month", F.trunc("usage_date", "MM"))
+    # outside-of-month rows may be dated after the window end (last day of a late billing month)
+    overwrite_partitions(out.filter(F.col("usage_date") >= F.lit(ws)), table_path, ["usage_month"])
+
+
+def run_daily_pricing(spark: SparkSession, pricing_rows: DataFrame, table_path: str, as_of: dt.date) -> None:
+    """F5 + K6: the daily price table is rebuilt from the (small) contract table."""
+    overwrite_partitions(billing.daily_pricing_job(pricing_rows, as_of).withColumn(
+        "pricing_month", F.trunc("pricing_date", "MM")), table_path, ["pricing_month"])
+
+
+def run_monthly_invoice(spark: SparkSession, slb_path: str, products: DataFrame, organizations: DataFrame,
+                        product_accounts: DataFrame, pricing_path: str, pricing_rows: DataFrame,
+                        billings_path: str, as_of: dt.date) -> None:
+    """F6 + K8: invoices of the previous month appended once (guarded)."""
+    existing = read_table(spark, billings_path)
+    billed = existing if existing is not None else _empty_billings(spark)
+    inv = billing.monthly_invoice(read_table(spark, slb_path).drop("usage_month"), products, organizations,
+                                  product_accounts, read_table(spark, pricing_path).drop("pricing_month"),
+                                  pricing_rows, billed, as_of)
+    guard = ["month_date", "product_id", "cloud_provider"]
+    fresh = inv.join(billed.select(*guard).distinct(), guard, "left_anti")
+    staged = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
+    fresh.write.parquet(staged)
+    spark.read.parquet(staged).write.mode("append").parquet(billings_path)
+
+
+def run_customer_cost(spark: SparkSession, slb_path: str, aws_path: str, products: DataFrame,
+                      organizations: DataFrame, product_accounts: DataFrame, pricing_path: str,
+                      amortized: DataFrame, billing_entity_map: DataFrame, table_path: str,
+                      as_of: dt.date) -> None:
+    """F7 + K7: upsert into the months of the window (previous and current)."""
+    new = billing.customer_daily_cost(read_table(spark, slb_path).drop("usage_month"),
+                                      read_table(spark, aws_path), products, organizations, product_accounts,
+                                      read_table(spark, pricing_path).drop("pricing_month"), amortized,
+                                      billing_entity_map, as_of)
+    months = months_between(add_months(first_of_month(as_of), -1), as_of)
+    existing = read_table(spark, table_path)
+    target = None if existing is None else existing.filter(F.col("day_month").isin(*months)).drop("day_month")
+    out = new if target is None else billing.customer_cost_upsert(target, new)
+    overwrite_partitions(out.withColumn("day_month", F.trunc("day", "MM")), table_path, ["day_month"])
 
 
 def _empty_billings(spark: SparkSession) -> DataFrame:
@@ -134,3 +166,7 @@ def _empty_billings(spark: SparkSession) -> DataFrame:
                                      "support_fee decimal(20,2), invoice_number bigint, created_date date, "
                                      "due_date date")
 
+
+__all__ = ["read_table", "overwrite_partitions", "append_new", "run_aws_load", "run_gcp_load",
+           "run_huawei_load", "run_service_level", "run_daily_pricing", "run_monthly_invoice",
+           "run_customer_cost"]
