@@ -51,7 +51,7 @@ def accounts_by_org_provider(product_accounts: DataFrame, organization_id: int,
             .select("product_id", "organization_id", "account_id", "cloud_provider"))
 
 
-def _costs_with_pricing(slb: DataFrame, prods: DataFrame, product_accounts: DataFrame,
+def costs_with_pricing(slb: DataFrame, prods: DataFrame, product_accounts: DataFrame,
                         daily_pricing: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Service-level rows of each product's accounts in [start, end], with the
     daily pricing of the product's organization (unmatched -> 0 %)."""
@@ -78,7 +78,7 @@ def customer_cost_per_day(slb: DataFrame, prods: DataFrame, product_accounts: Da
                           daily_pricing: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Per (product, organization, day, provider): cost, after-discount cost,
     handling fee, support fee (cost or external cost by the organization flag)."""
-    x = _costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, end)
+    x = costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, end)
     return x.groupBy("product_id", "organization_id", "usage_date", "cloud_provider").agg(
         F.sum("c").cast(C.MONEY).alias("cost"),
         F.sum("ad").cast(C.MONEY).alias("after_discount_cost"),
@@ -89,7 +89,7 @@ def customer_cost_per_day(slb: DataFrame, prods: DataFrame, product_accounts: Da
 def invoice_provider_cost(slb: DataFrame, prods: DataFrame, product_accounts: DataFrame,
                           daily_pricing: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """After-discount cost per (product, organization, provider) for a month."""
-    x = _costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, end)
+    x = costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, end)
     return x.groupBy("product_id", "organization_id", "cloud_provider").agg(
         F.sum("ad").cast(C.MONEY).alias("cost"))
 

@@ -94,7 +94,7 @@ def customer_daily_cost(slb: DataFrame, aws_daily: DataFrame, products: DataFram
     # customer-cost rows (A13 input) and AWS payer-cost rows (A15/A16 input) are
     # unioned and aggregated ONCE on (product, org, day, provider): one shuffle
     # instead of three aggregations and two shuffle joins
-    cc_rows = costs._costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, as_of).select(
+    cc_rows = costs.costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, as_of).select(
         *k, "c", "ad", "hf", "sf", none.alias("_in"), none.alias("_out"), F.lit(True).alias("_cc"))
     acc = costs.product_account_map(prods, product_accounts)
     a = aws_daily.filter(F.col("billing_type") != "Tax")

@@ -645,7 +645,7 @@ def _q_u4(f: Fixture) -> DataFrame:
 
 @query("daily_pricing_join")
 def _q_j3(f: Fixture) -> DataFrame:
-    x = costs._costs_with_pricing(f.slb, f.external_products, f.product_accounts, f.daily_pricing_window,
+    x = costs.costs_with_pricing(f.slb, f.external_products, f.product_accounts, f.daily_pricing_window,
                                   PREV_START, AS_OF)
     return x.select("product_id", "organization_id", "usage_date", "cloud_provider",
                     F.col("c").alias("cost"), F.col("ad").alias("after_discount_cost"))
