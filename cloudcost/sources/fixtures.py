@@ -47,13 +47,14 @@ EXCLUDED_CUR_TABLE = "cur_ext_excluded"
 CUR_EXT_PREFIX = "cur_ext_"
 
 
-_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table; the DataFrame (schema + file listing) is
     reused within a session instead of re-reading parquet footers."""
-    key = (id(spark), sf_dir, name)
+    from ..session import app_id
+    key = (app_id(spark), sf_dir, name)
     df = _TABLES.get(key)
     if df is None:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
