@@ -41,10 +41,16 @@ def gcp_incremental_load(spark: SparkSession, landing_dir: str, table_dir: str,
         bounds = touched.agg(F.min("usage_date").alias("lo"), F.max("usage_date").alias("hi")).first()
         if bounds["lo"] is None:
             return
-        raw = spark.read.schema(schema).parquet(landing_dir)
-        if max_lag_days is not None:
-            raw = raw.filter(F.col("partition_date").between(
-                F.lit(bounds["lo"]), F.lit(bounds["hi"] + dt.timedelta(days=max_lag_days))))
+        if max_lag_days is None:
+            raw = spark.read.schema(schema).parquet(landing_dir)
+        else:
+            # list only the ingestion-day folders that can hold lines of the
+            # touched usage dates (never the whole landing history); the
+            # batch's own files live in them, so the glob is never empty
+            n = (bounds["hi"] - bounds["lo"]).days + max_lag_days + 1
+            days = ",".join(str(bounds["lo"] + dt.timedelta(days=i)) for i in range(n))
+            raw = (spark.read.schema(schema).option("basePath", landing_dir)
+                   .parquet(f"{landing_dir}/partition_date={{{days}}}"))
         raw = raw.join(touched, F.to_date(raw["usage_start_time"]) == touched["usage_date"], "left_semi")
         rows = daily.gcp_daily_cost(raw, ws, we, internal=True)
         (rows.write.mode("overwrite").partitionBy("usage_date")
