@@ -65,6 +65,26 @@ def route_internal_external(df: DataFrame, internal: bool, internal_cols: list[s
     return df.select(*keep, *out)
 
 
+def group_with_descriptors(df: DataFrame, keys: list[Column], descriptors: list[tuple[str, Column]],
+                           sums: list[tuple[str, Column]]) -> DataFrame:
+    """``groupBy(keys)`` with ``max`` of string descriptors and ``sum`` of measures,
+    in two phases.
+
+    ``MAX(string)`` has no fixed-width buffer, so Spark would run the whole
+    aggregation - including the map-side partial aggregation over every raw
+    line - as a sort-based aggregate. Descriptors are (nearly) determined by the
+    key, so phase 1 groups by key *and* descriptor values with numeric sums
+    only: a hash aggregate over the raw lines. Phase 2 groups the few
+    resulting rows by key, taking ``max`` of the descriptors and summing the
+    sums (exactly the same result). Returns columns ``keys``, descriptor maxima
+    (NULL if all NULL) and sums (NULL if all NULL).
+    """
+    phase1 = df.groupBy(*keys, *[c.alias(n) for n, c in descriptors]).agg(*[F.sum(c).alias(n) for n, c in sums])
+    key_names = [c for c in phase1.columns if c not in {n for n, _ in descriptors} | {n for n, _ in sums}]
+    return phase1.groupBy(*key_names).agg(*[F.max(n).alias(n) for n, _ in descriptors],
+                                          *[F.sum(n).alias(n) for n, _ in sums])
+
+
 # ---------------------------------------------------------------------------
 # A1 / A2: AWS CUR -> daily
 # ---------------------------------------------------------------------------
@@ -86,19 +106,27 @@ def aws_daily_from_lines(lines: DataFrame, layout: cur_src.CurLayout, internal:
         _coalesce_empty("line_item_line_item_type").alias("billing_type"),
         _coalesce_empty("line_item_usage_type").alias("usage_type"),
     ]
-    net = sum_money("line_item_net_unblended_cost") if internal else F.lit(0).cast(C.MONEY)
-    agg = lines.groupBy(*keys).agg(
-        F.coalesce(F.max(F.expr(layout.service_name)), F.lit("")).alias("service_name"),
-        F.coalesce(F.max("product_location"), F.lit("")).alias("location"),
-        F.coalesce(F.max("line_item_currency_code"), F.lit("")).alias("currency"),
-        F.coalesce(F.max("pricing_term"), F.lit(C.DEFAULT_PRICING_TERM)).alias("pricing_type"),
-        F.coalesce(F.sum(F.col("line_item_usage_amount").cast(C.MONEY)), F.lit(0))
-         .cast(C.USAGE).alias("usage_amount"),
-        F.max("pricing_unit").alias("usage_unit"),
-        sum_money("line_item_unblended_cost").alias("unblended_cost"),
-        sum_money("line_item_blended_cost").alias("blended_cost"),
-        net.alias("net_unblended_cost"),
-    )
+    m = lambda c: F.col(c).cast(C.MONEY)
+    g = group_with_descriptors(
+        lines, keys,
+        [("service_name", F.expr(layout.service_name)), ("location", F.col("product_location")),
+         ("currency", F.col("line_item_currency_code")), ("pricing_type", F.col("pricing_term")),
+         ("usage_unit", F.col("pricing_unit"))],
+        [("usage_amount", m("line_item_usage_amount")), ("unblended_cost", m("line_item_unblended_cost")),
+         ("blended_cost", m("line_item_blended_cost")), ("net_unblended_cost", m("line_item_net_unblended_cost"))])
+    z = F.lit(0)
+    agg = g.select(
+        *[F.col(c) for c in AWS_KEYS],
+        F.coalesce("service_name", F.lit("")).alias("service_name"),
+        F.coalesce("location", F.lit("")).alias("location"),
+        F.coalesce("currency", F.lit("")).alias("currency"),
+        F.coalesce("pricing_type", F.lit(C.DEFAULT_PRICING_TERM)).alias("pricing_type"),
+        F.coalesce("usage_amount", z).cast(C.USAGE).alias("usage_amount"),
+        "usage_unit",
+        F.coalesce("unblended_cost", z).cast(C.MONEY).alias("unblended_cost"),
+        F.coalesce("blended_cost", z).cast(C.MONEY).alias("blended_cost"),
+        (F.coalesce("net_unblended_cost", z).cast(C.MONEY) if internal else F.lit(0).cast(C.MONEY))
+        .alias("net_unblended_cost"))
     return route_internal_external(agg, internal, AWS_INTERNAL, AWS_EXTERNAL).select(*AWS_COLUMNS)
 
 
@@ -145,19 +173,24 @@ def gcp_daily_cost(export: DataFrame, start: dt.date, end: dt.date, internal: bo
         F.coalesce(F.col("location.region"), F.lit("")).alias("region"),
         F.coalesce(F.col("cost_type"), F.lit("")).alias("cost_type"),
     ]
-    agg = lines.groupBy(*keys).agg(
-        F.max(F.to_date(F.col("invoice.month"), "yyyyMM")).alias("billing_month"),
-        F.coalesce(F.max("project.name"), F.lit("")).alias("project_name"),
-        F.coalesce(F.max("service.description"), F.lit("")).alias("service_name"),
-        F.coalesce(F.max("sku.description"), F.lit("")).alias("sku_description"),
-        F.coalesce(F.max("location.location"), F.lit("")).alias("location"),
-        F.coalesce(F.max("currency"), F.lit("")).alias("currency"),
-        F.round(F.coalesce(F.sum(F.col("usage.amount").cast(C.MONEY)), F.lit(0)), 8)
-         .cast(C.USAGE).alias("usage_amount"),
-        F.coalesce(F.max("usage.unit"), F.lit("")).alias("usage_unit"),
-        F.round(F.coalesce(F.sum(F.col("cost").cast(C.MONEY)), F.lit(0)), 8).cast(C.MONEY).alias("cost"),
-        F.round(F.sum(credits_total()), 8).cast(C.MONEY).alias("credits"),
-    )
+    g = group_with_descriptors(
+        lines, keys,
+        [("project_name", F.col("project.name")), ("service_name", F.col("service.description")),
+         ("sku_description", F.col("sku.description")), ("location", F.col("location.location")),
+         ("currency", F.col("currency")), ("usage_unit", F.col("usage.unit")),
+         ("invoice_month", F.col("invoice.month"))],
+        [("usage_amount", F.col("usage.amount").cast(C.MONEY)), ("cost", F.col("cost").cast(C.MONEY)),
+         ("credits", credits_total())])
+    z = F.lit(0)
+    agg = g.select(
+        *GCP_KEYS,
+        F.to_date("invoice_month", "yyyyMM").alias("billing_month"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in
+          ("project_name", "service_name", "sku_description", "location", "currency")],
+        F.round(F.coalesce("usage_amount", z), 8).cast(C.USAGE).alias("usage_amount"),
+        F.coalesce("usage_unit", F.lit("")).alias("usage_unit"),
+        F.round(F.coalesce("cost", z), 8).cast(C.MONEY).alias("cost"),
+        F.round(F.col("credits"), 8).cast(C.MONEY).alias("credits"))
     return route_internal_external(agg, internal, GCP_INTERNAL, GCP_EXTERNAL).select(*GCP_COLUMNS)
 
 
