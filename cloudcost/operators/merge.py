@@ -27,9 +27,15 @@ _SEQ = "__merge_seq"
 
 @dataclass
 class Batch:
-    """One update batch and the non-key columns it overwrites on conflict."""
+    """One update batch and the non-key columns it overwrites on conflict.
+
+    ``order``: optional column giving the arrival order inside the batch; when
+    a key occurs more than once, the row with the highest order wins ("last
+    wins"). Without it keys must be unique in the batch (aggregates are).
+    """
     df: DataFrame
     update_cols: list[str]
+    order: str | None = None
 
 
 def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
@@ -63,7 +69,7 @@ def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
     if target is not None:
         frames.append(target.select(*columns).withColumn(_SEQ, F.lit(0)))
     for i, b in enumerate(batches, start=1):
-        frames.append(b.df.select(*columns).withColumn(_SEQ, F.lit(i)))
+        frames.append(_last_per_key(b, keys, columns).withColumn(_SEQ, F.lit(i)))
     u = frames[0]
     for f in frames[1:]:
         u = u.unionByName(f)
@@ -96,6 +102,16 @@ def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
     return out
 
 
+def _last_per_key(b: Batch, keys: list[str], columns: list[str]) -> DataFrame:
+    """The batch with one row per key: the last by ``order`` (an aggregate, so
+    duplicates are combined map-side before the shuffle)."""
+    if b.order is None:
+        return b.df.select(*columns)
+    values = [c for c in columns if c not in keys]
+    last = b.df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(b.order)).alias("_v"))
+    return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]).select(*columns)
+
+
 def upsert_all(target: DataFrame | None, updates: DataFrame, keys: list[str],
                partition_col: str | None = None) -> DataFrame:
     """Upsert replacing every non-key column (K5, K6 with all values)."""

@@ -104,6 +104,14 @@ def test_merge_keeps_untouched_partitions(spark):
     assert out == [(d(2001, 6, 1), "a", D(1)), (d(2001, 7, 1), "a", D(5)), (d(2001, 7, 1), "b", D(6))]
 
 
+def test_merge_duplicate_key_in_batch_last_wins(spark):
+    schema = "k string, v decimal(20,8), n int"
+    t = spark.createDataFrame([("a", D(1), 0)], schema)
+    u = spark.createDataFrame([("a", D(5), 2), ("a", D(9), 1), ("b", D(3), 1)], schema)
+    out = keyed_merge(t, [Batch(u, ["v"], order="n")], ["k"], ["k", "v"])
+    assert rows(out, "k", "v") == [("a", D(5)), ("b", D(3))]
+
+
 def test_merge_null_keys_match(spark):
     schema = "k string, n int, v decimal(20,8)"
     t = spark.createDataFrame([("a", None, D(1))], schema)
