@@ -64,7 +64,9 @@ def costs_with_pricing(slb: DataFrame, prods: DataFrame, product_accounts: DataF
     dp = (daily_pricing.filter(F.col("pricing_date").between(F.lit(start), F.lit(end)))
           .select(F.col("pricing_date").alias("usage_date"), "organization_id", "cloud_provider",
                   "discount", "handling_fee", "support_fee"))
-    j = j.join(dp, ["usage_date", "organization_id", "cloud_provider"], "left")
+    # daily prices of a window: organizations x providers x days, checked before
+    # broadcasting; above the bound a shuffle join (AQE splits a hot organization)
+    j = j.join(broadcast_checked(dp), ["usage_date", "organization_id", "cloud_provider"], "left")
     z = F.lit(0).cast(C.MONEY)
     c = F.when(F.col("internal"), F.coalesce("cost", z)).otherwise(F.coalesce("ext_cost", z))
     ad = after_discount(c, F.col("discount"))

@@ -37,10 +37,13 @@ def gcp_incremental_load(spark: SparkSession, landing_dir: str, table_dir: str,
     stream = reader.parquet(landing_dir)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select(F.to_date("usage_start_time").alias("usage_date")).distinct()
-        bounds = touched.agg(F.min("usage_date").alias("lo"), F.max("usage_date").alias("hi")).first()
-        if bounds["lo"] is None:
+        # the usage dates this micro-batch touches: at most one value per
+        # calendar day, so the list is bounded and goes to the driver
+        days = sorted(r[0] for r in batch.select(F.to_date("usage_start_time")).distinct().collect()
+                      if r[0] is not None)
+        if not days:
             return
+        bounds = {"lo": days[0], "hi": days[-1]}
         if max_lag_days is None:
             raw = spark.read.schema(schema).parquet(landing_dir)
         else:
@@ -48,10 +51,13 @@ def gcp_incremental_load(spark: SparkSession, landing_dir: str, table_dir: str,
             # touched usage dates (never the whole landing history); the
             # batch's own files live in them, so the glob is never empty
             n = (bounds["hi"] - bounds["lo"]).days + max_lag_days + 1
-            days = ",".join(str(bounds["lo"] + dt.timedelta(days=i)) for i in range(n))
+            folders = ",".join(str(bounds["lo"] + dt.timedelta(days=i)) for i in range(n))
             raw = (spark.read.schema(schema).option("basePath", landing_dir)
-                   .parquet(f"{landing_dir}/partition_date={{{days}}}"))
-        raw = raw.join(touched, F.to_date(raw["usage_start_time"]) == touched["usage_date"], "left_semi")
+                   .parquet(f"{landing_dir}/partition_date={{{folders}}}"))
+        ts = F.col("usage_start_time")
+        raw = raw.filter((ts >= F.lit(dt.datetime.combine(days[0], dt.time())))
+                         & (ts < F.lit(dt.datetime.combine(days[-1] + dt.timedelta(days=1), dt.time())))
+                         & F.to_date(ts).isin(*days))
         rows = daily.gcp_daily_cost(raw, ws, we, internal=True)
         (rows.write.mode("overwrite").partitionBy("usage_date")
          .option("partitionOverwriteMode", "dynamic").parquet(table_dir))
