@@ -410,17 +410,32 @@ def landed_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return paths
 
 
+_LANDED_DF: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str, name: str, read) -> DataFrame:
+    """One scan DataFrame per landed export and session: the landed files do not
+    change, so their listing (a Spark job over every period folder) is done once."""
+    from ..session import app_id
+    key = (app_id(spark), sf_dir, name)
+    df = _LANDED_DF.get(key)
+    if df is None:
+        df = read(landed_exports(spark, sf_dir))
+        _LANDED_DF[key] = df
+    return df
+
+
 def landed_cur(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed CUR; ``year``/``month`` stay strings (declared schema)."""
-    p = landed_exports(spark, sf_dir)
-    return spark.read.schema(StructType.fromJson(json.loads(p["cur_schema"]))).parquet(p["cur"])
+    return _landed(spark, sf_dir, "cur", lambda p: spark.read.schema(
+        StructType.fromJson(json.loads(p["cur_schema"]))).parquet(p["cur"]))
 
 
 def landed_gcp_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = landed_exports(spark, sf_dir)
-    return spark.read.schema(StructType.fromJson(json.loads(p["gcp_schema"]))).parquet(p["gcp"])
+    return _landed(spark, sf_dir, "gcp", lambda p: spark.read.schema(
+        StructType.fromJson(json.loads(p["gcp_schema"]))).parquet(p["gcp"]))
 
 
 def landed_huawei_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .files import read_huawei_pages
-    return read_huawei_pages(spark, landed_exports(spark, sf_dir)["huawei"])
+    return _landed(spark, sf_dir, "huawei", lambda p: read_huawei_pages(spark, p["huawei"]))
