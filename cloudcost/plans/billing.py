@@ -122,8 +122,9 @@ def customer_daily_cost(slb: DataFrame, aws_daily: DataFrame, products: DataFram
     am = (amortized.join(billing_entity_map, "billing_entity")
           .select("product_id", "usage_date", F.col("cost").alias("_am")))
     aws = F.col("cloud_provider") == C.AWS
+    # amortized cost per (product, day): days x exceptional products, size-checked
     j = (cc.join(broadcast_checked(prods), ["product_id", "organization_id"])
-         .join(am, ["product_id", "usage_date"], "left"))
+         .join(broadcast_checked(am), ["product_id", "usage_date"], "left"))
     regular_aws = (F.coalesce("_in", z) + F.coalesce("_out", z)).cast(C.MONEY)
     payer_cost = (F.when(F.col("cloud_provider") == C.HWC,
                          (F.col("cost") * F.lit(hwc_factor).cast("decimal(3,2)")).cast(C.MONEY))
