@@ -75,7 +75,7 @@ class Fixture:
 
     @cached_property
     def org_accounts(self) -> DataFrame:
-        return fx.org_accounts(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "org_accounts")
 
     @cached_property
     def view(self) -> DataFrame:
@@ -89,31 +89,31 @@ class Fixture:
     # dimensions ---------------------------------------------------------
     @cached_property
     def organizations(self) -> DataFrame:
-        return fx.organizations(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "organizations")
 
     @cached_property
     def products(self) -> DataFrame:
-        return fx.products(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "products")
 
     @cached_property
     def product_accounts(self) -> DataFrame:
-        return fx.product_accounts(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "product_accounts")
 
     @cached_property
     def pricing_rows(self) -> DataFrame:
-        return fx.organization_pricing(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "organization_pricing")
 
     @cached_property
     def service_types(self) -> DataFrame:
-        return fx.service_types(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "service_types")
 
     @cached_property
     def billings(self) -> DataFrame:
-        return fx.existing_billings(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "existing_billings")
 
     @cached_property
     def billing_entity_map(self) -> DataFrame:
-        return fx.billing_entity_map(self.spark, self.d)
+        return fx.landed_dimension(self.spark, self.d, "billing_entity_map")
 
     # loaded tables ------------------------------------------------------
     def _daily_job(self, name: str) -> DataFrame:

@@ -404,6 +404,10 @@ def landed_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     gcp = gcp_export(spark, sf_dir, spread=n)
     gcp.repartition(n, "partition_date").write.partitionBy("partition_date").parquet(paths["gcp"])
     write_huawei_pages(huawei_records(spark, sf_dir, spread=n), paths["huawei"])
+    # the dimension tables (relational tables in a deployment) land as plain tables
+    for name, build in DIMENSIONS.items():
+        paths[name] = f"{base}/dim_{name}"
+        build(spark, sf_dir).coalesce(1).write.parquet(paths[name])
     paths["cur_schema"] = cur.schema.json()
     paths["gcp_schema"] = gcp.schema.json()
     _LANDED[key] = paths
@@ -436,6 +440,23 @@ def landed_gcp_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         StructType.fromJson(json.loads(p["gcp_schema"]))).parquet(p["gcp"]))
 
 
+def landed_dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A landed dimension table (see ``DIMENSIONS``)."""
+    return _landed(spark, sf_dir, f"dim_{name}", lambda p: spark.read.parquet(p[name]))
+
+
 def landed_huawei_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .files import read_huawei_pages
     return _landed(spark, sf_dir, "huawei", lambda p: read_huawei_pages(spark, p["huawei"]))
+
+
+DIMENSIONS = {
+    "organizations": organizations,
+    "products": products,
+    "product_accounts": product_accounts,
+    "organization_pricing": organization_pricing,
+    "service_types": service_types,
+    "billing_entity_map": billing_entity_map,
+    "existing_billings": existing_billings,
+    "org_accounts": org_accounts,
+}
