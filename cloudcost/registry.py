@@ -54,7 +54,8 @@ class Fixture:
         instead of re-deriving it from raw exports, and its lineage is cut."""
         path = scratch_path(self.spark, f"{name}-{uuid.uuid4().hex}")
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        # the schema is known: no footer-reading inference job on the way back
+        return self.spark.read.schema(df.schema).parquet(path)
 
     # raw inputs ---------------------------------------------------------
     @cached_property
