@@ -51,11 +51,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is used as is. Only when
-    it is unset (local tests) is a private folder created and registered.
+    On a cluster that setting names shared storage and is used as is. Only a
+    local-mode session (tests, bench), whose one machine shares its own folders, may
+    leave it unset and then gets a private folder; elsewhere that is an error.
     """
     cdir = spark.conf.get("spark.checkpoint.dir", None)
     if not cdir:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name storage that all executors share")
         cdir = tempfile.mkdtemp(prefix="cloudcost-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cdir)
     try:
