@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, packing, tokenbin
+from . import chat, crosspolytope, packing, tokenbin, winnow
 from .common import table
 from .tokens import tokenizer_path
 
@@ -18,6 +18,13 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op8_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1, length=2048)
 
@@ -37,7 +44,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_shards, op8_concat_packing, op9_cross_polytope, op10_chat_format)}
+    return {f.__name__: f for f in (op1_token_shards, op4_winnowing, op8_concat_packing, op9_cross_polytope, op10_chat_format)}
 
 
 _OP10_SQL = """
@@ -58,5 +65,32 @@ FROM e GROUP BY conv_id
 """
 
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP4_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS span, array_to_string(ws[p:p + least(len(ws), 10) - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p FROM i WHERE len(ws) > 0)),
+dw AS (
+  SELECT r, span, p, array_to_string(ws[p:p + span - 1], ' ') AS w
+  FROM (SELECT r, ws, span, unnest(range(1, len(ws) - span + 2)) AS p
+        FROM d, (SELECT DISTINCT span FROM iw) WHERE len(ws) >= span)),
+h AS (SELECT r, p, dw.span, item_id FROM dw JOIN iw USING (span, w)),
+c AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(p, p + span)) AS x FROM h) GROUP BY r),
+n AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chat_format": _OP10_SQL}
+    return {"op4_winnowing": _OP4_SQL, "op10_chat_format": _OP10_SQL}
