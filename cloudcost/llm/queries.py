@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, packing, tokenbin, winnow
+from . import chat, crosspolytope, jaccard, packing, tokenbin, winnow
 from .common import table
 from .tokens import tokenizer_path
 
@@ -25,6 +25,10 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1, length=2048)
 
@@ -44,7 +48,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_shards, op4_winnowing, op8_concat_packing, op9_cross_polytope, op10_chat_format)}
+    return {f.__name__: f for f in (op1_token_shards, op4_winnowing, op6_ngram_jaccard, op8_concat_packing, op9_cross_polytope, op10_chat_format)}
 
 
 _OP10_SQL = """
@@ -91,6 +95,26 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN c USING (r) LEFT JOIN n USING (r)
 """
 
+_OP6_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS t
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 3, 2))) AS p FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT t FROM s GROUP BY t HAVING count(*) > 1),
+r AS (SELECT s.* FROM s SEMI JOIN shared USING (t)),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM r a JOIN r b ON a.t = b.t AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+c(node, seen) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT l.b, c.seen FROM c JOIN l ON l.a = c.node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(seen) FROM c WHERE c.node = d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_winnowing": _OP4_SQL, "op10_chat_format": _OP10_SQL}
+    return {"op4_winnowing": _OP4_SQL, "op6_ngram_jaccard": _OP6_SQL, "op10_chat_format": _OP10_SQL}
