@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, jaccard, packing, tokenbin, winnow
+from . import chat, crosspolytope, jaccard, packing, substrings, tokenbin, winnow
 from .common import table
 from .tokens import tokenizer_path
 
@@ -18,6 +18,10 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -48,7 +52,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_shards, op4_winnowing, op6_ngram_jaccard, op8_concat_packing, op9_cross_polytope, op10_chat_format)}
+    return {f.__name__: f for f in (op1_token_shards, op3_suffix_array, op4_winnowing, op6_ngram_jaccard, op8_concat_packing, op9_cross_polytope, op10_chat_format)}
 
 
 _OP10_SQL = """
@@ -115,6 +119,28 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(seen) FROM c WHERE
 FROM d LEFT JOIN n USING (doc_id)
 """
 
+_OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (
+  SELECT r, doc_id, p, md5(substr(x, 2 * p + 1, 100)) AS w
+  FROM (SELECT *, unnest(range(0, len(x) // 2 - 49)) AS p FROM d WHERE len(x) >= 100)),
+hit AS (
+  SELECT r, p FROM (SELECT r, p, doc_id, min(doc_id) OVER (PARTITION BY w) AS m FROM s) WHERE m < doc_id),
+run AS (
+  SELECT r, p, p > 50 + lag(p) OVER (PARTITION BY r ORDER BY p) AS fresh FROM hit),
+num AS (SELECT r, p, sum(coalesce(fresh, true)::INT) OVER (PARTITION BY r ORDER BY p) AS k FROM run),
+span AS (SELECT r, k, min(p) AS a, max(p) + 50 AS b FROM num GROUP BY r, k),
+cut AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM span),
+agg AS (
+  SELECT cut.r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS e,
+         string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept
+  FROM cut JOIN d USING (r) GROUP BY cut.r)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE kept || substr(x, 2 * e + 1) END)) AS kept_sha256
+FROM d LEFT JOIN agg USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_winnowing": _OP4_SQL, "op6_ngram_jaccard": _OP6_SQL, "op10_chat_format": _OP10_SQL}
+    return {"op3_suffix_array": _OP3_SQL, "op4_winnowing": _OP4_SQL, "op6_ngram_jaccard": _OP6_SQL, "op10_chat_format": _OP10_SQL}
