@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, jaccard, packing, substrings, tokenbin, winnow
+from . import chat, crosspolytope, jaccard, langid, packing, quality, substrings, tokenbin, winnow
 from .common import table
 from .tokens import tokenizer_path
 
@@ -29,10 +29,30 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(_remainder(3) != 1)
+    net = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    return quality.score(docs, net).select(
+        "doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_bigru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = langid.fit(docs.filter(_remainder(4) != 2))
+    return langid.identify(docs, net).select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1, length=2048)
 
@@ -52,7 +72,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_shards, op3_suffix_array, op4_winnowing, op6_ngram_jaccard, op8_concat_packing, op9_cross_polytope, op10_chat_format)}
+    return {f.__name__: f for f in (op1_token_shards, op3_suffix_array, op4_winnowing, op5_byte_cnn, op6_ngram_jaccard, op7_bigru_langid,
+                                    op8_concat_packing, op9_cross_polytope, op10_chat_format)}
 
 
 _OP10_SQL = """
