@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, jaccard, langid, packing, quality, substrings, tokenbin, winnow
+from . import chat, crosspolytope, jaccard, langid, linededup, packing, quality, substrings, tokenbin, winnow
 from .common import table
 from .tokens import tokenizer_path
 
@@ -18,6 +18,10 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
 
@@ -72,7 +76,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_shards, op3_suffix_array, op4_winnowing, op5_byte_cnn, op6_ngram_jaccard, op7_bigru_langid,
+    return {f.__name__: f for f in (op1_token_shards, op2_fuzzy_lines, op3_suffix_array, op4_winnowing, op5_byte_cnn, op6_ngram_jaccard, op7_bigru_langid,
                                     op8_concat_packing, op9_cross_polytope, op10_chat_format)}
 
 
