@@ -7,8 +7,9 @@ maxima, and the mean over all chunks gives one probability. A text of any length
 scored whole, many texts in one array.
 
 ``fit`` learns on the driver from a bounded sample: the ``max_docs`` labelled rows with
-the smallest hash of their id, ``windows`` pieces of ``WINDOW`` characters from each, at
-places that the hash chooses. ``score`` runs where the texts are.
+the smallest hash of their id, ``windows`` pieces of at most ``WINDOW`` characters from
+each; the hash chooses their places, and the length of every second one, so that short
+texts are learned too. ``score`` runs where the texts are.
 
 Cases: null and empty texts are scored as a text of padding; repeated rows are scored
 one by one; rows with a null label teach nothing; without any labelled row the score is
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 
 from .common import slices, strings
 
-EMBED, WIDTH, STEP, FILTERS, HIDDEN = 6, 8, 2, 24, 16
+EMBED, WIDTH, STEP, FILTERS, HIDDEN = 6, 8, 2, 32, 16
 HALF = 128                    # bytes; a chunk is two halves
-WINDOW = 512
+WINDOW, SHORT = 512, 160
 PAD = 256
-MAX_DOCS, WINDOWS, EPOCHS, BATCH = 4000, 2, 12, 128
+MAX_DOCS, WINDOWS, EPOCHS, BATCH = 4000, 3, 16, 128
 
 
 @dataclass
@@ -159,9 +160,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, windows: i
     chosen = (labels.filter("doc_id is not null and label is not null")
               .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_docs))
-    room = F.greatest(F.char_length("text") - WINDOW + 1, F.lit(1))
-    pieces = F.array(*[F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(w)), room) + 1).cast("int"), F.lit(WINDOW))
-                       for w in range(windows)])
+    def piece(w):
+        size = F.lit(WINDOW) if w % 2 == 0 else (F.pmod(F.xxhash64("doc_id", F.lit(-w)), F.lit(SHORT)) + 16).cast("int")
+        room = F.greatest(F.char_length("text") - size + 1, F.lit(1))
+        return F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(w)), room) + 1).cast("int"), size)
+
+    pieces = F.array(*[piece(w) for w in range(windows)])
     # the chosen ids are bounded by max_docs
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(chosen), "doc_id").select("doc_id", "label", pieces.alias("pieces")).collect())
