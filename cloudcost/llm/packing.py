@@ -70,7 +70,8 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
     vocabulary allows, else 4), n, gstart`` with the global offset of every document."""
     rows = written(in_id_order(docs, id_col, text_col).mapInArrow(
         encode_rows(path, end_id), "doc_id long, ids binary, n long, part int, local long"), "ids")
-    return rows.join(offsets(rows, "part", "n"), "part").select(
+    # one row of a few bytes a partition: the other side, which holds the ids, stays put
+    return rows.join(F.broadcast(offsets(rows, "part", "n")), "part").select(
         "doc_id", "ids", "n", (F.col("base") + F.col("local")).alias("gstart"))
 
 
