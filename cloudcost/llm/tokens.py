@@ -16,7 +16,7 @@ import re
 import numpy as np
 
 MEMO = 600_000
-CALL = 400  # segments in one call
+CALL = 1000  # segments joined in one text
 _LOADED: dict[str, "SegmentEncoder"] = {}
 # a comma or full stop before white space that no letter stands before
 _NO_LETTER = re.compile(r"[,.](?<![^\W\d_].)[ \n]")
@@ -87,27 +87,33 @@ class SegmentEncoder:
         return [next(rest) if s is None else next(heads) + b"".join(map(get, s[1:])) for s in segments]
 
     def _remember(self, fresh: list[str]) -> None:
-        """Encode new segments, joined by a bar that is one id; a segment that holds a
-        bar or newline goes alone."""
-        alone = [s for s in fresh if self.bar is None or "|" in s or "\n" in s or s[0] in "\x01\x02\x03"]
+        """Encode new segments, joined by a bar that is one id; marked segments, and
+        those of a call in which a segment holds a bar or newline itself, go alone."""
+        joined, owners = [], []
+        alone = fresh if self.bar is None else [s for s in fresh if s[0] < "\x04"]
+        if alone is not fresh:
+            fresh = [s for s in fresh if s[0] >= "\x04"]
+            for at in range(0, len(fresh), CALL):
+                part = fresh[at:at + CALL]
+                text = " " + " | ".join(part) + " |"
+                if text.count("|") != len(part) or "\n" in text:
+                    alone += [s for s in part if "|" in s or "\n" in s]
+                    part = [s for s in part if "|" not in s and "\n" not in s]
+                    text = " " + " | ".join(part) + " |"
+                if part:
+                    joined.append(text)
+                    owners.append(part)
         if alone:
             self.memo.update(zip(alone, self._ids([_plain(s) for s in alone])))
-            skip = set(alone)
-            fresh = [s for s in fresh if s not in skip]
-        for at in range(0, len(fresh), CALL * 64):
-            part = fresh[at:at + CALL * 64]
-            joined = [" " + " | ".join(part[i:i + CALL]) + " |" for i in range(0, len(part), CALL)]
-            for i, e in enumerate(self.tok.encode_batch_fast(joined, add_special_tokens=False)):
-                ids = np.array(e.ids, self.dtype)
-                cuts = np.flatnonzero(ids == self.bar)
-                mine = part[i * CALL:(i + 1) * CALL]
-                if len(cuts) != len(mine):
-                    raise ValueError("a joined segment did not come apart")
-                raw, w = ids.tobytes(), self.dtype.itemsize
-                start = 0
-                for s, c in zip(mine, cuts.tolist()):
-                    self.memo[s] = raw[start * w:c * w]
-                    start = c + 1
+        w = self.dtype.itemsize
+        for part, e in zip(owners, self.tok.encode_batch_fast(joined, add_special_tokens=False) if joined else ()):
+            ids = np.array(e.ids, self.dtype)
+            cuts = np.flatnonzero(ids == self.bar) * w
+            if len(cuts) != len(part):
+                raise ValueError("a joined segment did not come apart")
+            raw = ids.tobytes()
+            starts = np.concatenate([[0], cuts[:-1] + w]).tolist()
+            self.memo.update(zip(part, [raw[a:b] for a, b in zip(starts, cuts.tolist())]))
 
 
 def encoder(path: str) -> SegmentEncoder:
