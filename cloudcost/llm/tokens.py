@@ -15,7 +15,7 @@ import re
 
 import numpy as np
 
-MEMO = 600_000
+MEMO = 1_500_000  # about 130 bytes each
 CALL = 1000  # segments joined in one text
 _LOADED: dict[str, "SegmentEncoder"] = {}
 # a comma or full stop before white space that no letter stands before
