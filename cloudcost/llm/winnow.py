@@ -199,6 +199,8 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no window of any item."""
     _, hits = scan(docs, items)
-    bad = hits.select(F.col("doc_id").alias("_d"), F.col("row_key").alias("_k")).distinct()
-    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
-    return docs.join(bad, (key == F.col("_k")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_d")), "left_anti")
+    bad = hits.select("doc_id", "row_key").distinct()
+    rows = docs.select(F.struct("*").alias("row"))  # whatever the columns are called
+    doc_id = F.col("row.doc_id").cast("long")
+    return rows.join(bad, (F.xxhash64(doc_id, "row.text") == bad.row_key) & doc_id.eqNullSafe(bad.doc_id),
+                     "left_anti").select("row.*")
