@@ -27,11 +27,10 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         hooked = (labels.join(near, labels.node == near.a, "left")
                   .select("node", F.col("component").alias("old"),
                           F.least("component", F.coalesce("near", "component")).alias("mid")))
-        # the label that others found for the node this label names
-        roots = (hooked.groupBy(F.col("old").alias("root")).agg(F.min("mid").alias("low")))
-        step = written(hooked.join(roots, hooked.old == roots.root)
-                       .select("node", F.least("mid", "low").alias("component"),
-                               (F.least("mid", "low") != F.col("old")).alias("moved")), "labels")
+        jump = hooked.select(F.col("node").alias("root"), F.col("mid").alias("low"))
+        step = written(hooked.join(jump, hooked.mid == jump.root)
+                       .select("node", F.col("low").alias("component"), (F.col("low") != F.col("old")).alias("moved")),
+                       "labels")
         labels = step.select("node", "component")
         if not step.filter("moved").head(1):
             break

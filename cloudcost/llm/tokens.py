@@ -18,8 +18,9 @@ import numpy as np
 MEMO = 1_500_000  # about 130 bytes each
 CALL = 1000  # segments joined in one text
 _LOADED: dict[str, "SegmentEncoder"] = {}
-# a comma or full stop before white space that no letter stands before
-_NO_LETTER = re.compile(r"[,.](?<![^\W\d_].)[ \n]")
+# a comma or full stop before white space that no letter stands before; the capital I with
+# a dot becomes a letter and a mark in lower case
+_NO_LETTER = re.compile(r"[,.](?<![^\W\d_İ].)[ \n]")
 _MARKS = {"\x01": ",", "\x02": "."}
 
 
@@ -30,7 +31,9 @@ def tokenizer_path(name: str) -> str:
 
 def _safe(x: str) -> bool:
     """Only single spaces and newlines, inside, and none of the marks used below."""
-    return (len(x.split()) == x.count(" ") + x.count("\n") + 1
+    words = x.split()
+    gaps = len(words) - 1
+    return (gaps == x.count(" ") + x.count("\n") and len("".join(words)) + gaps == len(x)
             and "\x01" not in x and "\x02" not in x and "\x03" not in x)
 
 
@@ -51,6 +54,8 @@ class SegmentEncoder:
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         bar = self.tok.encode(" |", add_special_tokens=False).ids
         self.bar = bar[0] if len(bar) == 1 else None
+        # a tokenizer that lower-cases anyway has fewer different segments in lower case
+        self.lower = '"Lowercase"' in self.tok.to_str().split('"pre_tokenizer"')[0]
         self.memo: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -69,6 +74,8 @@ class SegmentEncoder:
                 segments.append(None)
                 whole.append(x)
             else:
+                if self.lower and "Σ" not in x and "İ" not in x:
+                    x = x.lower()
                 if not _NO_LETTER.search(x):
                     x = x.replace(", ", " \x01 ").replace(". ", " \x02 ").replace(".\n", " \x03")
                 segments.append(x.split(" "))

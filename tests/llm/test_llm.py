@@ -1,7 +1,6 @@
 """The training-data operators: SQL and brute-force comparisons, round trips, held-out
 accuracy, and the stated results of odd inputs."""
 
-import base64  # noqa: F401
 import glob
 import hashlib
 import os
