@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import add_months, first_of_month
 from ..sources import cur as cur_src
-from .joins import broadcast_checked
 
 
 def amortized_line_cost(params: C.AmortizedParams) -> Column:
@@ -41,8 +40,7 @@ def join_org_accounts(cur: DataFrame, org_accounts: DataFrame, entities: tuple[s
                       year: int, month: int) -> DataFrame:
     """Lines of one period with the billing entity of their account; the
     LEFT JOIN + ``entity IN (...)`` is an inner join on the filtered dimension."""
-    org = broadcast_checked(org_accounts.filter(F.col("billing_entity").isin(*entities))
-                            .select("account_id", "billing_entity"))
+    org = org_accounts.filter(F.col("billing_entity").isin(*entities)).select("account_id", "billing_entity")
     lines = cur.filter(cur_src.period_predicate(cur_src.V1, year, month))
     return lines.join(org, lines["line_item_usage_account_id"] == org["account_id"]).drop("account_id")
 
@@ -50,8 +48,7 @@ def join_org_accounts(cur: DataFrame, org_accounts: DataFrame, entities: tuple[s
 def amortized_cost_by_entity(cur: DataFrame, org_accounts: DataFrame, params: C.AmortizedParams,
                              year: int, month: int) -> DataFrame:
     """Positive amortized cost per (usage day, billing entity) of one period."""
-    org = broadcast_checked(org_accounts.filter(F.col("billing_entity").isin(*params.entities))
-                            .select("account_id", "billing_entity"))
+    org = org_accounts.filter(F.col("billing_entity").isin(*params.entities)).select("account_id", "billing_entity")
     lines = _period_lines(cur, year, month)
     j = lines.join(org, lines["line_item_usage_account_id"] == org["account_id"])
     return (j.groupBy(F.to_date(cur_src.TS).alias("usage_date"), "billing_entity")

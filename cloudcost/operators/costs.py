@@ -4,8 +4,8 @@ provider cost (A14), payer cost in/outside the month (A15/A16).
 
 The reference computes these one product at a time (N+1 queries). Here the
 product is a grouping column: one plan for all products. The account list is
-a dimension joined by broadcast behind a size check; a hot account (a third
-of all billing rows) therefore never meets a shuffle on the join.
+a dimension: Spark broadcasts it below its size threshold; above, the join
+shuffles and AQE splits a hot account (a third of all billing rows).
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import same_month
 from ..functions.money import after_discount, pct_of
-from .joins import broadcast_checked
 
 PRODUCT_COLS = ["product_id", "product_name", "organization_id", "organization_name",
                 "internal", "exceptional"]
@@ -33,7 +32,7 @@ def products_with_org(products: DataFrame, organizations: DataFrame,
         org = org.filter(~F.col("internal"))
     p = products.select(F.col("id").alias("product_id"), F.col("name").alias("product_name"),
                         "organization_id")
-    return p.join(broadcast_checked(org), "organization_id").select(*PRODUCT_COLS)
+    return p.join(org, "organization_id").select(*PRODUCT_COLS)
 
 
 def product_account_map(prods: DataFrame, product_accounts: DataFrame) -> DataFrame:
@@ -51,6 +50,11 @@ def accounts_by_org_provider(product_accounts: DataFrame, organization_id: int,
             .select("product_id", "organization_id", "account_id", "cloud_provider"))
 
 
+def organization_by_id(organizations: DataFrame, organization_id: int) -> DataFrame:
+    """S9 finder: one organization by id."""
+    return organizations.filter(F.col("id") == organization_id)
+
+
 def costs_with_pricing(slb: DataFrame, prods: DataFrame, product_accounts: DataFrame,
                         daily_pricing: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Service-level rows of each product's accounts in [start, end], with the
@@ -60,13 +64,12 @@ def costs_with_pricing(slb: DataFrame, prods: DataFrame, product_accounts: DataF
                    ["product_id", "organization_id"])
     rows = (slb.filter(F.col("usage_date").between(F.lit(start), F.lit(end)))
             .select("usage_date", "cloud_provider", "usage_account_id", "cost", "ext_cost"))
-    j = rows.join(broadcast_checked(acc), rows["usage_account_id"] == acc["account_id"])
+    j = rows.join(acc, rows["usage_account_id"] == acc["account_id"])
     dp = (daily_pricing.filter(F.col("pricing_date").between(F.lit(start), F.lit(end)))
           .select(F.col("pricing_date").alias("usage_date"), "organization_id", "cloud_provider",
                   "discount", "handling_fee", "support_fee"))
-    # daily prices of a window: organizations x providers x days, checked before
-    # broadcasting; above the bound a shuffle join (AQE splits a hot organization)
-    j = j.join(broadcast_checked(dp), ["usage_date", "organization_id", "cloud_provider"], "left")
+    # daily prices of a window: organizations x providers x days
+    j = j.join(dp, ["usage_date", "organization_id", "cloud_provider"], "left")
     z = F.lit(0).cast(C.MONEY)
     c = F.when(F.col("internal"), F.coalesce("cost", z)).otherwise(F.coalesce("ext_cost", z))
     ad = after_discount(c, F.col("discount"))
@@ -97,7 +100,7 @@ def invoice_provider_cost(slb: DataFrame, prods: DataFrame, product_accounts: Da
 
 
 def _payer_rows(aws_daily: DataFrame, prods: DataFrame, product_accounts: DataFrame) -> DataFrame:
-    acc = broadcast_checked(product_account_map(prods, product_accounts))
+    acc = product_account_map(prods, product_accounts)
     a = aws_daily.filter(F.col("billing_type") != "Tax")  # NULL type drops, as in SQL
     return a.join(acc, a["usage_account_id"] == acc["account_id"])
 

@@ -11,8 +11,9 @@ KEY UPDATE <update_cols> applied batch after batch, but it costs one shuffle on
 the key instead of one full outer join per batch, and ``max_by``/``min_by`` are
 partially aggregated map-side, so a hot key does not pile up in one task.
 
-Only the target partitions (e.g. billing months) touched by an update are
-rewritten; the rest pass through untouched (``partition_col``).
+Only the target partitions the caller names (e.g. the billing months of the
+update) take part; the rest pass through untouched (``partition_col``,
+``partitions``: a literal list, so that the scan of the target prunes).
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ class Batch:
 
 
 def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
-                columns: list[str] | None = None, partition_col: str | None = None) -> DataFrame:
+                columns: list[str] | None = None, partition_col: str | None = None,
+                partitions: list | None = None) -> DataFrame:
     """Apply ``batches`` in order to ``target`` (may be None = empty table).
 
     Keys compare null-safe (grouping treats NULLs as equal). Within one batch
@@ -53,17 +55,10 @@ def keyed_merge(target: DataFrame | None, batches: list[Batch], keys: list[str],
         return batches[0].df.select(*columns)
 
     untouched = None
-    if target is not None and partition_col is not None:
-        parts = None
-        for b in batches:
-            p = b.df.select(partition_col)
-            parts = p if parts is None else parts.unionByName(p)
-        # the distinct partition values of an update (months of a refresh
-        # window) are a short list: broadcast it so the target is never
-        # shuffled by month (a handful of huge partitions)
-        parts = F.broadcast(parts.distinct())
-        untouched = target.join(parts, partition_col, "left_anti").select(*columns)
-        target = target.join(parts, partition_col, "left_semi")
+    if target is not None and partition_col is not None and partitions is not None:
+        touched = F.coalesce(F.col(partition_col).isin(*partitions), F.lit(False))
+        untouched = target.filter(~touched).select(*columns)
+        target = target.filter(F.col(partition_col).isin(*partitions))
 
     frames = []
     if target is not None:
@@ -112,12 +107,10 @@ def _last_per_key(b: Batch, keys: list[str], columns: list[str]) -> DataFrame:
     return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]).select(*columns)
 
 
-def upsert_all(target: DataFrame | None, updates: DataFrame, keys: list[str],
-               partition_col: str | None = None) -> DataFrame:
+def upsert_all(target: DataFrame | None, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert replacing every non-key column (K5, K6 with all values)."""
     cols = updates.columns
-    return keyed_merge(target, [Batch(updates, [c for c in cols if c not in keys])], keys, cols,
-                       partition_col)
+    return keyed_merge(target, [Batch(updates, [c for c in cols if c not in keys])], keys, cols)
 
 
 def append_new(target: DataFrame, new_rows: DataFrame, guard_keys: list[str]) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import ts_date_between
 from ..sources import cur as cur_src
-from .joins import broadcast_checked
 
 TS = cur_src.TS
 
@@ -31,9 +30,10 @@ def report_product_cost(cur: DataFrame, year: int, month: int) -> DataFrame:
 
 
 def report_unclassified_lines(cur: DataFrame, year: int, month: int, lo: dt.date, hi: dt.date) -> DataFrame:
-    """Lines without a service code (empty or missing) per day and line type."""
+    """Lines whose service code is empty, per day and line type (a missing code is
+    not an empty one)."""
     lines = _month(cur, year, month).filter(
-        (F.coalesce(F.col("product_servicecode"), F.lit("")) == "") & ts_date_between(TS, lo, hi))
+        (F.col("product_servicecode") == "") & ts_date_between(TS, lo, hi))
     return (lines.groupBy(F.to_date(TS).alias("usage_date"),
                           F.coalesce("line_item_line_item_type", F.lit("UNKNOWN")).alias("billing_type"))
             .agg(F.count(F.lit(1)).alias("rows"),
@@ -43,7 +43,7 @@ def report_unclassified_lines(cur: DataFrame, year: int, month: int, lo: dt.date
 
 
 def _with_entity(lines: DataFrame, org_accounts: DataFrame) -> DataFrame:
-    org = broadcast_checked(org_accounts.select("account_id", "billing_entity"))
+    org = org_accounts.select("account_id", "billing_entity")
     return lines.join(org, lines["line_item_usage_account_id"] == org["account_id"], "left")
 
 
@@ -78,7 +78,19 @@ def report_account_cost(cur: DataFrame, year: int, lo: dt.date, hi: dt.date) ->
     lines = cur.filter((F.col("year") == str(year)) & ts_date_between(TS, lo, hi))
     return (lines.groupBy("bill_payer_account_id", "line_item_usage_account_id")
             .agg(F.sum(F.col("line_item_unblended_cost").cast(C.MONEY)).cast(C.MONEY).alias("cost"),
-                 F.sum(F.col("line_item_blended_cost").cast(C.MONEY)).cast(C.MONEY).alias("cost1")))
+                 F.sum(F.col("line_item_blended_cost").cast(C.MONEY)).cast(C.MONEY).alias("blended_cost")))
+
+
+def report_total_cost(cur: DataFrame, year: int, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Unblended and blended cost of all accounts over a date range (one row)."""
+    lines = cur.filter((F.col("year") == str(year)) & ts_date_between(TS, lo, hi))
+    return lines.agg(F.sum(F.col("line_item_unblended_cost").cast(C.MONEY)).cast(C.MONEY).alias("cost"),
+                     F.sum(F.col("line_item_blended_cost").cast(C.MONEY)).cast(C.MONEY).alias("blended_cost"))
+
+
+def report_dimension_entities(org_accounts: DataFrame) -> DataFrame:
+    """D3: billing entities of the account dimension itself (NULL included)."""
+    return org_accounts.select("billing_entity").distinct()
 
 
 def report_daily_cost(cur: DataFrame, year: int, lo: dt.date, hi: dt.date) -> DataFrame:

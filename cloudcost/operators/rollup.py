@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.classify import billing_type_class
-from ..functions.dates import same_month
-from .joins import broadcast_checked
+from ..functions.dates import first_of_month, same_month
 
 SLB_KEYS = ["usage_date", "cloud_provider", "billing_account_id", "usage_account_id",
             "service_code", "billing_type", "is_li_outside_of_month"]
@@ -39,6 +38,8 @@ def _rollup(df: DataFrame, provider: str, outside: bool | None, date_col: str, w
     in_month = d.between(F.lit(ws), F.lit(we)) & same_month(bm, d)
     out_month = (bm >= F.lit(ws)) & ~same_month(bm, d)
     cond = in_month if outside is False else out_month if outside is True else (in_month | out_month)
+    # either branch implies this bound, which prunes the month partitions of the table
+    cond = cond & (bm >= F.lit(first_of_month(ws)))
     flag = ~same_month(bm, d)
     rows = df.filter(cond).select(
         F.when(flag, F.last_day(bm)).otherwise(d).alias("usage_date"),
@@ -104,13 +105,12 @@ def with_parent_category(slb: DataFrame, service_types: DataFrame) -> DataFrame:
       that category is ``''``;
     * anything else (NULL code included) -> ``Unknown``.
 
-    The service-type table is a small catalogue; it is de-duplicated per key
-    (so it can never multiply rows) and broadcast behind a size check.
+    The service-type table is a catalogue; it is de-duplicated per key, so it
+    can never multiply rows.
     """
     st = (service_types.groupBy(F.col("code").alias("_code"), F.col("cloud_provider").alias("_cp"))
           .agg(F.max("parent_category").alias("_pc"))
           .withColumn("_hit", F.lit(True)))
-    st = broadcast_checked(st)
     j = slb.join(st, (slb["service_code"] == st["_code"]) & (slb["cloud_provider"] == st["_cp"]), "left")
     cls = billing_type_class(F.col("billing_type"))
     cat = (F.when(F.col("service_code") == "", cls)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import add_months, first_of_month, previous_month, rollup_window, same_month
 from ..operators import costs, pricing, rollup
-from ..operators.joins import broadcast_checked
 from ..operators.merge import Batch, keyed_merge, upsert_all, window_delete
 
 SLB_OUT = rollup.SLB_COLUMNS[:9] + ["parent_category", "cost", "ext_cost", "last_updated_at"]
@@ -97,17 +96,17 @@ def customer_daily_cost(slb: DataFrame, aws_daily: DataFrame, products: DataFram
     cc_rows = costs.costs_with_pricing(slb, prods, product_accounts, daily_pricing, start, as_of).select(
         *k, "c", "ad", "hf", "sf", none.alias("_in"), none.alias("_out"), F.lit(True).alias("_cc"))
     acc = costs.product_account_map(prods, product_accounts)
-    a = aws_daily.filter(F.col("billing_type") != "Tax")
+    # both branches below imply the bound on the billing month, which prunes the table
+    a = aws_daily.filter((F.col("billing_type") != "Tax") & (F.col("billing_month") >= F.lit(start)))
     inm = (a.filter(F.col("usage_date").between(F.lit(start), F.lit(as_of))
                     & same_month(F.col("usage_date"), F.col("billing_month")))
            .select("usage_account_id", "usage_date", F.col("net_unblended_cost").alias("_in"),
                    none.alias("_out")))
-    outm = (a.filter(~same_month(F.col("usage_date"), F.col("billing_month"))
-                     & (F.col("billing_month") >= F.lit(start)))
+    outm = (a.filter(~same_month(F.col("usage_date"), F.col("billing_month")))
             .select("usage_account_id", F.last_day("billing_month").alias("usage_date"),
                     none.alias("_in"), F.col("net_unblended_cost").alias("_out")))
     payer = inm.unionByName(outm)
-    payer = payer.join(broadcast_checked(acc), payer["usage_account_id"] == acc["account_id"]).select(
+    payer = payer.join(acc, payer["usage_account_id"] == acc["account_id"]).select(
         "product_id", "organization_id", "usage_date", F.lit(C.AWS).alias("cloud_provider"),
         none.alias("c"), none.alias("ad"), none.alias("hf"), none.alias("sf"), "_in", "_out",
         F.lit(False).alias("_cc"))
@@ -122,12 +121,11 @@ def customer_daily_cost(slb: DataFrame, aws_daily: DataFrame, products: DataFram
     am = (amortized.join(billing_entity_map, "billing_entity")
           .select("product_id", "usage_date", F.col("cost").alias("_am")))
     aws = F.col("cloud_provider") == C.AWS
-    # amortized cost per (product, day): days x exceptional products, size-checked
-    j = (cc.join(broadcast_checked(prods), ["product_id", "organization_id"])
-         .join(broadcast_checked(am), ["product_id", "usage_date"], "left"))
+    j = (cc.join(prods, ["product_id", "organization_id"])
+         .join(am, ["product_id", "usage_date"], "left"))
     regular_aws = (F.coalesce("_in", z) + F.coalesce("_out", z)).cast(C.MONEY)
     payer_cost = (F.when(F.col("cloud_provider") == C.HWC,
-                         (F.col("cost") * F.lit(hwc_factor).cast("decimal(3,2)")).cast(C.MONEY))
+                         (F.col("cost") * F.lit(hwc_factor).cast("decimal(9,6)")).cast(C.MONEY))
                   .when(aws & F.col("exceptional"), F.coalesce("_am", z))
                   .when(aws, regular_aws)
                   .otherwise(F.col("after_discount_cost")))

@@ -179,7 +179,8 @@ class Fixture:
 
     @cached_property
     def amortized(self) -> DataFrame:
-        return amortized.amortized_two_month(self.cur, self.org_accounts, fx.AMORTIZED, AS_OF)
+        # its own first step: written once, small, then joined like any table
+        return self._table(amortized.amortized_two_month(self.cur, self.org_accounts, fx.AMORTIZED, AS_OF), "amortized")
 
     def customer_daily_cost(self) -> DataFrame:
         return billing.customer_daily_cost(self.slb, self.aws_daily, self.products, self.organizations,
@@ -256,6 +257,11 @@ def _q_s9b(f: Fixture) -> DataFrame:
     return costs.accounts_by_org_provider(f.product_accounts, *ORG_FINDER)
 
 
+@query("organization_by_id")
+def _q_s9c(f: Fixture) -> DataFrame:
+    return costs.organization_by_id(f.organizations, ORG_FINDER[0]).select("id", "name", "internal", "exceptional")
+
+
 # --- daily aggregation ---------------------------------------------------------
 
 @query("aws_daily_cost_v1")
@@ -557,6 +563,16 @@ def _q_d7(f: Fixture) -> DataFrame:
     return reports.report_account_cost(f.cur, Y, REPORT_LO, REPORT_HI)
 
 
+@query("report_total_cost")
+def _q_d7b(f: Fixture) -> DataFrame:
+    return reports.report_total_cost(f.cur, Y, REPORT_LO, REPORT_HI)
+
+
+@query("report_dimension_entities")
+def _q_d3b(f: Fixture) -> DataFrame:
+    return reports.report_dimension_entities(f.org_accounts)
+
+
 @query("report_daily_cost")
 def _q_d8(f: Fixture) -> DataFrame:
     return reports.report_daily_cost(f.cur, Y, REPORT_LO, REPORT_HI)

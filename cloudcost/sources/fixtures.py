@@ -407,7 +407,7 @@ def landed_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     # the dimension tables (relational tables in a deployment) land as plain tables
     for name, build in DIMENSIONS.items():
         paths[name] = f"{base}/dim_{name}"
-        build(spark, sf_dir).coalesce(1).write.parquet(paths[name])
+        build(spark, sf_dir).write.parquet(paths[name])
     paths["cur_schema"] = cur.schema.json()
     paths["gcp_schema"] = gcp.schema.json()
     _LANDED[key] = paths

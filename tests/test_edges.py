@@ -100,7 +100,8 @@ def test_merge_keeps_untouched_partitions(spark):
     schema = "m date, k string, v decimal(20,8)"
     target = spark.createDataFrame([(d(2001, 6, 1), "a", D(1)), (d(2001, 7, 1), "a", D(2))], schema)
     upd = spark.createDataFrame([(d(2001, 7, 1), "a", D(5)), (d(2001, 7, 1), "b", D(6))], schema)
-    out = rows(keyed_merge(target, [Batch(upd, ["v"])], ["m", "k"], partition_col="m"), "m", "k", "v")
+    out = rows(keyed_merge(target, [Batch(upd, ["v"])], ["m", "k"], partition_col="m",
+                           partitions=[d(2001, 7, 1)]), "m", "k", "v")
     assert out == [(d(2001, 6, 1), "a", D(1)), (d(2001, 7, 1), "a", D(5)), (d(2001, 7, 1), "b", D(6))]
 
 
