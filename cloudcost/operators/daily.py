@@ -161,9 +161,12 @@ def credits_total(credits: str = "credits") -> Column:
                        .cast(acc_t))
 
 
-def gcp_daily_cost(export: DataFrame, start: dt.date, end: dt.date, internal: bool = True) -> DataFrame:
-    """S4 partition pruning on the ingestion date, then A3 grouped by usage date."""
-    lines = export.filter(F.col("partition_date").between(F.lit(start), F.lit(end)))
+_GCP_DESCRIBED = ["project_name", "service_name", "sku_description", "location", "currency", "usage_unit", "invoice_month"]
+_GCP_SUMS = ["usage_amount", "cost", "credits"]
+
+
+def _gcp_grouped(lines: DataFrame, *extra: Column) -> DataFrame:
+    """Lines grouped by the 7-part key (and ``extra``): descriptor maxima and raw sums."""
     keys = [
         F.to_date("usage_start_time").alias("usage_date"),
         F.col("billing_account_id"),
@@ -173,14 +176,13 @@ def gcp_daily_cost(export: DataFrame, start: dt.date, end: dt.date, internal: bo
         F.coalesce(F.col("location.region"), F.lit("")).alias("region"),
         F.coalesce(F.col("cost_type"), F.lit("")).alias("cost_type"),
     ]
-    g = group_with_descriptors(
-        lines, keys,
-        [("project_name", F.col("project.name")), ("service_name", F.col("service.description")),
-         ("sku_description", F.col("sku.description")), ("location", F.col("location.location")),
-         ("currency", F.col("currency")), ("usage_unit", F.col("usage.unit")),
-         ("invoice_month", F.col("invoice.month"))],
-        [("usage_amount", F.col("usage.amount").cast(C.MONEY)), ("cost", F.col("cost").cast(C.MONEY)),
-         ("credits", credits_total())])
+    values = [F.col("project.name"), F.col("service.description"), F.col("sku.description"), F.col("location.location"),
+              F.col("currency"), F.col("usage.unit"), F.col("invoice.month")]
+    sums = [F.col("usage.amount").cast(C.MONEY), F.col("cost").cast(C.MONEY), credits_total()]
+    return group_with_descriptors(lines, [*extra, *keys], list(zip(_GCP_DESCRIBED, values)), list(zip(_GCP_SUMS, sums)))
+
+
+def _gcp_shaped(g: DataFrame, internal: bool) -> DataFrame:
     z = F.lit(0)
     agg = g.select(
         *GCP_KEYS,
@@ -194,6 +196,25 @@ def gcp_daily_cost(export: DataFrame, start: dt.date, end: dt.date, internal: bo
     return route_internal_external(agg, internal, GCP_INTERNAL, GCP_EXTERNAL).select(*GCP_COLUMNS)
 
 
+def gcp_daily_cost(export: DataFrame, start: dt.date, end: dt.date, internal: bool = True) -> DataFrame:
+    """S4 partition pruning on the ingestion date, then A3 grouped by usage date."""
+    lines = export.filter(F.col("partition_date").between(F.lit(start), F.lit(end)))
+    return _gcp_shaped(_gcp_grouped(lines), internal)
+
+
+def gcp_parts(lines: DataFrame) -> DataFrame:
+    """Partial sums of A3 by (ingestion date, key). A usage day's lines arrive on several
+    ingestion days; the day's row is the sum of its parts (``gcp_daily_from_parts``)."""
+    return _gcp_grouped(lines, F.col("partition_date")).withColumn("usage_month", F.trunc("usage_date", "MM"))
+
+
+def gcp_daily_from_parts(parts: DataFrame, internal: bool = True) -> DataFrame:
+    """A3 rows of the usage days whose parts are given."""
+    g = parts.groupBy(*GCP_KEYS).agg(*[F.max(c).alias(c) for c in _GCP_DESCRIBED],
+                                     *[F.sum(c).alias(c) for c in _GCP_SUMS])
+    return _gcp_shaped(g, internal)
+
+
 # ---------------------------------------------------------------------------
 # A4: Huawei records -> daily
 # ---------------------------------------------------------------------------

@@ -131,6 +131,9 @@ CTE["aws_a1_v2"] = aws_daily_select(P2_JULY_V2, BM_V2)
 CTE["aws_a1_ext"] = aws_daily_select(P2_JULY, internal=False)
 CTE["aws_i"] = aws_daily_select(window_rule(WS, WE))
 
+# the reload of the clean-up run: a full-refresh day, so the previous month on
+CTE["aws_clean"] = aws_daily_select(window_rule("DATE '2001-07-01'", "DATE '2001-08-14'"))
+
 CTE["aws_view"] = """
 SELECT d AS usage_date, make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), 1) AS billing_month,
   line_item_usage_account_id AS usage_account_id, COALESCE(product_servicecode, '') AS service_code,
@@ -209,6 +212,12 @@ GROUP BY 1, 3, 4, 6, 8, 10, 13"""
 
 
 CTE["gcp_daily"] = gcp_daily_select(WS, WE)
+CTE["gcp_runs"] = gcp_daily_select("DATE '2000-12-01'", "DATE '2001-08-02'")
+# the lines from 15 July on arrive five days late
+CTE["gcp_late"] = gcp_daily_select(WS, AS_OF) \
+    .replace("FROM gcp WHERE", """FROM (SELECT * FROM gcp WHERE partition_date < DATE '2001-07-15'
+      UNION ALL SELECT * REPLACE (partition_date + 5 AS partition_date) FROM gcp WHERE partition_date + 5 >= DATE '2001-07-15') late
+  WHERE""")
 CTE["gcp_refresh"] = gcp_daily_select("DATE '2001-07-11'", "DATE '2001-07-20'")
 
 # --- Huawei -------------------------------------------------------------------------
@@ -236,7 +245,8 @@ SELECT strftime(CASE WHEN o_orderkey % 9 = 0 THEN date_trunc('month', o_orderdat
   'payer-' || CAST(o_custkey % 3 AS VARCHAR) AS payer_account_id
 FROM orders"""
 
-CTE["hw_daily_int"] = f"""
+def hw_daily_select(lo: str, hi: str) -> str:
+    return f"""
 SELECT bill_date, CAST(cycle || '-01' AS DATE) AS billing_month,
   COALESCE(payer_account_id, '') AS payer_account_id, COALESCE(customer_id, '') AS customer_id,
   COALESCE(enterprise_project_id, '') AS enterprise_project_id,
@@ -255,9 +265,12 @@ SELECT bill_date, CAST(cycle || '-01' AS DATE) AS billing_month,
   CAST(COALESCE(SUM(official_amount), 0) AS DECIMAL(20,8)) AS official_amount,
   CAST(0 AS DECIMAL(20,8)) AS ext_consume_amount, CAST(0 AS DECIMAL(20,8)) AS ext_debt_amount,
   CAST(0 AS DECIMAL(20,8)) AS ext_official_amount
-FROM hw WHERE bill_date BETWEEN {WS} AND {WE}
+FROM hw WHERE bill_date BETWEEN {lo} AND {hi}
 GROUP BY 1, 2, 3, 4, 5, 7, 9, 11, 14, 16, 17"""
 
+
+CTE["hw_daily_int"] = hw_daily_select(WS, WE)
+
 _EXT = "CAST(customer_id AS INTEGER) % 2 = 0"
 CTE["hw_daily"] = f"""
 SELECT * REPLACE (
@@ -691,6 +704,13 @@ FINAL: dict[str, str] = {
         COALESCE(project_id, '') AS project_id, service_description AS service_name, region,
         credit_sum AS credits_total, credits_null AS credits_missing, usage_unit FROM gcp""",
     "stream_incremental_daily": "SELECT * FROM gcp_daily",
+    "stream_late_lines": "SELECT * FROM gcp_late",
+    "gcp_load_incremental": "SELECT * FROM gcp_runs",
+    "huawei_load_incremental": hw_daily_select("DATE '2000-12-01'", "DATE '2001-08-15'"),
+    "aws_cleanup_job": f"""SELECT * FROM aws_i WHERE NOT (usage_date >= DATE '2001-07-01' AND billing_month >= DATE '2001-07-01')
+        AND NOT EXISTS (SELECT 1 FROM aws_clean n WHERE {" AND ".join(f"n.{k} = aws_i.{k}" for k in _AK)})
+        UNION ALL SELECT * FROM aws_clean""",
+    "service_level_job": f"SELECT {_SLB_COLS} FROM slb",
     "cur_v1_period_scan": """SELECT d AS usage_date, line_item_usage_account_id, line_item_line_item_type,
         line_item_unblended_cost FROM cur WHERE CAST(year AS INTEGER) = 2001 AND CAST(month AS INTEGER) = 7""",
     "cur_v2_period_scan": """SELECT d AS usage_date, line_item_usage_account_id, product_servicename AS service_name,

@@ -1,41 +1,48 @@
 """Runnable jobs: read the current tables, compute, write back only what changed.
 
-Daily and service-level tables are partitioned by month. A run reads only the
-month partitions its refresh window touches (partition pruning), merges them
-with the new loads, writes the result to a staging folder under the shared
-checkpoint folder, and then replaces exactly those partitions of the table with
-dynamic partition overwrite. Staging first is what makes this legal: Spark
-cannot overwrite partitions it is still reading. Untouched history is never
-read or copied. A killed run leaves the previous partitions in place (the
-overwrite happens only after staging completed); a re-run is idempotent.
-
-Small tables that are rebuilt as a whole (daily pricing) and append-only tables
-(invoices, with the duplicate guard) are written directly.
+Daily and service-level tables are partitioned by month. A run aggregates its refresh
+window, stages the new daily rows under the shared checkpoint folder, and takes the months
+to rewrite from the rows themselves: a bill or usage month may lie outside the window.
+Exactly those months are read from the table, merged and replaced (dynamic partition
+overwrite after a second staging: Spark cannot overwrite what it is reading). Months that
+a delete or purge empties are removed. A killed run leaves the old partitions in place up
+to the overwrite; a re-run is idempotent.
+
+Google usage days arrive over several ingestion days. Their partial sums are kept by
+ingestion day (``<table>_parts_*``): a run replaces the ingestion days of its window there
+and rolls the touched usage days up from all their parts, so a late line changes its whole
+day, however late it lands.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ..functions.dates import add_months, first_of_month, refresh_window, rollup_window
-from ..operators.merge import append_new
+from ..functions.dates import add_months, first_of_month, previous_month, refresh_window, rollup_window
+from ..operators import daily
+from ..operators.merge import Batch, append_new, keyed_merge
 from ..session import scratch_path
 from ..sources import cur as cur_src
 from ..sources import files
 from . import billing, loads
 
+_NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first run."""
+    """The table at ``path``, or None before its first run (no folder or no files)."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if str(e.getCondition()).split(".")[0] in _NO_TABLE:
+            return None
+        raise
 
 
 def months_between(lo: dt.date, hi: dt.date) -> list[dt.date]:
@@ -47,60 +54,136 @@ def months_between(lo: dt.date, hi: dt.date) -> list[dt.date]:
     return out
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Stage ``df`` (cuts its lineage to the table it may read), then replace
-    only the partitions present in it."""
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back."""
     spark = df.sparkSession
-    staging = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    path = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def values_of(df: DataFrame, col: str) -> list:
+    """Distinct values of a date column in order (bounded by the calendar)."""
+    return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], replace: Iterable = ()) -> None:
+    """Stage ``df`` (cuts its lineage to the table it may read), replace the partitions
+    present in it, then remove what is left of ``replace`` (values of the first partition
+    column whose old partitions end with this run) and not in ``df``."""
+    spark = df.sparkSession
+    staged = stage(df)
+    old = read_table(spark, path)
+    gone = []
+    if old is not None and list(replace):
+        kept = staged.select(*partition_by).distinct()
+        gone = (old.filter(F.col(partition_by[0]).isin(*replace)).select(*partition_by).distinct()
+                .join(kept, partition_by, "left_anti").collect())   # partitions of a few months
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+    if gone:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for row in gone:
+            leaf = "/".join(f"{c}={row[c]}" for c in partition_by)
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, leaf), True)
 
 
-def _touched(existing: DataFrame | None, col: str, months: list[dt.date]) -> DataFrame | None:
+def _of_months(existing: DataFrame | None, col: str, months: list[dt.date]) -> DataFrame | None:
     return None if existing is None else existing.filter(F.col(col).isin(*months))
 
 
 def run_aws_load(spark: SparkSession, cur_path: str, external_tables: list[str], view_tables: list[str],
-                 table_path: str, as_of: dt.date, first_run: bool = False, cleanup: bool = False) -> list[dt.date]:
-    """internal CUR (parquet, year/month partitions), external CUR tables and
-    amortized views from the catalog, merged into the daily table's touched months.
-
-    Returns the billing months rewritten."""
-    ws, we = refresh_window(as_of, "AWS", first_run)
-    months = months_between(ws, we)
-    target = _touched(read_table(spark, table_path), "billing_month", months)
-    ext = loads.union_tables(spark, external_tables) if external_tables else None
-    views = loads.union_tables(spark, view_tables) if view_tables else None
-    delete = as_of if loads.aws_cleanup_applies(as_of, cleanup) else None
-    out = loads.aws_load(cur_src.read_cur(spark, cur_path), ext, views, ws, we, existing=target,
-                         delete_window_as_of=delete)
-    overwrite_partitions(out, table_path, ["billing_month"])
+                 table_path: str, as_of: dt.date, first_run: bool = False, cleanup: bool = False,
+                 v2_paths: Iterable[str] = (), new_tables: Iterable[str] = (),
+                 explicit_start: dt.date | None = None) -> list[dt.date]:
+    """the internal CUR (v1) and further internal v2 exports, external CUR tables and
+    amortized views from the catalog, merged into the daily table's months.
+
+    ``new_tables``: paths or names that are loaded for the first time and therefore
+    back-fill, whatever the other tables do. ``explicit_start`` sets the window's start for
+    all. Returns the billing months rewritten."""
+    new = set(new_tables)
+
+    def window(name: str) -> tuple[dt.date, dt.date]:
+        return refresh_window(as_of, "AWS", first_run or name in new, explicit_start)
+    inputs = [loads.AwsInput(cur_src.read_cur(spark, cur_path), "internal", window(cur_path))]
+    inputs += [loads.AwsInput(cur_src.read_cur(spark, p), "internal", window(p), cur_src.V2) for p in v2_paths]
+    for kind, names in (("external", external_tables), ("view", view_tables)):
+        # tables of one window are one scan; a key lies in one of them
+        for w in sorted({window(n) for n in names}):
+            inputs.append(loads.AwsInput(loads.union_tables(spark, [n for n in names if window(n) == w]), kind, w))
+    batches = [Batch(stage(b.df), b.update_cols) for b in (i.batch() for i in inputs)]
+    months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
+    existing = read_table(spark, table_path)
+    replaced = set(months)
+    if existing is not None and loads.aws_cleanup_applies(as_of, cleanup):
+        start = add_months(first_of_month(as_of), -1)
+        replaced |= set(values_of(existing.filter(F.col("billing_month") >= F.lit(start)), "billing_month"))
+        existing = loads.aws_window_delete(existing, as_of)
+    out = loads.aws_merge(batches, _of_months(existing, "billing_month", sorted(replaced)))
+    overwrite_partitions(out, table_path, ["billing_month"], replaced)
     return months
 
 
+def refresh_gcp_parts(lines: DataFrame, parts_path: str, dates: list[dt.date]) -> tuple[DataFrame, list[dt.date]]:
+    """Replace the ingestion ``dates`` of a parts table by ``lines`` (all lines of those
+    dates). Returns all parts of the usage days that this changes, and their months."""
+    spark = lines.sparkSession
+    new = stage(daily.gcp_parts(lines))
+    days = new.select("usage_date", "usage_month")
+    old = read_table(spark, parts_path)
+    if old is not None:
+        days = days.unionByName(old.filter(F.col("partition_date").isin(*dates)).select(
+            "usage_date", F.col("usage_month").cast("date").alias("usage_month")))
+    days = stage(days.distinct())
+    overwrite_partitions(new, parts_path, ["partition_date", "usage_month"], dates)
+    months = values_of(days, "usage_month")
+    if not months:
+        return new, months
+    parts = spark.read.parquet(parts_path).filter(F.col("usage_month").isin(*months))
+    return parts.join(days.select("usage_date"), "usage_date", "left_semi"), months
+
+
 def run_gcp_load(spark: SparkSession, export_path: str, table_path: str, as_of: dt.date,
-                 first_run: bool = False) -> list[dt.date]:
-    """export partitioned by ingestion date -> daily -> merge into the usage
-    months the window touches."""
-    ws, we = refresh_window(as_of, "GCP", first_run)
-    months = months_between(ws, we)
-    existing = read_table(spark, table_path)
-    target = None if existing is None else existing.filter(F.col("usage_month").isin(*months)).drop("usage_month")
-    out = loads.gcp_load(spark.read.parquet(export_path), ws, we, existing=target)
+                 first_run: bool = False, external_export_path: str | None = None,
+                 explicit_start: dt.date | None = None) -> list[dt.date]:
+    """exports partitioned by ingestion date (internal, and external if given) -> parts
+    -> whole usage days -> merge into the usage months they lie in."""
+    ws, we = refresh_window(as_of, "GCP", first_run, explicit_start)
+    dates = [ws + dt.timedelta(days=i) for i in range((we - ws).days + 1)]
+    batches, months = [], set()
+    for path, internal in ((export_path, True), (external_export_path, False)):
+        if path is None:
+            continue
+        lines = spark.read.parquet(path).filter(F.col("partition_date").between(F.lit(ws), F.lit(we)))
+        parts, touched = refresh_gcp_parts(lines, f"{table_path}_parts_{'internal' if internal else 'external'}", dates)
+        batches.append(Batch(daily.gcp_daily_from_parts(parts, internal),
+                             daily.GCP_DESCRIPTORS + (daily.GCP_INTERNAL if internal else daily.GCP_EXTERNAL)))
+        months |= set(touched)
+    existing = _of_months(read_table(spark, table_path), "usage_month", sorted(months))
+    out = keyed_merge(None if existing is None else existing.drop("usage_month"), batches, daily.GCP_KEYS, daily.GCP_COLUMNS)
     overwrite_partitions(out.withColumn("usage_month", F.trunc("usage_date", "MM")), table_path, ["usage_month"])
-    return months
+    return sorted(months)
 
 
 def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: str | None, table_path: str,
-                    as_of: dt.date, first_run: bool = False) -> list[dt.date]:
-    """landed JSON pages (internal and external accounts) -> merge. Bill
-    cycles may run one month past the bill date, hence one extra month."""
-    ws, we = refresh_window(as_of, "HWC", first_run)
-    months = months_between(ws, add_months(first_of_month(we), 1))
-    target = _touched(read_table(spark, table_path), "billing_month", months)
-    ext = files.read_huawei_pages(spark, external_pages) if external_pages else None
-    out = loads.huawei_load(files.read_huawei_pages(spark, internal_pages), ext, ws, we, existing=target)
+                    as_of: dt.date, first_run: bool = False, external_first_run: bool | None = None,
+                    explicit_start: dt.date | None = None) -> list[dt.date]:
+    """landed JSON pages (internal and external accounts) -> merge into the cycles the
+    records belong to, whatever their bill dates. The external accounts may have a window
+    of their own (``external_first_run``)."""
+    def window(first: bool) -> tuple[dt.date, dt.date]:
+        return refresh_window(as_of, "HWC", first, explicit_start)
+    batches = [Batch(stage(daily.huawei_daily_cost(files.read_huawei_pages(spark, internal_pages), *window(first_run), True)),
+                     daily.HWC_DESCRIPTORS + daily.HWC_INTERNAL)]
+    if external_pages:
+        first = first_run if external_first_run is None else external_first_run
+        batches.append(Batch(stage(daily.huawei_daily_cost(files.read_huawei_pages(spark, external_pages), *window(first), False)),
+                             daily.HWC_DESCRIPTORS + daily.HWC_EXTERNAL))
+    months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
+    existing = _of_months(read_table(spark, table_path), "billing_month", months)
+    out = keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS)
     overwrite_partitions(out, table_path, ["billing_month"])
     return months
 
@@ -112,14 +195,16 @@ def run_service_level(spark: SparkSession, aws_path: str, gcp_path: str, hw_path
 
     The window starts on the first of a month, so upsert (K5) followed by the
     purge of untouched window rows (K10) leaves exactly this run's rows in the
-    window months: those partitions are replaced, older ones are kept."""
+    window months: those partitions are replaced, emptied ones removed, older ones kept."""
     gcp = read_table(spark, gcp_path).drop("usage_month")
     out = billing.service_level_billing(read_table(spark, aws_path), gcp, read_table(spark, hw_path),
                                         service_types, as_of, run_ts)
     ws, _ = rollup_window(as_of)
     out = out.withColumn("usage_month", F.trunc("usage_date", "MM"))
+    old = read_table(spark, table_path)
+    window = [] if old is None else values_of(old.filter(F.col("usage_month") >= F.lit(ws)), "usage_month")
     # outside-of-month rows may be dated after the window end (last day of a late billing month)
-    overwrite_partitions(out.filter(F.col("usage_date") >= F.lit(ws)), table_path, ["usage_month"])
+    overwrite_partitions(out.filter(F.col("usage_date") >= F.lit(ws)), table_path, ["usage_month"], window)
 
 
 def run_daily_pricing(spark: SparkSession, pricing_rows: DataFrame, table_path: str, as_of: dt.date) -> None:
@@ -132,16 +217,17 @@ def run_monthly_invoice(spark: SparkSession, slb_path: str, products: DataFrame,
                         product_accounts: DataFrame, pricing_path: str, pricing_rows: DataFrame,
                         billings_path: str, as_of: dt.date) -> None:
     """F6 + K8: invoices of the previous month appended once (guarded)."""
+    start, end = previous_month(as_of)
+
+    def month(path: str, col: str) -> DataFrame:
+        return read_table(spark, path).filter(F.col(col).between(F.lit(start), F.lit(end))).drop(col)
     existing = read_table(spark, billings_path)
     billed = existing if existing is not None else _empty_billings(spark)
-    inv = billing.monthly_invoice(read_table(spark, slb_path).drop("usage_month"), products, organizations,
-                                  product_accounts, read_table(spark, pricing_path).drop("pricing_month"),
-                                  pricing_rows, billed, as_of)
+    inv = billing.monthly_invoice(month(slb_path, "usage_month"), products, organizations, product_accounts,
+                                  month(pricing_path, "pricing_month"), pricing_rows, billed, as_of)
     guard = ["month_date", "product_id", "cloud_provider"]
     fresh = inv.join(billed.select(*guard).distinct(), guard, "left_anti")
-    staged = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
-    fresh.write.parquet(staged)
-    spark.read.parquet(staged).write.mode("append").parquet(billings_path)
+    stage(fresh).write.mode("append").parquet(billings_path)
 
 
 def run_customer_cost(spark: SparkSession, slb_path: str, aws_path: str, products: DataFrame,
@@ -149,13 +235,16 @@ def run_customer_cost(spark: SparkSession, slb_path: str, aws_path: str, product
                       amortized: DataFrame, billing_entity_map: DataFrame, table_path: str,
                       as_of: dt.date) -> None:
     """F7 + K7: upsert into the months of the window (previous and current)."""
-    new = billing.customer_daily_cost(read_table(spark, slb_path).drop("usage_month"),
-                                      read_table(spark, aws_path), products, organizations, product_accounts,
-                                      read_table(spark, pricing_path).drop("pricing_month"), amortized,
-                                      billing_entity_map, as_of)
-    months = months_between(add_months(first_of_month(as_of), -1), as_of)
-    existing = read_table(spark, table_path)
-    target = None if existing is None else existing.filter(F.col("day_month").isin(*months)).drop("day_month")
+    start = add_months(first_of_month(as_of), -1)
+
+    def since(path: str, col: str) -> DataFrame:
+        return read_table(spark, path).filter(F.col(col).between(F.lit(start), F.lit(as_of))).drop(col)
+    new = billing.customer_daily_cost(since(slb_path, "usage_month"), read_table(spark, aws_path), products,
+                                      organizations, product_accounts, since(pricing_path, "pricing_month"),
+                                      stage(amortized), billing_entity_map, as_of)
+    months = months_between(start, as_of)
+    target = _of_months(read_table(spark, table_path), "day_month", months)
+    target = None if target is None else target.drop("day_month")
     out = new if target is None else billing.customer_cost_upsert(target, new)
     overwrite_partitions(out.withColumn("day_month", F.trunc("day", "MM")), table_path, ["day_month"])
 

@@ -4,6 +4,7 @@ measures), merged into the existing table."""
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,23 +60,42 @@ def aws_window_delete(existing: DataFrame, as_of: dt.date) -> DataFrame:
     return window_delete(existing, (F.col("usage_date") >= F.lit(d)) & (F.col("billing_month") >= F.lit(d)))
 
 
+@dataclass(frozen=True)
+class AwsInput:
+    """One source of the AWS load: a CUR table (``layout`` says which report version) or a
+    pre-aggregated view, internal or external, with its own refresh window."""
+    df: DataFrame
+    kind: str                                # "internal", "external" or "view"
+    window: tuple[dt.date, dt.date]
+    layout: cur_src.CurLayout = cur_src.V1
+
+    def batch(self) -> Batch:
+        if self.kind == "view":
+            rows = daily.aws_daily_from_view(scan_view_window(self.df, *self.window))
+        else:
+            rows = daily.aws_daily_cost_window(self.df, self.layout, *self.window, self.kind == "internal")
+        own = daily.AWS_INTERNAL if self.kind == "internal" else daily.AWS_EXTERNAL
+        return Batch(rows, daily.AWS_DESCRIPTORS + own)
+
+
+def aws_merge(batches: list[Batch], existing: DataFrame | None) -> DataFrame:
+    """Batches applied in order (the order is observable on the shared descriptors)."""
+    return keyed_merge(existing, batches, daily.AWS_KEYS, daily.AWS_COLUMNS)
+
+
 def aws_load(internal_cur: DataFrame, external_cur: DataFrame | None, views: DataFrame | None,
              ws: dt.date, we: dt.date, existing: DataFrame | None = None,
              layout: cur_src.CurLayout = cur_src.V1, delete_window_as_of: dt.date | None = None) -> DataFrame:
     """internal CUR -> internal measures; external CURs -> external measures;
-    amortized views -> external measures; applied in that order (the order is
-    observable on the shared descriptor columns)."""
+    amortized views -> external measures; applied in that order."""
     if existing is not None and delete_window_as_of is not None:
         existing = aws_window_delete(existing, delete_window_as_of)
-    batches = [Batch(daily.aws_daily_cost_window(internal_cur, layout, ws, we, True),
-                     daily.AWS_DESCRIPTORS + daily.AWS_INTERNAL)]
+    inputs = [AwsInput(internal_cur, "internal", (ws, we), layout)]
     if external_cur is not None:
-        batches.append(Batch(daily.aws_daily_cost_window(external_cur, layout, ws, we, False),
-                             daily.AWS_DESCRIPTORS + daily.AWS_EXTERNAL))
+        inputs.append(AwsInput(external_cur, "external", (ws, we), layout))
     if views is not None:
-        batches.append(Batch(daily.aws_daily_from_view(scan_view_window(views, ws, we)),
-                             daily.AWS_DESCRIPTORS + daily.AWS_EXTERNAL))
-    return keyed_merge(existing, batches, daily.AWS_KEYS, daily.AWS_COLUMNS, partition_col="billing_month")
+        inputs.append(AwsInput(views, "view", (ws, we)))
+    return aws_merge([i.batch() for i in inputs], existing)
 
 
 def gcp_load(export: DataFrame, ws: dt.date, we: dt.date, existing: DataFrame | None = None,
@@ -94,4 +114,4 @@ def huawei_load(internal_records: DataFrame, external_records: DataFrame | None,
     if external_records is not None:
         batches.append(Batch(daily.huawei_daily_cost(external_records, ws, we, False),
                              daily.HWC_DESCRIPTORS + daily.HWC_EXTERNAL))
-    return keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS, partition_col="billing_month")
+    return keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS)

@@ -20,7 +20,7 @@ from .functions.classify import billing_type_class
 from .functions.dates import previous_month, refresh_window, rollup_window
 from .operators import amortized, costs, daily, pricing, reports, rollup
 from .operators.merge import Batch, append_new, keyed_merge, upsert_all
-from .plans import billing, loads
+from .plans import billing, jobs, loads
 from .session import scratch_path
 from .sources import cur as cur_src
 from .sources import files
@@ -38,6 +38,13 @@ REPORT_LO, REPORT_HI = dt.date(2001, 7, 1), dt.date(2001, 7, 31)
 UNCLASSIFIED_HI = dt.date(2001, 7, 7)
 REFRESH_AS_OF = dt.date(2001, 7, 20)
 ORG_FINDER = (2, C.AWS)
+LATE_FROM = dt.date(2001, 7, 15)
+# first run, full-refresh days, and days with a ten-day window that starts inside a month
+GCP_RUNS = [dt.date(2001, 6, 25), dt.date(2001, 7, 3), dt.date(2001, 7, 12), dt.date(2001, 7, 21),
+            dt.date(2001, 7, 30), dt.date(2001, 8, 2)]
+HW_RUNS = [dt.date(2001, 6, 25), dt.date(2001, 7, 4), dt.date(2001, 7, 12), dt.date(2001, 7, 21),
+           dt.date(2001, 7, 30), dt.date(2001, 8, 4), dt.date(2001, 8, 13), dt.date(2001, 8, 15)]
+CLEANUP_AS_OF = dt.date(2001, 8, 14)
 PURGE_START = dt.date(2001, 7, 1)
 SLB_CMP = [c for c in billing.SLB_OUT if c != "last_updated_at"]
 
@@ -619,6 +626,67 @@ def _q_r1(f: Fixture) -> DataFrame:
     return incremental.run_fixture_stream(f.spark, f.gcp_export, WS, WE)
 
 
+@query("stream_late_lines")
+def _q_r1b(f: Fixture) -> DataFrame:
+    """Lines of every ingestion day from the middle of a month on land a second time,
+    five days late: their usage days were complete before."""
+    late = f.gcp_export.withColumn("partition_date", F.date_add("partition_date", 5))
+    both = f.gcp_export.filter(F.col("partition_date") < F.lit(LATE_FROM)).unionByName(
+        late.filter(F.col("partition_date") >= F.lit(LATE_FROM)))
+    return incremental.run_fixture_stream(f.spark, both, WS, AS_OF, late_from=LATE_FROM)
+
+
+# --- jobs: a first run and incremental runs over the same table --------------------------------
+
+def _job_table(f: Fixture, name: str) -> str:
+    return scratch_path(f.spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("gcp_load_incremental")
+def _q_f2_jobs(f: Fixture) -> DataFrame:
+    """F2 as a job, run after run; the windows overlap and cut usage days."""
+    path = _job_table(f, "gcp-job")
+    for i, as_of in enumerate(GCP_RUNS):
+        jobs.run_gcp_load(f.spark, fx.landed_exports(f.spark, f.d)["gcp"], path, as_of, first_run=i == 0)
+    return jobs.read_table(f.spark, path).select(*daily.GCP_COLUMNS)
+
+
+@query("huawei_load_incremental")
+def _q_f3_jobs(f: Fixture) -> DataFrame:
+    """F3 as a job, run after run; some records belong to the cycle after their bill date."""
+    path = _job_table(f, "hw-job")
+    for i, as_of in enumerate(HW_RUNS):
+        jobs.run_huawei_load(f.spark, fx.landed_exports(f.spark, f.d)["huawei"], None, path, as_of, first_run=i == 0)
+    return jobs.read_table(f.spark, path).select(*daily.HWC_COLUMNS)
+
+
+@query("aws_cleanup_job")
+def _q_f1_jobs(f: Fixture) -> DataFrame:
+    """F1 as a job with the clean-up of K9: the table holds a later month that nothing
+    reloads, which the delete empties."""
+    path = _job_table(f, "aws-job")
+    old = daily.aws_daily_cost_window(f.cur, cur_src.V1, WS, WE, True)
+    stray = old.filter(F.col("billing_month") == F.lit(PREV_START)).withColumn(
+        "billing_month", F.lit(dt.date(2001, 12, 1))).withColumn("usage_date", F.add_months("usage_date", 5))
+    jobs.overwrite_partitions(old.unionByName(stray), path, ["billing_month"])
+    jobs.run_aws_load(f.spark, fx.landed_exports(f.spark, f.d)["cur"], [], [], path, CLEANUP_AS_OF, cleanup=True)
+    return jobs.read_table(f.spark, path).select(*daily.AWS_COLUMNS)
+
+
+@query("service_level_job")
+def _q_f4_jobs(f: Fixture) -> DataFrame:
+    """F4 as a job over a table with a window month that this run leaves empty."""
+    paths = {k: _job_table(f, k) for k in ("aws", "gcp", "hw", "slb")}
+    f.load_daily_tables()
+    jobs.overwrite_partitions(f.aws_daily, paths["aws"], ["billing_month"])
+    jobs.overwrite_partitions(f.gcp_daily.withColumn("usage_month", F.trunc("usage_date", "MM")), paths["gcp"], ["usage_month"])
+    jobs.overwrite_partitions(f.hw_daily, paths["hw"], ["billing_month"])
+    stale = f.slb.limit(5).withColumn("usage_date", F.lit(dt.date(2002, 3, 5)))
+    jobs.overwrite_partitions(stale.withColumn("usage_month", F.trunc("usage_date", "MM")), paths["slb"], ["usage_month"])
+    jobs.run_service_level(f.spark, paths["aws"], paths["gcp"], paths["hw"], f.service_types, paths["slb"], AS_OF, RUN_TS)
+    return jobs.read_table(f.spark, paths["slb"]).select(*SLB_CMP)
+
+
 # --- operators that the flows use internally, each with its own key ------------------------
 
 @query("cur_v1_period_scan")

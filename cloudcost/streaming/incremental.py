@@ -1,13 +1,13 @@
 """Incremental daily load as Structured Streaming.
 
 Raw export files land in a folder partitioned by ingestion date. A file stream
-with ``trigger(availableNow=True)`` and a checkpoint picks up new files; for each
-micro-batch ``foreachBatch`` finds the usage dates it touches, recomputes those
-whole dates from all landed raw lines (a usage day spreads over several
-ingestion days), and overwrites just those date partitions of the daily table
-(dynamic partition overwrite). A replayed batch rewrites the same partitions
-with the same rows, so the sink is idempotent; late lines are handled by the
-recompute. The checkpoint replaces the reference's sync-history ledger.
+with ``trigger(availableNow=True)`` and a checkpoint picks up new files. For each
+micro-batch ``foreachBatch`` re-sums the ingestion days it brought lines of (reading
+just those folders) into the partial sums kept by ingestion day, rolls the usage days
+they touch up from all their parts, and overwrites exactly those date partitions of the
+daily table. A usage day is thus always the sum of everything that has landed for it,
+however late a line comes; a replayed batch writes the same rows again. The checkpoint
+replaces the reference's sync-history ledger.
 """
 
 from __future__ import annotations
@@ -19,17 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import daily
+from ..plans.jobs import refresh_gcp_parts, values_of
 from ..session import scratch_path
 
 
 def gcp_incremental_load(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
-                         ws: dt.date, we: dt.date, max_lag_days: int | None = None,
-                         files_per_trigger: int | None = None) -> None:
-    """Run the stream until all landed files are processed.
-
-    ``max_lag_days`` bounds how many ingestion days after a usage day its lines
-    may land; when given, the recompute reads only those ingestion partitions.
-    """
+                         ws: dt.date, we: dt.date, files_per_trigger: int | None = None) -> None:
+    """Run the stream until all landed files are processed. ``ws`` and ``we`` bound the
+    ingestion days that count; the parts lie beside the table."""
     schema = spark.read.parquet(landing_dir).schema
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
@@ -37,29 +34,12 @@ def gcp_incremental_load(spark: SparkSession, landing_dir: str, table_dir: str,
     stream = reader.parquet(landing_dir)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the usage dates this micro-batch touches: at most one value per
-        # calendar day, so the list is bounded and goes to the driver
-        days = sorted(r[0] for r in batch.select(F.to_date("usage_start_time")).distinct().collect()
-                      if r[0] is not None)
-        if not days:
+        dates = values_of(batch.filter(F.col("partition_date").between(F.lit(ws), F.lit(we))), "partition_date")
+        if not dates:
             return
-        bounds = {"lo": days[0], "hi": days[-1]}
-        if max_lag_days is None:
-            raw = spark.read.schema(schema).parquet(landing_dir)
-        else:
-            # list only the ingestion-day folders that can hold lines of the
-            # touched usage dates (never the whole landing history); the
-            # batch's own files live in them, so the glob is never empty
-            n = (bounds["hi"] - bounds["lo"]).days + max_lag_days + 1
-            folders = ",".join(str(bounds["lo"] + dt.timedelta(days=i)) for i in range(n))
-            raw = (spark.read.schema(schema).option("basePath", landing_dir)
-                   .parquet(f"{landing_dir}/partition_date={{{folders}}}"))
-        ts = F.col("usage_start_time")
-        raw = raw.filter((ts >= F.lit(dt.datetime.combine(days[0], dt.time())))
-                         & (ts < F.lit(dt.datetime.combine(days[-1] + dt.timedelta(days=1), dt.time())))
-                         & F.to_date(ts).isin(*days))
-        rows = daily.gcp_daily_cost(raw, ws, we, internal=True)
-        (rows.write.mode("overwrite").partitionBy("usage_date")
+        lines = spark.read.schema(schema).parquet(landing_dir).filter(F.col("partition_date").isin(*dates))
+        parts, _ = refresh_gcp_parts(lines, f"{table_dir}_parts", dates)
+        (daily.gcp_daily_from_parts(parts, internal=True).write.mode("overwrite").partitionBy("usage_date")
          .option("partitionOverwriteMode", "dynamic").parquet(table_dir))
 
     q = (stream.writeStream.foreachBatch(upsert_batch)
@@ -74,12 +54,22 @@ def read_daily_table(spark: SparkSession, table_dir: str) -> DataFrame:
                       for c in daily.GCP_COLUMNS])
 
 
-def run_fixture_stream(spark: SparkSession, export: DataFrame, ws: dt.date, we: dt.date) -> DataFrame:
-    """Land the export by ingestion date, stream it in several micro-batches
-    and return the final daily table (equal to the batch A3 over the window)."""
+def land(export: DataFrame, landing: str) -> None:
+    """Write an export as its job would: folders by ingestion day, files of bounded size."""
+    (export.repartition("partition_date").write.mode("append").option("maxRecordsPerFile", 1_000_000)
+     .partitionBy("partition_date").parquet(landing))
+
+
+def run_fixture_stream(spark: SparkSession, export: DataFrame, ws: dt.date, we: dt.date,
+                       late_from: dt.date | None = None) -> DataFrame:
+    """Land the export by ingestion date, stream it in several micro-batches and return the
+    final daily table (equal to the batch A3 over the window). With ``late_from`` the lines
+    of later ingestion days land after a first complete run of the stream."""
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/_checkpoint"
-    # one file per ingestion day, as an export job would land them
-    export.repartition("partition_date").write.mode("overwrite").partitionBy("partition_date").parquet(landing)
-    gcp_incremental_load(spark, landing, table, ckpt, ws, we, max_lag_days=2, files_per_trigger=8)
+    steps = [export] if late_from is None else [export.filter(F.col("partition_date") < F.lit(late_from)),
+                                                export.filter(F.col("partition_date") >= F.lit(late_from))]
+    for step in steps:
+        land(step, landing)
+        gcp_incremental_load(spark, landing, table, ckpt, ws, we, files_per_trigger=8 if len(steps) == 1 else 40)
     return read_daily_table(spark, table)

@@ -35,3 +35,72 @@ def test_gcp_scan_prunes_ingestion_dates(spark):
 def test_no_nested_loops_or_python(spark, key):
     plan = _plan(spark, key)
     assert not [b for b in BAD if b in plan], plan
+
+
+@pytest.fixture(scope="module")
+def month_tables(spark):
+    import uuid
+
+    from cloudcost import registry as R
+    from cloudcost.plans import jobs
+    from cloudcost.session import scratch_path
+    from pyspark.sql import functions as F
+    f = R.Fixture(spark, SF)
+    f.load_daily_tables()
+    base = scratch_path(spark, f"plans-test-{uuid.uuid4().hex}")
+    paths = {k: f"{base}/{k}" for k in ("aws", "gcp", "hw")}
+    jobs.overwrite_partitions(f.aws_daily, paths["aws"], ["billing_month"])
+    jobs.overwrite_partitions(f.gcp_daily.withColumn("usage_month", F.trunc("usage_date", "MM")), paths["gcp"], ["usage_month"])
+    jobs.overwrite_partitions(f.hw_daily, paths["hw"], ["billing_month"])
+    return {k: jobs.read_table(spark, p) for k, p in paths.items()}
+
+
+def _filters(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [ln.split("PartitionFilters: [")[1].split("]")[0] for ln in plan.split("\n") if "PartitionFilters: [" in ln]
+
+
+def test_rollups_and_payer_costs_prune_months(month_tables):
+    import datetime as dt
+
+    from cloudcost.operators import rollup
+    ws, we = dt.date(2001, 2, 1), dt.date(2001, 8, 15)
+    for df in (rollup.rollup_aws(month_tables["aws"], ws, we, None), rollup.rollup_huawei(month_tables["hw"], ws, we, None)):
+        found = _filters(df)
+        assert found and all("billing_month" in x for x in found)
+
+
+def test_emptied_and_missing_tables(spark, tmp_path):
+    import datetime as dt
+
+    from cloudcost.plans import jobs
+    schema = "m date, v int"
+    rows = [(dt.date(2001, i, 1), i) for i in (1, 2, 3)]
+    path = str(tmp_path / "t")
+    assert jobs.read_table(spark, path) is None
+    jobs.overwrite_partitions(spark.createDataFrame(rows, schema), path, ["m"])
+    jobs.overwrite_partitions(spark.createDataFrame([(dt.date(2001, 3, 1), 9)], schema), path, ["m"],
+                              [dt.date(2001, 2, 1), dt.date(2001, 3, 1)])
+    assert sorted((r.m.month, r.v) for r in jobs.read_table(spark, path).collect()) == [(1, 1), (3, 9)]
+    with pytest.raises(Exception):
+        jobs.read_table(spark, "nosuchscheme://x/y")
+
+
+def test_late_line_changes_its_whole_day(spark, tmp_path):
+    import datetime as dt
+
+    from cloudcost import registry as R
+    from cloudcost.operators import daily
+    from cloudcost.plans import jobs
+    from pyspark.sql import functions as F
+    export = R.Fixture(spark, SF).gcp_export.filter("partition_date between date'2001-07-20' and date'2001-07-28'")
+    day = dt.date(2001, 7, 20)
+    late = export.filter(F.to_date("usage_start_time") == F.lit(day)).withColumn("partition_date", F.lit(dt.date(2001, 7, 29)))
+    landing, table = str(tmp_path / "landing"), str(tmp_path / "table")
+    export.write.partitionBy("partition_date").parquet(landing)
+    jobs.run_gcp_load(spark, landing, table, dt.date(2001, 7, 28), explicit_start=dt.date(2001, 7, 1))
+    late.write.mode("append").partitionBy("partition_date").parquet(landing)
+    jobs.run_gcp_load(spark, landing, table, dt.date(2001, 7, 29), explicit_start=dt.date(2001, 7, 29))
+    want = daily.gcp_daily_cost(export.unionByName(late), dt.date(2001, 7, 1), dt.date(2001, 7, 31))
+    got = jobs.read_table(spark, table).select(*daily.GCP_COLUMNS)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
