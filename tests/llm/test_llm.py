@@ -193,7 +193,7 @@ def brute_repeats(docs):
     return out
 
 
-@pytest.mark.parametrize("hot", [12, 0])
+@pytest.mark.parametrize("hot", [8, 0])
 def test_substrings_against_brute_force(spark, hot):
     rng = random.Random(5)
     shared = ["".join(rng.choices("abcd ", k=n)) for n in (49, 50, 51, 80, 300)]
