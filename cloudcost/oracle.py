@@ -52,7 +52,7 @@ SELECT l.l_shipdate AS line_item_usage_start_date,
   CAST(l.l_suppkey AS VARCHAR) AS line_item_usage_account_id,
   'payer-' || CAST(l.l_suppkey % 3 AS VARCHAR) AS bill_payer_account_id,
   CASE WHEN l.l_suppkey % 10 = 0 THEN 'AWS Marketplace' ELSE 'AWS' END AS bill_billing_entity,
-  CASE WHEN p.p_size % 11 = 0 THEN NULL ELSE p.p_type END AS product_servicecode,
+  CASE WHEN p.p_size % 11 = 0 THEN NULL WHEN p.p_size % 13 = 0 THEN '' ELSE p.p_type END AS product_servicecode,
   p.p_name AS product_servicename, p.p_brand AS product_sku,
   'r-' || CAST(s.s_nationkey AS VARCHAR) AS product_region,
   'loc-' || CAST(s.s_nationkey AS VARCHAR) AS product_location,
@@ -81,6 +81,12 @@ JOIN part p ON l.l_partkey = p.p_partkey
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
 """
 
+# the external accounts' tables: the same lines at other prices
+CTE["cur_ext"] = """
+SELECT * REPLACE (CAST(line_item_unblended_cost * 1.25 AS DECIMAL(20,8)) AS line_item_unblended_cost,
+  CAST(line_item_blended_cost * 1.5 AS DECIMAL(20,8)) AS line_item_blended_cost,
+  CAST(line_item_net_unblended_cost * 1.75 AS DECIMAL(20,8)) AS line_item_net_unblended_cost) FROM cur"""
+
 BM_V1 = "make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), 1)"
 BM_V2 = "CAST(billing_period || '-01' AS DATE)"
 
@@ -130,6 +136,7 @@ CTE["aws_a1_v1"] = aws_daily_select(P2_JULY)
 CTE["aws_a1_v2"] = aws_daily_select(P2_JULY_V2, BM_V2)
 CTE["aws_a1_ext"] = aws_daily_select(P2_JULY, internal=False)
 CTE["aws_i"] = aws_daily_select(window_rule(WS, WE))
+CTE["aws_e"] = aws_daily_select(window_rule(WS, WE), internal=False, src="cur_ext")
 
 # the reload of the clean-up run: a full-refresh day, so the previous month on
 CTE["aws_clean"] = aws_daily_select(window_rule("DATE '2001-07-01'", "DATE '2001-08-14'"))
@@ -164,18 +171,18 @@ SELECT {", ".join("i." + k for k in _AK)},
   CASE WHEN v.usage_date IS NULL THEN i.usage_amount ELSE v.usage_amount END AS usage_amount,
   CASE WHEN v.usage_date IS NULL THEN i.usage_unit ELSE v.usage_unit END AS usage_unit,
   i.unblended_cost, i.blended_cost, i.net_unblended_cost,
-  CASE WHEN v.usage_date IS NULL THEN i.unblended_cost ELSE v.cost END AS ext_unblended_cost,
-  CASE WHEN v.usage_date IS NULL THEN i.blended_cost ELSE CAST(0 AS DECIMAL(20,8)) END AS ext_blended_cost,
+  CASE WHEN v.usage_date IS NULL THEN e.ext_unblended_cost ELSE v.cost END AS ext_unblended_cost,
+  CASE WHEN v.usage_date IS NULL THEN e.ext_blended_cost ELSE CAST(0 AS DECIMAL(20,8)) END AS ext_blended_cost,
   CAST(0 AS DECIMAL(20,8)) AS ext_net_unblended_cost
-FROM aws_i i LEFT JOIN aws_vw v ON {_ON}"""
+FROM aws_i i JOIN aws_e e USING ({", ".join(_AK)}) LEFT JOIN aws_vw v ON {_ON}"""
 
 # --- GCP -------------------------------------------------------------------------
 CTE["gcp"] = r"""
 SELECT ust AS usage_start_time,
   CAST(ust AS DATE) + CAST(event_id % 3 AS INTEGER) AS partition_date,
   'ba-' || CAST(user_id % 3 AS VARCHAR) AS billing_account_id,
-  CASE WHEN user_id % 20 = 0 THEN NULL ELSE 'p-' || CAST(user_id % 20 AS VARCHAR) END AS project_id,
-  'proj ' || CAST(user_id % 20 AS VARCHAR) AS project_name,
+  CASE WHEN user_id % 20 = 0 THEN NULL ELSE 'p-' || CAST(user_id AS VARCHAR) END AS project_id,
+  'proj ' || CAST(user_id AS VARCHAR) AS project_name,
   event_type AS service_id, upper(event_type) AS service_description,
   'sku-' || CAST(k % 10 AS VARCHAR) AS sku_id, 'SKU-' || CAST(k % 10 AS VARCHAR) AS sku_description,
   'eu-' || CAST(k % 3 AS VARCHAR) AS region, 'EU' AS location, 'EUR' AS currency,
@@ -192,7 +199,9 @@ FROM (SELECT *, CAST(CAST(value AS DECIMAL(20,8)) * -0.1 AS DECIMAL(20,8)) AS a1
                    ts - INTERVAL 8219 DAY AS ust FROM events))"""
 
 
-def gcp_daily_select(lo: str, hi: str, where_extra: str = "TRUE") -> str:
+def gcp_daily_select(lo: str, hi: str, internal: bool = True) -> str:
+    own, other = ("", "ext_") if internal else ("ext_", "")
+    price, credit = ("1", "1") if internal else ("2", "3")
     return f"""
 SELECT CAST(usage_start_time AS DATE) AS usage_date,
   CAST(MAX(strptime(invoice_month, '%Y%m')) AS DATE) AS billing_month,
@@ -204,14 +213,18 @@ SELECT CAST(usage_start_time AS DATE) AS usage_date,
   COALESCE(MAX(currency), '') AS currency, COALESCE(cost_type, '') AS cost_type,
   CAST(ROUND(COALESCE(SUM(usage_amount), 0), 8) AS DECIMAL(30,8)) AS usage_amount,
   COALESCE(MAX(usage_unit), '') AS usage_unit,
-  CAST(ROUND(COALESCE(SUM(cost), 0), 8) AS DECIMAL(20,8)) AS cost,
-  CAST(ROUND(SUM(credit_sum), 8) AS DECIMAL(20,8)) AS credits,
-  CAST(0 AS DECIMAL(20,8)) AS ext_cost, CAST(0 AS DECIMAL(20,8)) AS ext_credits
-FROM gcp WHERE partition_date BETWEEN {lo} AND {hi} AND {where_extra}
+  CAST(ROUND(COALESCE(SUM(cost * {price}), 0), 8) AS DECIMAL(20,8)) AS {own}cost,
+  CAST(ROUND(SUM(credit_sum * {credit}), 8) AS DECIMAL(20,8)) AS {own}credits,
+  CAST(0 AS DECIMAL(20,8)) AS {other}cost, CAST(0 AS DECIMAL(20,8)) AS {other}credits
+FROM gcp WHERE partition_date BETWEEN {lo} AND {hi}
 GROUP BY 1, 3, 4, 6, 8, 10, 13"""
 
 
 CTE["gcp_daily"] = gcp_daily_select(WS, WE)
+CTE["gcp_e"] = gcp_daily_select(WS, WE, internal=False)
+CTE["gcp_both"] = """
+SELECT gcp_daily.* REPLACE (gcp_e.ext_cost AS ext_cost, gcp_e.ext_credits AS ext_credits) FROM gcp_daily
+JOIN gcp_e USING (usage_date, billing_account_id, project_id, service_code, sku_id, region, cost_type)"""
 CTE["gcp_runs"] = gcp_daily_select("DATE '2000-12-01'", "DATE '2001-08-02'")
 # the lines from 15 July on arrive five days late
 CTE["gcp_late"] = gcp_daily_select(WS, AS_OF) \
@@ -226,7 +239,7 @@ SELECT strftime(CASE WHEN o_orderkey % 9 = 0 THEN date_trunc('month', o_orderdat
                      ELSE date_trunc('month', o_orderdate) END, '%Y-%m') AS cycle,
   CAST(o_orderdate AS DATE) AS bill_date,
   CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 15 WHEN 'P' THEN 4 END AS bill_type,
-  CAST(o_custkey % 100 AS VARCHAR) AS customer_id,
+  CAST(o_custkey AS VARCHAR) AS customer_id,
   'eu-west-' || CAST(o_custkey % 2 AS VARCHAR) AS region,
   'EU West ' || CAST(o_custkey % 2 AS VARCHAR) AS region_name,
   o_orderpriority AS cloud_service_type,
@@ -271,12 +284,10 @@ GROUP BY 1, 2, 3, 4, 5, 7, 9, 11, 14, 16, 17"""
 
 CTE["hw_daily_int"] = hw_daily_select(WS, WE)
 
-_EXT = "CAST(customer_id AS INTEGER) % 2 = 0"
-CTE["hw_daily"] = f"""
-SELECT * REPLACE (
-  CAST(CASE WHEN {_EXT} THEN consume_amount ELSE 0 END AS DECIMAL(20,8)) AS ext_consume_amount,
-  CAST(CASE WHEN {_EXT} THEN debt_amount ELSE 0 END AS DECIMAL(20,8)) AS ext_debt_amount,
-  CAST(CASE WHEN {_EXT} THEN official_amount ELSE 0 END AS DECIMAL(20,8)) AS ext_official_amount)
+# every external amount is a fixed multiple of the line's internal one, so the sums are too
+CTE["hw_daily"] = """
+SELECT * REPLACE (CAST(consume_amount * 1.1 AS DECIMAL(20,8)) AS ext_consume_amount, debt_amount AS ext_debt_amount,
+  CAST(official_amount * 1.3 AS DECIMAL(20,8)) AS ext_official_amount)
 FROM hw_daily_int"""
 
 
@@ -289,7 +300,7 @@ _LINES = {
         consume_amount AS c, ext_official_amount AS e FROM hw_daily""",
     "GCP": """SELECT usage_date AS day, billing_month, billing_account_id AS ba, project_id AS ua, project_name AS uan,
         service_code AS sc, service_name AS sn, cost_type AS bt, ifnull(cost, 0) + ifnull(credits, 0) AS c,
-        ifnull(ext_cost, 0) + ifnull(ext_credits, 0) AS e FROM gcp_daily""",
+        ifnull(ext_cost, 0) + ifnull(ext_credits, 0) AS e FROM gcp_both""",
     "AWS": """SELECT usage_date AS day, billing_month, '' AS ba, usage_account_id AS ua, CAST(NULL AS VARCHAR) AS uan,
         service_code AS sc, service_name AS sn, billing_type AS bt, unblended_cost AS c,
         ext_unblended_cost AS e FROM aws_daily""",
@@ -360,9 +371,9 @@ CTE["product_accounts"] = """
 SELECT CAST(s_suppkey AS BIGINT) AS product_id, CAST(s_nationkey + 1 AS BIGINT) AS organization_id,
   CAST(s_suppkey AS VARCHAR) AS account_id, 'AWS' AS cloud_provider FROM supplier
 UNION ALL SELECT CAST(s_suppkey AS BIGINT), CAST(s_nationkey + 1 AS BIGINT),
-  'p-' || CAST(s_suppkey % 20 AS VARCHAR), 'GCP' FROM supplier
+  'p-' || CAST(s_suppkey AS VARCHAR), 'GCP' FROM supplier
 UNION ALL SELECT CAST(s_suppkey AS BIGINT), CAST(s_nationkey + 1 AS BIGINT),
-  CAST((s_suppkey + 50) % 100 AS VARCHAR), 'HWC' FROM supplier
+  CAST(s_suppkey + 5 AS VARCHAR), 'HWC' FROM supplier
 UNION ALL SELECT CAST(s_suppkey AS BIGINT), CAST(s_nationkey + 1 AS BIGINT),
   CAST(s_suppkey AS VARCHAR), 'AWS' FROM supplier WHERE s_suppkey % 10 = 0"""
 CTE["prods"] = """
@@ -390,7 +401,7 @@ WHERE o.exceptional AND p.id % 2 = 0"""
 CTE["org_accounts"] = """
 SELECT CAST(s_suppkey AS VARCHAR) AS account_id,
   CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'ent-' || CAST(s_suppkey % 6 AS VARCHAR) END AS billing_entity
-FROM supplier WHERE s_suppkey < 90"""
+FROM supplier WHERE s_suppkey % 10 <> 9"""
 
 # --- pricing ----------------------------------------------------------------------------
 CTE["pricing_raw"] = """
@@ -584,7 +595,7 @@ FINAL: dict[str, str] = {
         FROM aws_view WHERE CAST(year AS INTEGER) = 2001 AND CAST(month AS INTEGER) = 7
         AND (usage_date BETWEEN DATE '2001-07-01' AND DATE '2001-07-11' OR usage_date >= DATE '2001-08-01')""",
     "multi_table_union": """SELECT d AS usage_date, line_item_usage_account_id, line_item_line_item_type,
-        line_item_unblended_cost FROM cur""",
+        line_item_unblended_cost FROM cur_ext""",
     "huawei_json_explode": "SELECT * FROM hw_daily_int",
     "csv_gzip_roundtrip": "SELECT * FROM aws_a1_v1",
     "refresh_window_scan": "SELECT * FROM gcp_refresh",
@@ -596,15 +607,12 @@ FINAL: dict[str, str] = {
     "route_internal_external": "SELECT * FROM aws_a1_ext",
     "gcp_daily_cost": "SELECT * FROM gcp_daily",
     "huawei_daily_cost": "SELECT * FROM hw_daily_int",
-    "merge_aws_internal_external": """SELECT * REPLACE (unblended_cost AS ext_unblended_cost,
-        blended_cost AS ext_blended_cost) FROM aws_i""",
-    "merge_gcp_internal_external": """SELECT * REPLACE (
-        CAST(CASE WHEN billing_account_id = 'ba-0' THEN cost ELSE 0 END AS DECIMAL(20,8)) AS ext_cost,
-        CAST(CASE WHEN billing_account_id = 'ba-0' THEN credits ELSE 0 END AS DECIMAL(20,8)) AS ext_credits)
-        FROM gcp_daily""",
+    "merge_aws_internal_external": f"""SELECT aws_i.* REPLACE (aws_e.ext_unblended_cost AS ext_unblended_cost,
+        aws_e.ext_blended_cost AS ext_blended_cost) FROM aws_i JOIN aws_e USING ({", ".join(_AK)})""",
+    "merge_gcp_internal_external": "SELECT * FROM gcp_both",
     "merge_huawei_internal_external": "SELECT * FROM hw_daily",
     "aws_load": "SELECT * FROM aws_daily",
-    "gcp_load": "SELECT * FROM gcp_daily",
+    "gcp_load": "SELECT * FROM gcp_both",
     "huawei_load": "SELECT * FROM hw_daily",
     "aws_window_delete": """SELECT * FROM aws_daily
         WHERE NOT (usage_date >= DATE '2001-07-01' AND billing_month >= DATE '2001-07-01')""",

@@ -98,19 +98,23 @@ def aws_load(internal_cur: DataFrame, external_cur: DataFrame | None, views: Dat
     return aws_merge([i.batch() for i in inputs], existing)
 
 
-def gcp_load(export: DataFrame, ws: dt.date, we: dt.date, existing: DataFrame | None = None,
-             internal: bool = True) -> DataFrame:
-    """GCP export window -> daily -> merge (billing month is a descriptor here)."""
-    upd = daily.gcp_daily_cost(export, ws, we, internal)
-    own = daily.GCP_DESCRIPTORS + (daily.GCP_INTERNAL if internal else daily.GCP_EXTERNAL)
-    return keyed_merge(existing, [Batch(upd, own)], daily.GCP_KEYS, daily.GCP_COLUMNS)
+def gcp_load(export: DataFrame | None, ws: dt.date, we: dt.date, existing: DataFrame | None = None,
+             external_export: DataFrame | None = None) -> DataFrame:
+    """internal and external export windows -> daily -> merge (billing month is a
+    descriptor here)."""
+    batches = [Batch(daily.gcp_daily_cost(df, ws, we, internal),
+                     daily.GCP_DESCRIPTORS + (daily.GCP_INTERNAL if internal else daily.GCP_EXTERNAL))
+               for df, internal in ((export, True), (external_export, False)) if df is not None]
+    return keyed_merge(existing, batches, daily.GCP_KEYS, daily.GCP_COLUMNS)
 
 
-def huawei_load(internal_records: DataFrame, external_records: DataFrame | None,
+def huawei_load(internal_records: DataFrame | None, external_records: DataFrame | None,
                 ws: dt.date, we: dt.date, existing: DataFrame | None = None) -> DataFrame:
     """Huawei records (internal and external accounts) -> daily -> merge."""
-    batches = [Batch(daily.huawei_daily_cost(internal_records, ws, we, True),
-                     daily.HWC_DESCRIPTORS + daily.HWC_INTERNAL)]
+    batches = []
+    if internal_records is not None:
+        batches.append(Batch(daily.huawei_daily_cost(internal_records, ws, we, True),
+                             daily.HWC_DESCRIPTORS + daily.HWC_INTERNAL))
     if external_records is not None:
         batches.append(Batch(daily.huawei_daily_cost(external_records, ws, we, False),
                              daily.HWC_DESCRIPTORS + daily.HWC_EXTERNAL))

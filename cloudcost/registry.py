@@ -79,7 +79,11 @@ class Fixture:
 
     @cached_property
     def hw_external_records(self) -> DataFrame:
-        return self.hw_records.filter(F.col("customer_id").cast("int") % 2 == 0)
+        return fx.huawei_external_records(self.hw_records)
+
+    @cached_property
+    def gcp_external_export(self) -> DataFrame:
+        return fx.gcp_external_export(self.gcp_export)
 
     @cached_property
     def org_accounts(self) -> DataFrame:
@@ -128,7 +132,7 @@ class Fixture:
         if name == "aws_daily":
             return loads.aws_load(self.cur, self.external_cur(), self.view, WS, WE)
         if name == "gcp_daily":
-            return loads.gcp_load(self.gcp_export, WS, WE)
+            return loads.gcp_load(self.gcp_export, WS, WE, external_export=self.gcp_external_export)
         return loads.huawei_load(self.hw_records, self.hw_external_records, WS, WE)
 
     def _daily(self, name: str) -> DataFrame:
@@ -278,7 +282,7 @@ def _q_a1(f: Fixture) -> DataFrame:
 
 @query("aws_daily_cost_v2")
 def _q_a2(f: Fixture) -> DataFrame:
-    return daily.aws_daily_cost(f.cur, cur_src.V2, fx.CUR_START, fx.CUR_END, True)
+    return daily.aws_daily_cost(fx.landed_cur_v2(f.spark, f.d), cur_src.V2, fx.CUR_START, fx.CUR_END, True)
 
 
 @query("route_internal_external")
@@ -310,13 +314,13 @@ def _q_k2(f: Fixture) -> DataFrame:
 @query("merge_gcp_internal_external")
 def _q_k3(f: Fixture) -> DataFrame:
     base = loads.gcp_load(f.gcp_export, WS, WE)
-    ext = f.gcp_export.filter(F.col("billing_account_id") == "ba-0")
-    return loads.gcp_load(ext, WS, WE, existing=base, internal=False)
+    return loads.gcp_load(None, WS, WE, existing=base, external_export=f.gcp_external_export)
 
 
 @query("merge_huawei_internal_external")
 def _q_k4(f: Fixture) -> DataFrame:
-    return f.hw_daily
+    base = loads.huawei_load(f.hw_records, None, WS, WE)
+    return loads.huawei_load(None, f.hw_external_records, WS, WE, existing=base)
 
 
 @query("aws_load")
@@ -698,7 +702,7 @@ def _q_s1(f: Fixture) -> DataFrame:
 
 @query("cur_v2_period_scan")
 def _q_s2(f: Fixture) -> DataFrame:
-    rows = f.cur.filter(cur_src.period_predicate(cur_src.V2, Y, M))
+    rows = fx.landed_cur_v2(f.spark, f.d).filter(cur_src.period_predicate(cur_src.V2, Y, M))
     return rows.select(F.to_date(cur_src.TS).alias("usage_date"), "line_item_usage_account_id",
                        F.expr(cur_src.V2.service_name).alias("service_name"),
                        F.col(cur_src.V2.region).alias("region"))

@@ -117,6 +117,7 @@ def cur_line_items(spark: SparkSession, sf_dir: str, spread: int | None = None)
         F.when(F.col("l_suppkey") % 10 == 0, F.lit(C.AWS_MARKETPLACE_ENTITY))
          .otherwise(F.lit(C.AWS_ENTITY)).alias("bill_billing_entity"),
         F.when(F.col("p_size") % 11 == 0, F.lit(None).cast("string"))
+         .when(F.col("p_size") % 13 == 0, F.lit(""))
          .otherwise(F.col("p_type")).alias("product_servicecode"),
         F.col("p_name").alias("product_servicename"),
         F.create_map(F.lit("servicename"), F.col("p_name")).alias("product"),
@@ -143,10 +144,17 @@ def cur_line_items(spark: SparkSession, sf_dir: str, spread: int | None = None)
     )
 
 
+def _priced(df: DataFrame, factors: dict[str, str]) -> DataFrame:
+    """Money columns times an exact factor."""
+    return df.withColumns({c: (F.col(c) * F.lit(x).cast("decimal(3,2)")).cast(C.MONEY) for c, x in factors.items()})
+
+
 def cur_external_tables(spark: SparkSession, sf_dir: str, cur: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The same line items split over three external CUR tables, plus one
-    table the fan-in must exclude."""
+    """The same line items at the external accounts' own prices, split over three
+    external CUR tables, plus one table the fan-in must exclude."""
     cur = cur if cur is not None else cur_line_items(spark, sf_dir)
+    cur = _priced(cur, {"line_item_unblended_cost": "1.25", "line_item_blended_cost": "1.5",
+                        "line_item_net_unblended_cost": "1.75"})
     acct = F.col("line_item_usage_account_id").cast("bigint")
     out = {f"{CUR_EXT_PREFIX}{i}": cur.filter(acct % 3 == i) for i in range(3)}
     out[EXCLUDED_CUR_TABLE] = cur.filter(acct % 3 == 0)
@@ -187,7 +195,7 @@ def amortized_view(spark: SparkSession, sf_dir: str, cur: DataFrame | None = Non
 
 
 def org_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < 90)
+    s = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 10 != 9)   # the others are unknown accounts
     return s.select(
         _s("s_suppkey").alias("account_id"),
         F.when(F.col("s_suppkey") % 7 == 0, F.lit(None).cast("string"))
@@ -218,14 +226,13 @@ def gcp_export(spark: SparkSession, sf_dir: str, spread: int | None = None) -> D
     inv_month = (F.when(F.col("_k") == 97, F.lit(None).cast("string"))
                  .when(F.col("_k") % 13 == 0, F.date_format(F.add_months(m0, -1), "yyyyMM"))
                  .otherwise(F.date_format(m0, "yyyyMM")))
-    u20 = F.col("user_id") % 20
     return ev.select(
         "usage_start_time",
         F.date_add(F.to_date("usage_start_time"), (F.col("event_id") % 3).cast("int")).alias("partition_date"),
         F.concat(F.lit("ba-"), _s(F.col("user_id") % 3)).alias("billing_account_id"),
-        F.struct(F.when(u20 == 0, F.lit(None).cast("string"))
-                 .otherwise(F.concat(F.lit("p-"), _s(u20))).alias("id"),
-                 F.concat(F.lit("proj "), _s(u20)).alias("name")).alias("project"),
+        F.struct(F.when(F.col("user_id") % 20 == 0, F.lit(None).cast("string"))
+                 .otherwise(F.concat(F.lit("p-"), _s("user_id"))).alias("id"),
+                 F.concat(F.lit("proj "), _s("user_id")).alias("name")).alias("project"),
         F.struct(F.col("event_type").alias("id"),
                  F.upper("event_type").alias("description")).alias("service"),
         F.struct(F.concat(F.lit("sku-"), _s(F.col("_k") % 10)).alias("id"),
@@ -261,7 +268,7 @@ def huawei_records(spark: SparkSession, sf_dir: str, spread: int | None = None)
         F.when(F.col("o_orderstatus") == "F", F.lit(5))
          .when(F.col("o_orderstatus") == "O", F.lit(15))
          .when(F.col("o_orderstatus") == "P", F.lit(4)).cast("int").alias("bill_type"),
-        _s(F.col("o_custkey") % 100).alias("customer_id"),
+        _s("o_custkey").alias("customer_id"),
         F.concat(F.lit("eu-west-"), _s(F.col("o_custkey") % 2)).alias("region"),
         F.concat(F.lit("EU West "), _s(F.col("o_custkey") % 2)).alias("region_name"),
         F.col("o_orderpriority").alias("cloud_service_type"),
@@ -281,6 +288,18 @@ def huawei_records(spark: SparkSession, sf_dir: str, spread: int | None = None)
     )
 
 
+def gcp_external_export(export: DataFrame) -> DataFrame:
+    """The export of the external accounts: the same lines at their own prices."""
+    credit = F.transform("credits", lambda c: F.struct(
+        (c["amount"] * F.lit("3").cast("decimal(3,2)")).cast(C.MONEY).alias("amount")))
+    return _priced(export, {"cost": "2"}).withColumn("credits", credit)
+
+
+def huawei_external_records(records: DataFrame) -> DataFrame:
+    """The records of the external accounts: the same ones at their own prices."""
+    return _priced(records, {"consume_amount": "1.1", "official_amount": "1.3"})
+
+
 # ---------------------------------------------------------------------------
 # Dimensions
 # ---------------------------------------------------------------------------
@@ -305,9 +324,9 @@ def product_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = [F.col("s_suppkey").cast("bigint").alias("product_id"),
             (F.col("s_nationkey") + 1).cast("bigint").alias("organization_id")]
     aws = s.select(*base, _s("s_suppkey").alias("account_id"), F.lit(C.AWS).alias("cloud_provider"))
-    gcp = s.select(*base, F.concat(F.lit("p-"), _s(F.col("s_suppkey") % 20)).alias("account_id"),
+    gcp = s.select(*base, F.concat(F.lit("p-"), _s("s_suppkey")).alias("account_id"),
                    F.lit(C.GCP).alias("cloud_provider"))
-    hwc = s.select(*base, _s((F.col("s_suppkey") + 50) % 100).alias("account_id"),
+    hwc = s.select(*base, _s(F.col("s_suppkey") + 5).alias("account_id"),
                    F.lit(C.HWC).alias("cloud_provider"))
     dup = aws.filter(F.col("product_id") % 10 == 0)
     return aws.unionByName(gcp).unionByName(hwc).unionByName(dup)
@@ -396,13 +415,17 @@ def landed_exports(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         return paths
     base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
     n = max(parallelism(spark), 2)
-    paths = {"cur": f"{base}/cur", "gcp": f"{base}/gcp", "huawei": f"{base}/huawei"}
+    paths = {"cur": f"{base}/cur", "cur_v2": f"{base}/cur_v2", "gcp": f"{base}/gcp", "huawei": f"{base}/huawei"}
     cur = cur_line_items(spark, sf_dir, spread=n)
-    # one file per billing period / ingestion day; Spark packs small files into
-    # about one split per core when it reads a window of them
-    cur.repartition(n, "year", "month").write.partitionBy("year", "month").parquet(paths["cur"])
+    # a few files per billing period / ingestion day (no period is one task's work); Spark
+    # packs small files into about one split per core when it reads a window of them
+    spread = F.pmod(F.xxhash64("line_item_usage_account_id", "line_item_unblended_cost"), F.lit(4))
+    cur.repartition(n, "year", "month", spread).write.partitionBy("year", "month").parquet(paths["cur"])
+    # the version 2 report of the same lines has its own layout
+    (cur.drop("year", "month").repartition(n, "billing_period", spread)
+     .write.partitionBy("billing_period").parquet(paths["cur_v2"]))
     gcp = gcp_export(spark, sf_dir, spread=n)
-    gcp.repartition(n, "partition_date").write.partitionBy("partition_date").parquet(paths["gcp"])
+    gcp.repartition(n, "partition_date", F.pmod(F.xxhash64("project.id", "cost"), F.lit(2))).write.partitionBy("partition_date").parquet(paths["gcp"])
     write_huawei_pages(huawei_records(spark, sf_dir, spread=n), paths["huawei"])
     # the dimension tables (relational tables in a deployment) land as plain tables
     for name, build in DIMENSIONS.items():
@@ -435,6 +458,14 @@ def landed_cur(spark: SparkSession, sf_dir: str) -> DataFrame:
         StructType.fromJson(json.loads(p["cur_schema"]))).parquet(p["cur"]))
 
 
+def landed_cur_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed version 2 report, partitioned by ``billing_period`` (a string)."""
+    def read(p: dict[str, str]) -> DataFrame:
+        schema = StructType.fromJson(json.loads(p["cur_schema"]))
+        return spark.read.schema(StructType([f for f in schema.fields if f.name not in ("year", "month")])).parquet(p["cur_v2"])
+    return _landed(spark, sf_dir, "cur_v2", read)
+
+
 def landed_gcp_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, sf_dir, "gcp", lambda p: spark.read.schema(
         StructType.fromJson(json.loads(p["gcp_schema"]))).parquet(p["gcp"]))

@@ -28,12 +28,14 @@ def tables(spark):
     out = {k: f"{base}/{k}" for k in ("aws", "gcp", "hw", "slb")}
     hw_ext = f"{base}/hw_ext_pages"
     write_huawei_pages(f.hw_external_records, hw_ext)
+    gcp_ext = f"{base}/gcp_ext"
+    f.gcp_external_export.write.partitionBy("partition_date").parquet(gcp_ext)
     for first in (True, False):
         months = jobs.run_aws_load(spark, landed["cur"], ext, ["amortized_view_test"], out["aws"], R.AS_OF,
                                    first_run=first)
         if not first:
             assert months == [dt.date(2001, 8, 1)]   # the incremental run touches one month only
-        jobs.run_gcp_load(spark, landed["gcp"], out["gcp"], R.AS_OF, first_run=first)
+        jobs.run_gcp_load(spark, landed["gcp"], out["gcp"], R.AS_OF, first_run=first, external_export_path=gcp_ext)
         jobs.run_huawei_load(spark, landed["huawei"], hw_ext, out["hw"], R.AS_OF, first_run=first)
         jobs.run_service_level(spark, out["aws"], out["gcp"], out["hw"], f.service_types, out["slb"], R.AS_OF,
                                dt.datetime(2001, 8, 15, 6 if first else 7))

@@ -37,6 +37,12 @@ def test_no_nested_loops_or_python(spark, key):
     assert not [b for b in BAD if b in plan], plan
 
 
+@pytest.mark.parametrize("key", ["cur_v2_period_scan", "aws_daily_cost_v2"])
+def test_v2_scan_prunes_periods(spark, key):
+    df = E.queries()[key](spark, SF)
+    assert any("billing_period" in x for x in _filters(df))
+
+
 @pytest.fixture(scope="module")
 def month_tables(spark):
     import uuid
