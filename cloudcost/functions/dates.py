@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 
-def month0(c: Column | str) -> Column:
-    """First day of the month of a date/timestamp, as DATE."""
-    return F.trunc(F.to_date(_col(c)), "MM")
-
-
 def same_month(a: Column | str, b: Column | str) -> Column:
     """``a`` and ``b`` fall in the same month. NULL when either is NULL, so a
     NULL month fails both this test and its negation (as in SQL)."""

@@ -26,10 +26,6 @@ def money(c: Column | str) -> Column:
     return _col(c).cast(C.MONEY)
 
 
-def money_or_zero(c: Column | str) -> Column:
-    return F.coalesce(_col(c).cast(C.MONEY), zero())
-
-
 def sum_money(c: Column | str) -> Column:
     """``CAST(COALESCE(SUM(c), 0) AS decimal(20,8))`` with ``c`` made exact first."""
     return F.coalesce(F.sum(_col(c).cast(C.MONEY)), zero()).cast(C.MONEY)
@@ -45,9 +41,5 @@ def after_discount(amount: Column, discount_pct: Column) -> Column:
     return (amount - pct_of(amount, discount_pct)).cast(C.MONEY)
 
 
-def round_money(c: Column, scale: int = 8) -> Column:
-    return F.round(c, scale)
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

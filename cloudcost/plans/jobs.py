@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,12 +55,27 @@ def months_between(lo: dt.date, hi: dt.date) -> list[dt.date]:
     return out
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives ``stage``, which writes a table below the shared folder and reads it back; the
+    tables are removed when the run is over."""
+    paths = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        paths.append(scratch_path(spark, f"staging-{uuid.uuid4().hex}"))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            delete_folder(spark, path)
 
 
 def values_of(df: DataFrame, col: str) -> list:
@@ -72,21 +88,18 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], repl
     present in it, then remove what is left of ``replace`` (values of the first partition
     column whose old partitions end with this run) and not in ``df``."""
     spark = df.sparkSession
-    staged = stage(df)
-    old = read_table(spark, path)
-    gone = []
-    if old is not None and list(replace):
-        kept = staged.select(*partition_by).distinct()
-        gone = (old.filter(F.col(partition_by[0]).isin(*replace)).select(*partition_by).distinct()
-                .join(kept, partition_by, "left_anti").collect())   # partitions of a few months
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-    if gone:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        for row in gone:
-            leaf = "/".join(f"{c}={row[c]}" for c in partition_by)
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, leaf), True)
+    with staging(spark) as stage:
+        staged = stage(df)
+        old = read_table(spark, path)
+        gone = []
+        if old is not None and list(replace):
+            kept = staged.select(*partition_by).distinct()
+            gone = (old.filter(F.col(partition_by[0]).isin(*replace)).select(*partition_by).distinct()
+                    .join(kept, partition_by, "left_anti").collect())   # partitions of a few months
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
+    for row in gone:
+        delete_folder(spark, "/".join([path, *(f"{c}={row[c]}" for c in partition_by)]))
 
 
 def _of_months(existing: DataFrame | None, col: str, months: list[dt.date]) -> DataFrame | None:
@@ -113,20 +126,22 @@ def run_aws_load(spark: SparkSession, cur_path: str, external_tables: list[str],
         # tables of one window are one scan; a key lies in one of them
         for w in sorted({window(n) for n in names}):
             inputs.append(loads.AwsInput(loads.union_tables(spark, [n for n in names if window(n) == w]), kind, w))
-    batches = [Batch(stage(b.df), b.update_cols) for b in (i.batch() for i in inputs)]
-    months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
-    existing = read_table(spark, table_path)
-    replaced = set(months)
-    if existing is not None and loads.aws_cleanup_applies(as_of, cleanup):
-        start = add_months(first_of_month(as_of), -1)
-        replaced |= set(values_of(existing.filter(F.col("billing_month") >= F.lit(start)), "billing_month"))
-        existing = loads.aws_window_delete(existing, as_of)
-    out = loads.aws_merge(batches, _of_months(existing, "billing_month", sorted(replaced)))
-    overwrite_partitions(out, table_path, ["billing_month"], replaced)
+    with staging(spark) as stage:
+        batches = [Batch(stage(b.df), b.update_cols) for b in (i.batch() for i in inputs)]
+        months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
+        existing = read_table(spark, table_path)
+        replaced = set(months)
+        if existing is not None and loads.aws_cleanup_applies(as_of, cleanup):
+            start = add_months(first_of_month(as_of), -1)
+            replaced |= set(values_of(existing.filter(F.col("billing_month") >= F.lit(start)), "billing_month"))
+            existing = loads.aws_window_delete(existing, as_of)
+        out = loads.aws_merge(batches, _of_months(existing, "billing_month", sorted(replaced)))
+        overwrite_partitions(out, table_path, ["billing_month"], replaced)
     return months
 
 
-def refresh_gcp_parts(lines: DataFrame, parts_path: str, dates: list[dt.date]) -> tuple[DataFrame, list[dt.date]]:
+def refresh_gcp_parts(lines: DataFrame, parts_path: str, dates: list[dt.date],
+                      stage: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[dt.date]]:
     """Replace the ingestion ``dates`` of a parts table by ``lines`` (all lines of those
     dates). Returns all parts of the usage days that this changes, and their months."""
     spark = lines.sparkSession
@@ -153,17 +168,20 @@ def run_gcp_load(spark: SparkSession, export_path: str, table_path: str, as_of:
     ws, we = refresh_window(as_of, "GCP", first_run, explicit_start)
     dates = [ws + dt.timedelta(days=i) for i in range((we - ws).days + 1)]
     batches, months = [], set()
-    for path, internal in ((export_path, True), (external_export_path, False)):
-        if path is None:
-            continue
-        lines = spark.read.parquet(path).filter(F.col("partition_date").between(F.lit(ws), F.lit(we)))
-        parts, touched = refresh_gcp_parts(lines, f"{table_path}_parts_{'internal' if internal else 'external'}", dates)
-        batches.append(Batch(daily.gcp_daily_from_parts(parts, internal),
-                             daily.GCP_DESCRIPTORS + (daily.GCP_INTERNAL if internal else daily.GCP_EXTERNAL)))
-        months |= set(touched)
-    existing = _of_months(read_table(spark, table_path), "usage_month", sorted(months))
-    out = keyed_merge(None if existing is None else existing.drop("usage_month"), batches, daily.GCP_KEYS, daily.GCP_COLUMNS)
-    overwrite_partitions(out.withColumn("usage_month", F.trunc("usage_date", "MM")), table_path, ["usage_month"])
+    with staging(spark) as stage:
+        for path, internal in ((export_path, True), (external_export_path, False)):
+            if path is None:
+                continue
+            lines = spark.read.parquet(path).filter(F.col("partition_date").between(F.lit(ws), F.lit(we)))
+            parts, touched = refresh_gcp_parts(
+                lines, f"{table_path}_parts_{'internal' if internal else 'external'}", dates, stage)
+            batches.append(Batch(daily.gcp_daily_from_parts(parts, internal),
+                                 daily.GCP_DESCRIPTORS + (daily.GCP_INTERNAL if internal else daily.GCP_EXTERNAL)))
+            months |= set(touched)
+        existing = _of_months(read_table(spark, table_path), "usage_month", sorted(months))
+        out = keyed_merge(None if existing is None else existing.drop("usage_month"), batches, daily.GCP_KEYS,
+                          daily.GCP_COLUMNS)
+        overwrite_partitions(out.withColumn("usage_month", F.trunc("usage_date", "MM")), table_path, ["usage_month"])
     return sorted(months)
 
 
@@ -175,16 +193,16 @@ def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: st
     of their own (``external_first_run``)."""
     def window(first: bool) -> tuple[dt.date, dt.date]:
         return refresh_window(as_of, "HWC", first, explicit_start)
-    batches = [Batch(stage(daily.huawei_daily_cost(files.read_huawei_pages(spark, internal_pages), *window(first_run), True)),
-                     daily.HWC_DESCRIPTORS + daily.HWC_INTERNAL)]
-    if external_pages:
-        first = first_run if external_first_run is None else external_first_run
-        batches.append(Batch(stage(daily.huawei_daily_cost(files.read_huawei_pages(spark, external_pages), *window(first), False)),
-                             daily.HWC_DESCRIPTORS + daily.HWC_EXTERNAL))
-    months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
-    existing = _of_months(read_table(spark, table_path), "billing_month", months)
-    out = keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS)
-    overwrite_partitions(out, table_path, ["billing_month"])
+    first = first_run if external_first_run is None else external_first_run
+    sources = [(internal_pages, True, first_run)] + ([(external_pages, False, first)] if external_pages else [])
+    with staging(spark) as stage:
+        batches = [Batch(stage(daily.huawei_daily_cost(files.read_huawei_pages(spark, path), *window(fresh), internal)),
+                         daily.HWC_DESCRIPTORS + (daily.HWC_INTERNAL if internal else daily.HWC_EXTERNAL))
+                   for path, internal, fresh in sources]
+        months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
+        existing = _of_months(read_table(spark, table_path), "billing_month", months)
+        out = keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS)
+        overwrite_partitions(out, table_path, ["billing_month"])
     return months
 
 
@@ -227,7 +245,8 @@ def run_monthly_invoice(spark: SparkSession, slb_path: str, products: DataFrame,
                                   month(pricing_path, "pricing_month"), pricing_rows, billed, as_of)
     guard = ["month_date", "product_id", "cloud_provider"]
     fresh = inv.join(billed.select(*guard).distinct(), guard, "left_anti")
-    stage(fresh).write.mode("append").parquet(billings_path)
+    with staging(spark) as stage:
+        stage(fresh).write.mode("append").parquet(billings_path)
 
 
 def run_customer_cost(spark: SparkSession, slb_path: str, aws_path: str, products: DataFrame,
@@ -239,14 +258,14 @@ def run_customer_cost(spark: SparkSession, slb_path: str, aws_path: str, product
 
     def since(path: str, col: str) -> DataFrame:
         return read_table(spark, path).filter(F.col(col).between(F.lit(start), F.lit(as_of))).drop(col)
-    new = billing.customer_daily_cost(since(slb_path, "usage_month"), read_table(spark, aws_path), products,
-                                      organizations, product_accounts, since(pricing_path, "pricing_month"),
-                                      stage(amortized), billing_entity_map, as_of)
     months = months_between(start, as_of)
     target = _of_months(read_table(spark, table_path), "day_month", months)
-    target = None if target is None else target.drop("day_month")
-    out = new if target is None else billing.customer_cost_upsert(target, new)
-    overwrite_partitions(out.withColumn("day_month", F.trunc("day", "MM")), table_path, ["day_month"])
+    with staging(spark) as stage:
+        new = billing.customer_daily_cost(since(slb_path, "usage_month"), read_table(spark, aws_path), products,
+                                          organizations, product_accounts, since(pricing_path, "pricing_month"),
+                                          stage(amortized), billing_entity_map, as_of)
+        out = new if target is None else billing.customer_cost_upsert(target.drop("day_month"), new)
+        overwrite_partitions(out.withColumn("day_month", F.trunc("day", "MM")), table_path, ["day_month"])
 
 
 def _empty_billings(spark: SparkSession) -> DataFrame:

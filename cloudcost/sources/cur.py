@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import add_months, first_of_month, last_day, ts_date_between, ts_date_from
+from ..functions.dates import add_months, first_of_month, ts_date_between, ts_date_from
 
 TS = "line_item_usage_start_date"
 
@@ -100,8 +100,3 @@ def scan_view(view: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
         "usage_amount", "usage_unit",
         F.col("cost").cast("decimal(20,8)").alias("unblended_cost"),
         zero.alias("blended_cost"), zero.alias("net_unblended_cost"))
-
-
-def period_bounds(year: int, month: int) -> tuple[dt.date, dt.date]:
-    start = dt.date(year, month, 1)
-    return start, last_day(start)

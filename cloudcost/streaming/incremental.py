@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import daily
-from ..plans.jobs import refresh_gcp_parts, values_of
+from ..plans.jobs import refresh_gcp_parts, staging, values_of
 from ..session import scratch_path
 
 
@@ -38,9 +38,10 @@ def gcp_incremental_load(spark: SparkSession, landing_dir: str, table_dir: str,
         if not dates:
             return
         lines = spark.read.schema(schema).parquet(landing_dir).filter(F.col("partition_date").isin(*dates))
-        parts, _ = refresh_gcp_parts(lines, f"{table_dir}_parts", dates)
-        (daily.gcp_daily_from_parts(parts, internal=True).write.mode("overwrite").partitionBy("usage_date")
-         .option("partitionOverwriteMode", "dynamic").parquet(table_dir))
+        with staging(spark) as stage:
+            parts, _ = refresh_gcp_parts(lines, f"{table_dir}_parts", dates, stage)
+            (daily.gcp_daily_from_parts(parts, internal=True).write.mode("overwrite").partitionBy("usage_date")
+             .option("partitionOverwriteMode", "dynamic").parquet(table_dir))
 
     q = (stream.writeStream.foreachBatch(upsert_batch)
          .option("checkpointLocation", checkpoint_dir)
