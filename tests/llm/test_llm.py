@@ -111,20 +111,24 @@ def edit(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("lane_words", [linededup.LANE_WORDS, 50])
-def test_simhash_counts_bits(spark, lane_words):
-    data = [(0, ["a"]), (1, ["a", "b", "c"]), (2, ["q"] * 100 + ["r"] * 99), (3, ["x", "y"]), (4, ["x", "x", "y", "z"]),
-            (5, [str(i) for i in range(500)]), (6, ["w"] * 15999), (7, ["w"] * 16001 + ["v"] * 20000)]
+@pytest.mark.parametrize("lane_weight", [linededup.LANE_WEIGHT, 50])
+def test_simhash_counts_bits(spark, lane_weight):
+    data = [(0, ["a"]), (1, ["a", "b", "c"]), (2, ["qqqqq"] * 100 + ["rrrrr"] * 99), (3, ["x", "yyyyyyy"]),
+            (4, ["é" * 12, "x" * 30, "yyyyy", "the"]), (5, [str(i) for i in range(500)]), (6, ["w" * 20] * 327),
+            (7, ["w" * 20] * 328), (8, ["word"] * 32767), (9, ["word"] * 17000 + ["drow"] * 17000 + ["o"])]
     df = spark.createDataFrame(data, "i int, words array<string>")
     hashes = {r.i: r.h for r in df.select("i", F.transform("words", lambda x: F.xxhash64(x)).alias("h")).collect()}
-    for r in linededup.with_simhash(df, ["i"], lane_words=lane_words).collect():
-        h = hashes[r.i] if len(hashes[r.i]) % 2 else hashes[r.i][:1] + hashes[r.i]
-        assert r.sim & (2 ** 64 - 1) == sum(1 << b for b in range(64) if 2 * sum((x >> b) & 1 for x in h) > len(h))
+    for r in linededup.with_simhash(df, ["i"], lane_weight=lane_weight).collect():
+        words = dict(data)[r.i]
+        plain = all(len(w) < 5 for w in words)
+        weights = [(min(len(w), 13) - 3) ** 2 if len(w) >= 5 else int(plain) for w in words]
+        want = sum(1 << b for b in range(64) if 2 * sum(k for h, k in zip(hashes[r.i], weights) if (h >> b) & 1) > sum(weights))
+        assert r.sim & (2 ** 64 - 1) == want, r.i
 
 
 def test_lines_against_brute_force(spark):
     rng = random.Random(1)
-    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(300)]
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(300)]
     lines = [" ".join(rng.choices(words, k=rng.randint(3, 60))) for _ in range(40)]
     for x in list(lines):
         for _ in range(4):  # copies with a changed word or other punctuation
