@@ -42,6 +42,17 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     return int(docs.agg(F.sum(F.octet_length(text_col)).alias("b")).first().b or 0)
 
 
+def bounded_sample(rows: DataFrame, n: int, by: list[str]) -> DataFrame:
+    """At most ``n`` rows, those with the smallest hash of the columns ``by``. A threshold
+    on the hash, from the number of rows, first leaves about ``2 * n`` of them, so that
+    what the tasks send on does not grow with their number."""
+    total = rows.count()
+    span = 1 << 30
+    key = F.xxhash64(*by)
+    few = rows.filter(F.pmod(key, F.lit(span)) < F.lit(min(span, -(-2 * n * span // max(total, 1)))))
+    return few.orderBy(F.pmod(key, F.lit(span)), key, *by).limit(n)
+
+
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and its row offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, strings
+from .common import bounded_sample, slices, strings
 
 STATE, LENGTH, PAD = 8, 64, 256
 MAX_DOCS, WINDOWS, EPOCHS, BATCH = 2500, 3, 8, 200
@@ -171,9 +171,10 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS, windows: int = WINDOWS, seed:
     room = F.greatest(F.char_length("text") - LENGTH + 1, F.lit(1))
     pieces = F.array(*[F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(w)), room) + 1).cast("int"), F.lit(LENGTH))
                        for w in range(windows)])
-    rows = (docs.filter("doc_id is not null and lang is not null and text is not null")
-            .filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", pieces.alias("pieces"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "pieces").limit(max_docs).collect())
+    known = docs.filter("doc_id is not null and lang is not null and text is not null").select(
+        "doc_id", "lang", pieces.alias("pieces"), F.col("text").rlike(r"\p{L}").alias("lettered"))
+    rows = bounded_sample(known, max_docs, ["doc_id", "lang"]).filter("lettered").collect()
+    rows.sort(key=lambda r: (r.doc_id, r.lang, r.pieces))
     return train([p.encode() for r in rows for p in r.pieces], [r.lang for r in rows for _ in r.pieces], seed)
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, strings
+from .common import bounded_sample, slices, strings
 
 EMBED, WIDTH, STEP, FILTERS, HIDDEN = 6, 8, 2, 32, 16
 HALF = 128                    # bytes; a chunk is two halves
@@ -157,9 +157,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5, epochs: int = EPOC
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, windows: int = WINDOWS, seed: int = 5) -> Network | None:
     """Learn from ``labels(doc_id, label)`` and the texts of at most ``max_docs`` of its
     rows (ids by hash); at most ``max_docs * windows * WINDOW`` characters reach the driver."""
-    chosen = (labels.filter("doc_id is not null and label is not null")
-              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_docs))
+    chosen = bounded_sample(labels.filter("doc_id is not null and label is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")), max_docs, ["doc_id", "label"])
     def piece(w):
         size = F.lit(WINDOW) if w % 2 == 0 else (F.pmod(F.xxhash64("doc_id", F.lit(-w)), F.lit(SHORT)) + 16).cast("int")
         room = F.greatest(F.char_length("text") - size + 1, F.lit(1))
