@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import config as C
+from ..operators import daily
+from . import cur as cur_src
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES of the fixture mapping
@@ -174,24 +176,10 @@ def amortized_view(spark: SparkSession, sf_dir: str, cur: DataFrame | None = Non
     with partition columns year/month."""
     cur = cur if cur is not None else cur_line_items(spark, sf_dir)
     sub = cur.filter(F.col("line_item_line_item_type").isin("Usage", "DiscountedUsage"))
-    bm = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
-    return (sub.groupBy(
-                F.to_date("line_item_usage_start_date").alias("usage_date"),
-                bm.alias("billing_month"),
-                F.col("line_item_usage_account_id").alias("usage_account_id"),
-                F.coalesce("product_servicecode", F.lit("")).alias("service_code"),
-                F.coalesce("product_sku", F.lit("")).alias("sku_id"),
-                F.coalesce("product_region", F.lit("")).alias("region"),
-                F.coalesce("line_item_line_item_type", F.lit("")).alias("billing_type"),
-                F.coalesce("line_item_usage_type", F.lit("")).alias("usage_type"),
-                "year", "month")
-            .agg(F.coalesce(F.max("product_servicename"), F.lit("")).alias("service_name"),
-                 F.coalesce(F.max("product_location"), F.lit("")).alias("location"),
-                 F.coalesce(F.max("line_item_currency_code"), F.lit("")).alias("currency"),
-                 F.coalesce(F.max("pricing_term"), F.lit(C.DEFAULT_PRICING_TERM)).alias("pricing_type"),
-                 F.coalesce(F.sum("line_item_usage_amount"), F.lit(0)).cast(C.USAGE).alias("usage_amount"),
-                 F.max("pricing_unit").alias("usage_unit"),
-                 F.coalesce(F.sum("line_item_net_unblended_cost"), F.lit(0)).cast(C.MONEY).alias("cost")))
+    rows = daily.aws_daily_from_lines(sub, cur_src.V1, internal=True)
+    kept = [c for c in daily.AWS_COLUMNS if c not in daily.AWS_INTERNAL + daily.AWS_EXTERNAL]
+    return rows.select(*kept, F.col("net_unblended_cost").alias("cost"),
+                       _s(F.year("billing_month")).alias("year"), _s(F.month("billing_month")).alias("month"))
 
 
 def org_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
