@@ -60,8 +60,11 @@ def test_stream_replay_is_noop(spark):
     base = scratch_path(spark, f"stream-replay-{uuid.uuid4().hex}")
     landing, table, ckpt = f"{base}/landing", f"{base}/table", f"{base}/_checkpoint"
     f.gcp_export.repartition("partition_date").write.partitionBy("partition_date").parquet(landing)
-    incremental.gcp_incremental_load(spark, landing, table, ckpt, R.WS, R.WE, max_lag_days=2, files_per_trigger=4)
+    incremental.gcp_incremental_load(spark, landing, table, ckpt, R.WS, R.WE, files_per_trigger=4)
     first = _rows(incremental.read_daily_table(spark, table), "usage_date", "project_id", "sku_id", "cost")
-    incremental.gcp_incremental_load(spark, landing, table, ckpt, R.WS, R.WE, max_lag_days=2, files_per_trigger=4)
+    incremental.gcp_incremental_load(spark, landing, table, ckpt, R.WS, R.WE, files_per_trigger=4)
     assert _rows(incremental.read_daily_table(spark, table), "usage_date", "project_id", "sku_id", "cost") == first
     assert first and all(isinstance(r[0], dt.date) for r in first)
+    # a stream that starts over processes every file again, into the same table
+    incremental.gcp_incremental_load(spark, landing, table, f"{base}/_again", R.WS, R.WE, files_per_trigger=40)
+    assert _rows(incremental.read_daily_table(spark, table), "usage_date", "project_id", "sku_id", "cost") == first
