@@ -48,3 +48,12 @@ def test_no_similar_line_is_missed(spark, similarity):
     assert all(near.get(n) for n in (0, 1, 2, 4, 6, 11))
     got = linededup.dedup_lines(docs, similarity).filter("n_removed > 0")
     assert sorted(r.doc_id for r in got.collect()) == gone  # recall 1 at all lengths
+
+
+def test_short_spaceless_and_wordless_lines(spark):
+    chinese = "我们在公园里散步然后一起去吃饭再回家休息"
+    lines = ["Menu", "menu!", "Log in", "LOG IN", "log out", "-----", " -----", "=====", "", "", "  ", "  ",
+             chinese, chinese + "。", chinese[:9] + "又" + chinese[9:], chinese[::-1], "ภาษาไทย", "ภาษาไทย", "日本", "日本人"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    gone = linededup.dedup_lines(docs).filter("n_removed > 0")
+    assert sorted(r.doc_id for r in gone.collect()) == [1, 3, 6, 13, 14, 17]
