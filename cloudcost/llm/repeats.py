@@ -28,13 +28,15 @@ RANGE_BYTES = 8 << 20
 
 def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(rows, copies)``. rows: ``doc_id, row_key, text, digest``; copies: ``doc_id,
-    row_key, rep`` of every row whose text also has the smaller id ``rep`` (smallest)."""
+    row_key, rep, blank`` of every row whose text also has the smaller id ``rep`` (smallest);
+    ``blank`` says that the text is empty or all white space."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = d.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text", F.md5("text").alias("digest"))
-    ids = rows.select("doc_id", "row_key", "digest").filter("digest is not null and doc_id is not null")
+    rows = d.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text", F.md5("text").alias("digest"),
+                    (~F.col("text").rlike(r"[^\x20\x09-\x0D]")).alias("blank"))
+    ids = rows.select("doc_id", "row_key", "digest", "blank").filter("digest is not null and doc_id is not null")
     shared = (ids.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
               .filter("rep < last").select("digest", "rep"))
-    copies = ids.join(shared, "digest").filter("doc_id > rep").select("doc_id", "row_key", "rep")
+    copies = ids.join(shared, "digest").filter("doc_id > rep").select("doc_id", "row_key", "rep", "blank")
     return rows.select("doc_id", "row_key", "text"), written(copies, "copies")
 
 

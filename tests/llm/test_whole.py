@@ -3,8 +3,8 @@
 import random
 
 import pytest
-from cloudcost.llm import linededup
-from tests.llm.test_llm import edit
+from cloudcost.llm import jaccard, linededup
+from tests.llm.test_llm import SCHEMA, edit, odd_docs, rows
 
 
 # --- 2: lines ----------------------------------------------------------------------
@@ -57,3 +57,16 @@ def test_short_spaceless_and_wordless_lines(spark):
     docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
     gone = linededup.dedup_lines(docs).filter("n_removed > 0")
     assert sorted(r.doc_id for r in gone.collect()) == [1, 3, 6, 13, 14, 17]
+
+
+# --- 6: near duplicates ------------------------------------------------------------
+
+def test_rows_without_words_link_with_nothing(spark):
+    more = [(20, ""), (21, " \n"), (22, " \n"), (7, ""), (23, "ab"), (24, "\x1c"), (25, "\x1c"), (26, "\u00a0"), (27, "\u00a0")]
+    docs = odd_docs(spark).unionByName(spark.createDataFrame(
+        [(i, t, None, None, None, 1, "x", 2, None, 3) for i, t in more], SCHEMA))
+    got = set(rows(jaccard.near_duplicates(docs), "doc_id", "n_shingles", "component_id"))
+    assert {(4, 0, 4), (20, 0, 20), (21, 0, 21), (22, 0, 22), (7, 0, 7)} <= got
+    assert {(23, 1, 7), (25, 1, 24), (27, 1, 26)} <= got
+    kept = [r.doc_id for r in jaccard.keep_first(docs).select("doc_id").collect()]
+    assert {4, 20, 21, 22} <= set(kept) and not {23, 25, 27} & set(kept)
