@@ -4,6 +4,7 @@ import random
 
 import pytest
 from cloudcost.llm import jaccard, linededup
+from cloudcost.llm.components import components
 from tests.llm.test_llm import SCHEMA, edit, odd_docs, rows
 
 
@@ -70,3 +71,18 @@ def test_rows_without_words_link_with_nothing(spark):
     assert {(23, 1, 7), (25, 1, 24), (27, 1, 26)} <= got
     kept = [r.doc_id for r in jaccard.keep_first(docs).select("doc_id").collect()]
     assert {4, 20, 21, 22} <= set(kept) and not {23, 25, 27} & set(kept)
+
+
+# --- components --------------------------------------------------------------------
+
+def test_chains_in_any_order_settle(spark):
+    rng = random.Random(4)
+    edges = []
+    for start, size in ((0, 3000), (10000, 700), (20000, 40)):
+        ids = list(range(start, start + size))
+        rng.shuffle(ids)
+        edges += zip(ids, ids[1:])
+    rng.shuffle(edges)
+    got = rows(components(spark.createDataFrame(edges, "a long, b long")), "node", "component")
+    assert got == sorted(((n, start) for start, size in ((0, 3000), (10000, 700), (20000, 40))
+                          for n in range(start, start + size)), key=str)
