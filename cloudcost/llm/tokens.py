@@ -5,7 +5,8 @@ and between a letter and a comma or full stop that white space follows. A text m
 cut there, and equal segments have equal ids. Each Python worker keeps the ids of up
 to ``MEMO`` segments; only segments it has not seen are encoded, all those of a slice
 in a few calls. The result is the library's own encoding of the whole text (tests
-compare them); texts where a cut is not safe are encoded whole.
+compare them); texts where a cut is not safe, and those that hold the string of an added
+token such as ``<|endoftext|>``, which becomes that token, are encoded whole.
 """
 
 from __future__ import annotations
@@ -50,7 +51,8 @@ class SegmentEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        # the strings of added tokens, which the library finds in a text before all else
+        self.added = tuple({x for t in self.tok.get_added_tokens_decoder().values() for x in (t.content, t.content.lower())})
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         bar = self.tok.encode(" |", add_special_tokens=False).ids
         self.bar = bar[0] if len(bar) == 1 else None
@@ -58,6 +60,10 @@ class SegmentEncoder:
         self.lower = '"Lowercase"' in self.tok.to_str().split('"pre_tokenizer"')[0]
         self.memo: dict[str, bytes] = {}
 
+    def _holds_added(self, x: str) -> bool:
+        low = x.lower()
+        return any(a in x or a in low for a in self.added)
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         enc = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in enc]
@@ -70,7 +76,7 @@ class SegmentEncoder:
             if not x:
                 segments.append(None)
                 whole.append("")
-            elif not _safe(x):
+            elif not _safe(x) or self._holds_added(x):
                 segments.append(None)
                 whole.append(x)
             else:

@@ -2,9 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
-from cloudcost.llm import jaccard, linededup
+from tokenizers import Tokenizer
+
+from cloudcost.llm import jaccard, linededup, tokenbin
 from cloudcost.llm.components import components
+from cloudcost.llm.tokens import SegmentEncoder, tokenizer_path
 from tests.llm.test_llm import SCHEMA, edit, odd_docs, rows
 
 
@@ -86,3 +90,22 @@ def test_chains_in_any_order_settle(spark):
     got = rows(components(spark.createDataFrame(edges, "a long, b long")), "node", "component")
     assert got == sorted(((n, start) for start, size in ((0, 3000), (10000, 700), (20000, 40))
                           for n in range(start, start + size)), key=str)
+
+
+# --- 1, 8: tokens ------------------------------------------------------------------
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y, z", "<|ENDOFTEXT|> c", "a <|endoftext|>. <|startoftext|> c"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_as_the_library_reads_them(spark, name):
+    tok = Tokenizer.from_file(tokenizer_path(name))
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
+    texts = SPECIAL + [f"the {a} end. {a}{a}\nof {a.upper()}" for a in added[:20]] + ["plain text, no marks"]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    enc = SegmentEncoder(tokenizer_path(name))
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows(tokenbin.round_trip(docs, tokenizer_path(name)), "doc_id", "start", "n_tokens")
+    starts = np.cumsum([0] + [len(x) + 1 for x in want]).tolist()
+    assert got == sorted(((i, s, len(x) + 1) for i, (s, x) in enumerate(zip(starts, want))), key=str)
