@@ -156,7 +156,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5, epochs: int = EPOC
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, windows: int = WINDOWS, seed: int = 5) -> Network | None:
     """Learn from ``labels(doc_id, label)`` and the texts of at most ``max_docs`` of its
-    rows (ids by hash); at most ``max_docs * windows * WINDOW`` characters reach the driver."""
+    rows (ids by hash); at most ``max_docs * windows * WINDOW`` characters reach the driver.
+    Of the documents that repeat an id one stands for it (the one with the least pieces)."""
     chosen = bounded_sample(labels.filter("doc_id is not null and label is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")), max_docs, ["doc_id", "label"])
     def piece(w):
@@ -165,9 +166,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, windows: i
         return F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(w)), room) + 1).cast("int"), size)
 
     pieces = F.array(*[piece(w) for w in range(windows)])
-    # the chosen ids are bounded by max_docs
+    # chosen ids and labels are bounded by max_docs, and so are the groups
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "doc_id").select("doc_id", "label", pieces.alias("pieces")).collect())
+            .join(F.broadcast(chosen), "doc_id").select("doc_id", "label", pieces.alias("pieces"))
+            .groupBy("doc_id", "label").agg(F.min("pieces").alias("pieces")).collect())
     rows.sort(key=lambda r: (r.doc_id, r.label, r.pieces))
     return train([p for r in rows for p in r.pieces], [r.label for r in rows for _ in r.pieces], seed)
 

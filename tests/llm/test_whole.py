@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cloudcost.llm import jaccard, linededup, tokenbin
+from cloudcost.llm import jaccard, linededup, quality, tokenbin
 from cloudcost.llm.components import components
 from cloudcost.llm.tokens import SegmentEncoder, tokenizer_path
 from tests.llm.test_llm import SCHEMA, edit, odd_docs, rows
@@ -64,6 +65,16 @@ def test_short_spaceless_and_wordless_lines(spark):
     assert sorted(r.doc_id for r in gone.collect()) == [1, 3, 6, 13, 14, 17]
 
 
+# --- 5: quality --------------------------------------------------------------------
+
+def test_a_repeated_id_stays_within_the_sample(spark, monkeypatch):
+    docs = spark.range(400).select(F.when(F.col("id") < 300, 1).otherwise(F.col("id")).cast("long").alias("doc_id"),
+                                   F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id").distinct().select("doc_id", (F.col("doc_id") % 2).alias("label"))
+    monkeypatch.setattr(quality, "train", lambda texts, labels, seed: (len(texts), len(labels)))
+    assert quality.fit(docs, labels, max_docs=101, windows=3) == (303, 303)  # all ids, each once
+
+
 # --- 6: near duplicates ------------------------------------------------------------
 
 def test_rows_without_words_link_with_nothing(spark):
