@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, jaccard, langid, linededup, packing, quality, substrings, tokenbin, winnow
+from . import (chat, crosspolytope, jaccard, langid, linededup, packing, quality, sharding, substrings, tokenbin,
+               winnow)
 from .common import table
 from .tokens import tokenizer_path
 
@@ -75,9 +76,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.read_back(chat.format_conversations(turns)))
 
 
+def op11_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.manifest(table(spark, sf_dir, "documents"), sharding.even(8), sharding.even(9))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_shards, op2_fuzzy_lines, op3_suffix_array, op4_winnowing, op5_byte_cnn, op6_ngram_jaccard, op7_bigru_langid,
-                                    op8_concat_packing, op9_cross_polytope, op10_chat_format)}
+    return {f.__name__: f for f in (
+        op1_token_shards, op2_fuzzy_lines, op3_suffix_array, op4_winnowing, op5_byte_cnn, op6_ngram_jaccard,
+        op7_bigru_langid, op8_concat_packing, op9_cross_polytope, op10_chat_format, op11_rendezvous_shards)}
 
 
 _OP10_SQL = """
@@ -167,5 +174,43 @@ FROM d LEFT JOIN agg USING (r)
 """
 
 
+def _crc_table() -> list[int]:
+    """Remainders of the bytes for the reflected polynomial of CRC-32."""
+    out = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        out.append(byte)
+    return out
+
+
+def _crc_sql(text: str) -> str:
+    """DuckDB expression: unsigned CRC-32 of the UTF-8 bytes of ``text``; needs ``crc(tab)`` in FROM."""
+    data = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), "
+            "lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), 4294967295)")
+
+
+_OP11_SQL = f"""
+WITH crc AS (SELECT {_crc_table()}::BIGINT[] AS tab),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+         {_crc_sql("coalesce(text, '')")} AS text_crc32
+  FROM documents, crc),
+draw AS (
+  SELECT r, s, substr(md5(coalesce('=' || doc_id, 'null') || '@' || s), 1, 13) AS u
+  FROM d, (SELECT unnest(range(9)) AS s)),
+pick AS (
+  SELECT r, CAST(arg_max(s, u) FILTER (s < 8) AS INTEGER) AS shard, CAST(arg_max(s, u) AS INTEGER) AS grown_shard
+  FROM draw GROUP BY r)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), 'null'), size, text_crc32, pos)),
+                          doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+FROM (SELECT *, (row_number() OVER (PARTITION BY doc_id, size, text_crc32) - 1) // 10000 * 10000 AS pos FROM d)
+JOIN pick USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_suffix_array": _OP3_SQL, "op4_winnowing": _OP4_SQL, "op6_ngram_jaccard": _OP6_SQL, "op10_chat_format": _OP10_SQL}
+    return {"op3_suffix_array": _OP3_SQL, "op4_winnowing": _OP4_SQL, "op6_ngram_jaccard": _OP6_SQL,
+            "op10_chat_format": _OP10_SQL, "op11_rendezvous_shards": _OP11_SQL}
