@@ -30,7 +30,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table of ``written`` once the last table that reads it has been written."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, crosspolytope, jaccard, langid, linededup, packing, quality, sharding, substrings, tokenbin,
-               winnow)
+from . import (chat, crosspolytope, jaccard, langid, linededup, merkle, packing, quality, sharding, substrings,
+               tokenbin, vectorcodes, winnow)
 from .common import table
 from .tokens import tokenizer_path
 
@@ -81,10 +81,28 @@ def op11_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    cut = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    altered = F.when(_remainder(2) == 0, merkle.record_digest(*fields[:-1], cut))
+    built = merkle.build(docs, merkle.record_digest(*fields), tree="source", order="doc_id", altered=altered)
+    return merkle.prove(built).select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256",
+                                      "folded_root", "verified")
+
+
+def op13_cover_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+    return vectorcodes.with_label_error(coded, F.struct("id", "code")).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(vectorcodes.books_digest(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_token_shards, op2_fuzzy_lines, op3_suffix_array, op4_winnowing, op5_byte_cnn, op6_ngram_jaccard,
-        op7_bigru_langid, op8_concat_packing, op9_cross_polytope, op10_chat_format, op11_rendezvous_shards)}
+        op7_bigru_langid, op8_concat_packing, op9_cross_polytope, op10_chat_format, op11_rendezvous_shards,
+        op12_merkle_manifest, op13_cover_tree_codes)}
 
 
 _OP10_SQL = """
@@ -211,6 +229,91 @@ JOIN pick USING (r)
 """
 
 
+def _field_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE octet_length(encode(CAST({x} AS VARCHAR))) || ':' || CAST({x} AS VARCHAR) END"
+
+
+_HEAD = " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_OP12_SQL = f"""
+WITH RECURSIVE crc AS (SELECT {_crc_table()}::BIGINT[] AS tab),
+d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS s, sha256({_HEAD} || {_field_sql("text")}) AS leaf,
+         CASE WHEN {_crc_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0
+              THEN sha256({_HEAD} || {_field_sql("replace(text, chr(10), '')")}) END AS altered
+  FROM documents, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k FROM d),
+tree AS (
+  SELECT s, 0 AS lvl, k, leaf AS h FROM leaves
+  UNION ALL
+  SELECT s, lvl + 1, k // 3, sha256(string_agg(h, '' ORDER BY k))
+  FROM (SELECT *, count(*) OVER (PARTITION BY s) AS c FROM tree) WHERE c > 1 GROUP BY s, lvl, k // 3),
+height AS (SELECT s, max(lvl) AS top FROM tree GROUP BY s),
+subroots AS (
+  SELECT s, h, top, row_number() OVER (ORDER BY encode(s)) - 1 AS k FROM tree JOIN height USING (s) WHERE lvl = top),
+crown AS (
+  SELECT 0 AS lvl, k, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, k // 3, sha256(string_agg(h, '' ORDER BY k))
+  FROM (SELECT *, count(*) OVER () AS c FROM crown) WHERE c > 1 GROUP BY lvl, k // 3),
+root AS (SELECT h AS root, lvl AS top FROM crown ORDER BY lvl DESC LIMIT 1),
+walk AS (
+  SELECT s, k, doc_id, leaf, coalesce(altered, leaf) AS h, 0 AS lvl, k AS at, '' AS proof FROM leaves
+  UNION ALL
+  SELECT w.s, w.k, any_value(doc_id), any_value(leaf),
+         sha256(string_agg(CASE WHEN t.k = w.at THEN w.h ELSE t.h END, '' ORDER BY t.k)), w.lvl + 1, any_value(w.at // 3),
+         any_value(proof) || coalesce(string_agg(t.h, '' ORDER BY t.k) FILTER (t.k <> w.at), '')
+  FROM walk w JOIN height USING (s) JOIN tree t ON t.s = w.s AND t.lvl = w.lvl AND t.k // 3 = w.at // 3
+  WHERE w.lvl < height.top GROUP BY w.s, w.k, w.lvl),
+climb AS (
+  SELECT w.s, w.k, doc_id, leaf, b.h AS subroot, w.h, 0 AS lvl, b.k AS at, proof
+  FROM walk w JOIN subroots b ON b.s = w.s AND b.top = w.lvl
+  UNION ALL
+  SELECT w.s, w.k, any_value(doc_id), any_value(leaf), any_value(subroot),
+         sha256(string_agg(CASE WHEN t.k = w.at THEN w.h ELSE t.h END, '' ORDER BY t.k)), w.lvl + 1, any_value(w.at // 3),
+         any_value(proof) || coalesce(string_agg(t.h, '' ORDER BY t.k) FILTER (t.k <> w.at), '')
+  FROM climb w CROSS JOIN root JOIN crown t ON t.lvl = w.lvl AND t.k // 3 = w.at // 3
+  WHERE w.lvl < root.top GROUP BY w.s, w.k, w.lvl)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, climb.h AS folded_root, climb.h = root AS verified
+FROM climb JOIN root ON climb.lvl = root.top
+"""
+
+
+def _op13_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, part, any_value(x) AS x, min({{'d': d, 'e': entry}}) AS best
+  FROM (SELECT r, p.part, p.x, entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM p JOIN b{i} b ON p.part = b.part) GROUP BY r, part)""")
+        if i < rounds:
+            steps.append(f"""
+b{i + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(n.x, b.x) AS x FROM b{i} b LEFT JOIN (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS x
+    FROM (SELECT part, best.e AS entry, pos, sum(c)::BIGINT AS s, count(*) AS n
+          FROM (SELECT part, best, unnest(x) AS c, generate_subscripts(x, 1) AS pos FROM a{i}) GROUP BY ALL)
+    GROUP BY part, entry) n USING (part, entry))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label,
+         list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+p AS MATERIALIZED (
+  SELECT r, part, w[part * (len(w) // {parts}) + 1:(part + 1) * (len(w) // {parts})] AS x
+  FROM kept, (SELECT unnest(range({parts})) AS part)),
+b0 AS MATERIALIZED (SELECT part, r AS entry, x FROM p WHERE r < {entries}),{",".join(steps)},
+code AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+  FROM a{rounds} GROUP BY r),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN code USING (r), digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_suffix_array": _OP3_SQL, "op4_winnowing": _OP4_SQL, "op6_ngram_jaccard": _OP6_SQL,
-            "op10_chat_format": _OP10_SQL, "op11_rendezvous_shards": _OP11_SQL}
+            "op10_chat_format": _OP10_SQL, "op11_rendezvous_shards": _OP11_SQL,
+            "op12_merkle_manifest": _OP12_SQL, "op13_cover_tree_codes": _op13_sql()}
