@@ -71,17 +71,29 @@ def amortized_two_month(cur: DataFrame, org_accounts: DataFrame, params: C.Amort
                         as_of: dt.date) -> DataFrame:
     """Both queries for the current and the previous billing period; on a
     (day, entity) present more than once the later result wins, i.e. the
-    previous period beats the current one (tagged beats general in a period)."""
-    cur_m = first_of_month(as_of)
-    parts = []
-    seq = 0
-    for m in (cur_m, add_months(cur_m, -1)):
-        for q in ("general", "tagged"):
-            seq += 1
-            df = (amortized_cost_by_entity(cur, org_accounts, params, m.year, m.month) if q == "general"
-                  else amortized_cost_tagged(cur, params, m.year, m.month))
-            parts.append(df.withColumn("_seq", F.lit(seq)))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("usage_date", "billing_entity").agg(F.max_by("cost", "_seq").alias("cost"))
+    previous period beats the current one (tagged beats general in a period).
+
+    One scan of the CUR: a line carries its period's place in that order and the list of
+    entities it counts for (those of its account by the dimension, and the tagged workload's),
+    which is inlined; place and entity are grouping columns. The dimension has one row an
+    account, so a line stays one row in the join."""
+    current = first_of_month(as_of)
+    previous = add_months(current, -1)
+    in_current, in_previous = (cur_src.period_predicate(cur_src.V1, m.year, m.month) for m in (current, previous))
+    org = (org_accounts.filter(F.col("billing_entity").isin(*params.entities))
+           .groupBy("account_id").agg(F.collect_list("billing_entity").alias("entities")))
+    lines = cur.filter((in_current | in_previous) & F.col("line_item_line_item_type").isin(*C.AMORTIZED_LINE_TYPES))
+    tagged = ((F.col("resource_tags_user_client_env") == params.tag_value)
+              & (F.col("line_item_usage_account_id") == params.tag_account))
+    period = F.when(in_previous, 2).otherwise(0)
+
+    def rule(entity, place: int):
+        return F.struct((period + F.lit(place)).alias("seq"), entity.alias("billing_entity"))
+    none = F.array().cast("array<struct<seq:int,billing_entity:string>>")
+    rules = F.concat(F.coalesce(F.transform("entities", lambda e: rule(e, 0)), none),
+                     F.when(tagged, F.array(rule(F.lit(params.tag_entity), 1))).otherwise(none))
+    counted = lines.join(org, lines["line_item_usage_account_id"] == org["account_id"], "left").select(
+        F.to_date(cur_src.TS).alias("usage_date"), amortized_line_cost(params).alias("line_cost"), F.inline(rules))
+    totals = (counted.groupBy("usage_date", "billing_entity", "seq")
+              .agg(F.sum("line_cost").cast(C.MONEY).alias("cost")).filter(F.col("cost") > 0))
+    return totals.groupBy("usage_date", "billing_entity").agg(F.max_by("cost", "seq").alias("cost"))

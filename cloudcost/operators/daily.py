@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.money import sum_money
 from ..schemas import (  # noqa: F401 (callers take them from here)
     AWS_COLUMNS, AWS_DESCRIPTORS, AWS_EXTERNAL, AWS_INTERNAL, AWS_KEYS,
     GCP_COLUMNS, GCP_DESCRIPTORS, GCP_EXTERNAL, GCP_INTERNAL, GCP_KEYS,
@@ -36,9 +35,9 @@ def route_internal_external(df: DataFrame, internal: bool, internal_cols: list[s
 
 
 def group_with_descriptors(df: DataFrame, keys: list[Column], descriptors: list[tuple[str, Column]],
-                           sums: list[tuple[str, Column]]) -> DataFrame:
-    """``groupBy(keys)`` with ``max`` of string descriptors and ``sum`` of measures,
-    in two phases.
+                           sums: list[tuple[str, Column]], pick=F.max) -> DataFrame:
+    """``groupBy(keys)`` with ``max`` (or another ``pick``) of string descriptors and ``sum`` of
+    measures, in two phases.
 
     ``MAX(string)`` has no fixed-width buffer, so Spark would run the whole
     aggregation - including the map-side partial aggregation over every raw
@@ -51,7 +50,7 @@ def group_with_descriptors(df: DataFrame, keys: list[Column], descriptors: list[
     """
     phase1 = df.groupBy(*keys, *[c.alias(n) for n, c in descriptors]).agg(*[F.sum(c).alias(n) for n, c in sums])
     key_names = [c for c in phase1.columns if c not in {n for n, _ in descriptors} | {n for n, _ in sums}]
-    return phase1.groupBy(*key_names).agg(*[F.max(n).alias(n) for n, _ in descriptors],
+    return phase1.groupBy(*key_names).agg(*[pick(n).alias(n) for n, _ in descriptors],
                                           *[F.sum(n).alias(n) for n, _ in sums])
 
 
@@ -189,10 +188,12 @@ def gcp_daily_from_parts(parts: DataFrame, internal: bool = True) -> DataFrame:
 # A4: Huawei records -> daily
 # ---------------------------------------------------------------------------
 
-def huawei_typed(records: DataFrame) -> DataFrame:
-    """Typed record: NULL strings -> '', cycle yyyy-MM -> first of month."""
+def huawei_typed(records: DataFrame, *origin: str) -> DataFrame:
+    """Typed record: NULL strings -> '', cycle yyyy-MM -> first of month; ``origin``
+    columns are kept as they are."""
     e = lambda c: F.coalesce(F.col(c), F.lit(""))
     return records.select(
+        *origin,
         F.to_date("bill_date").alias("bill_date"),
         F.to_date(F.concat(F.col("cycle"), F.lit("-01"))).alias("billing_month"),
         e("payer_account_id").alias("payer_account_id"),
@@ -216,13 +217,52 @@ def huawei_typed(records: DataFrame) -> DataFrame:
     )
 
 
+_HWC_DESCRIBED = [c for c in HWC_DESCRIPTORS if c != "usage_amount"]
+
+
+def _huawei_grouped(typed: DataFrame, *extra: str) -> DataFrame:
+    """Typed records grouped by the 11-part key (and ``extra``). Records meet in a hash
+    aggregate by key and descriptors; only its rows, not the records, reach the sort-based
+    aggregate that MIN(string) needs."""
+    return group_with_descriptors(
+        typed, [F.col(c) for c in (*extra, *HWC_KEYS)], [(c, F.col(c)) for c in _HWC_DESCRIBED],
+        [(c, F.col(c)) for c in HWC_INTERNAL], pick=F.min)
+
+
+def _huawei_shaped(grouped: DataFrame, internal: bool) -> DataFrame:
+    agg = grouped.select(*HWC_KEYS, *_HWC_DESCRIBED, F.lit(None).cast(C.USAGE).alias("usage_amount"),
+                         *[F.coalesce(c, F.lit(0)).cast(C.MONEY).alias(c) for c in HWC_INTERNAL])
+    return route_internal_external(agg, internal, HWC_INTERNAL, HWC_EXTERNAL).select(*HWC_COLUMNS)
+
+
 def huawei_daily_cost(records: DataFrame, start: dt.date, end: dt.date, internal: bool = True) -> DataFrame:
     """A4: records of bill dates in [start, end] grouped by the 11-part key;
     descriptors take MIN (deterministic), NULL amounts count 0, usage NULL."""
     typed = huawei_typed(records).filter(F.col("bill_date").between(F.lit(start), F.lit(end)))
-    agg = typed.groupBy(*HWC_KEYS).agg(
-        *[F.min(c).alias(c) for c in HWC_DESCRIPTORS if c != "usage_amount"],
-        F.lit(None).cast(C.USAGE).alias("usage_amount"),
-        *[sum_money(c).alias(c) for c in HWC_INTERNAL],
-    )
-    return route_internal_external(agg, internal, HWC_INTERNAL, HWC_EXTERNAL).select(*HWC_COLUMNS)
+    return _huawei_shaped(_huawei_grouped(typed), internal)
+
+
+def huawei_parts(records: DataFrame, *origin: str) -> DataFrame:
+    """Partial sums of A4 by (``origin`` columns of the records, key), with the month of the
+    bill date as ``bill_month``. A key's row is the sum of its parts. Records without a bill
+    date belong to no day and are left out, as A4 leaves them out."""
+    typed = huawei_typed(records, *origin).filter(F.col("bill_date").isNotNull())
+    return _huawei_grouped(typed, *origin).withColumn("bill_month", F.trunc("bill_date", "MM"))
+
+
+def huawei_daily_from_parts(parts: DataFrame, internal: bool = True) -> DataFrame:
+    """A4 rows of the keys whose parts are given."""
+    g = parts.groupBy(*HWC_KEYS).agg(*[F.min(c).alias(c) for c in _HWC_DESCRIBED],
+                                     *[F.sum(c).alias(c) for c in HWC_INTERNAL])
+    return _huawei_shaped(g, internal)
+
+
+def huawei_withdrawn(parts: DataFrame, live: DataFrame, internal: bool = True) -> DataFrame:
+    """Rows with zero amounts for the keys of ``parts`` that ``live`` rows no longer have:
+    their records were landed again without them."""
+    gone = parts.select(*HWC_KEYS).distinct().alias("p")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"l.{c}")) for c in HWC_KEYS]
+    gone = gone.join(live.select(*HWC_KEYS).alias("l"), same, "left_anti")
+    empty = gone.select(*HWC_KEYS, *[F.lit("").alias(c) for c in _HWC_DESCRIBED],
+                        *[F.lit(None).cast(C.MONEY).alias(c) for c in HWC_INTERNAL])
+    return _huawei_shaped(empty, internal)

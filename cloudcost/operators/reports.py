@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -101,19 +101,55 @@ def report_daily_cost(cur: DataFrame, year: int, lo: dt.date, hi: dt.date) -> Da
             .orderBy("day"))
 
 
+_WORDS = 6  # 64-day words that hold a year
+
+
+def _year_words(day: Column) -> list[Column]:
+    """The bit of ``day`` in the words of its year (null in the others)."""
+    at = F.dayofyear(day) - 1
+    bit = F.expr("shiftleft(1L, (dayofyear(day) - 1) % 64)")
+    return [F.when(F.floor(at / 64) == w, bit) for w in range(_WORDS)]
+
+
+def day_bitmaps(daily: DataFrame, account_col: str = "usage_account_id", date_col: str = "usage_date") -> DataFrame:
+    """``account_id, year, w0 .. w5, lo, hi``: a bitmap of the billed days of each account and
+    year and their first and last one. Bitmaps merge by OR, in a hash aggregate of long
+    integers: a task sends one row for an account and year, however many rows it read."""
+    days = daily.select(F.col(account_col).alias("account_id"), F.col(date_col).alias("day")).filter("day is not null")
+    marked = days.select("account_id", F.year("day").alias("year"), "day",
+                         *[w.alias(f"w{i}") for i, w in enumerate(_year_words(F.col("day")))])
+    return marked.groupBy("account_id", "year").agg(
+        *[F.coalesce(F.bit_or(f"w{i}"), F.lit(0).cast("long")).alias(f"w{i}") for i in range(_WORDS)],
+        F.min("day").alias("lo"), F.max("day").alias("hi"))
+
+
 def report_coverage_gaps(daily: DataFrame, account_col: str = "usage_account_id",
                          date_col: str = "usage_date") -> DataFrame:
     """R2: per account, the days between its first and last billed day that
     have no daily row.
 
-    Written with windows instead of a calendar x account product: distinct
-    (account, day) pairs, ``lead`` gives the next billed day, and only the
-    holes are exploded, so the output is proportional to the gaps.
-    """
-    from pyspark.sql import Window
-    days = daily.select(F.col(account_col).alias("account_id"), F.col(date_col).alias("day")).distinct()
-    w = Window.partitionBy("account_id").orderBy("day")
-    nxt = days.select("account_id", "day", F.lead("day").over(w).alias("next_day"))
-    holes = nxt.filter(F.datediff("next_day", "day") > 1)
-    return holes.select("account_id", F.explode(F.sequence(F.date_add("day", 1),
-                                                            F.date_sub("next_day", 1))).alias("missing_day"))
+    Read from day bitmaps: an account's years (one small row each) meet, every year between
+    its first and last day is compared with the days expected in it, and only the missing
+    bits are exploded. Neither a window over days nor an account x calendar product."""
+    years = day_bitmaps(daily, account_col, date_col)
+    words = F.array(*[f"w{i}" for i in range(_WORDS)])
+    accounts = years.groupBy("account_id").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.map_from_entries(F.collect_list(F.struct("year", words.alias("words")))).alias("seen"))
+    each = accounts.select("account_id", "lo", "hi", "seen",
+                           F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year"))
+    jan1 = F.make_date("year", F.lit(1), F.lit(1))
+    dec31 = F.make_date("year", F.lit(12), F.lit(31))
+    bounds = each.select("account_id", jan1.alias("jan1"), F.try_element_at("seen", F.col("year")).alias("words"),
+                         F.datediff(F.greatest("lo", jan1), jan1).alias("a"),
+                         F.datediff(F.least("hi", dec31), jan1).alias("b"))
+    # expected days of word w: bits max(a - 64 w, 0) .. min(b - 64 w, 63)
+    missing = [F.expr(f"""CASE WHEN a <= {64 * w + 63} AND b >= {64 * w} THEN
+        shiftleft(-1L, greatest(a - {64 * w}, 0)) & shiftrightunsigned(-1L, 63 - least(b - {64 * w}, 63))
+        & ~coalesce(words[{w}], 0L) ELSE 0L END""") for w in range(_WORDS)]
+    holes = bounds.select("account_id", "jan1", F.array(*missing).alias("missing")).filter(
+        F.exists("missing", lambda m: m != 0))
+    by_word = holes.select("account_id", "jan1", F.posexplode("missing").alias("w", "bits")).filter("bits <> 0")
+    return by_word.select("account_id", F.explode(F.expr(
+        "transform(filter(sequence(0, 63), i -> (shiftright(bits, i) & 1L) = 1L), i -> date_add(jan1, w * 64 + i))"))
+        .alias("missing_day"))

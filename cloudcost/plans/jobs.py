@@ -8,6 +8,9 @@ overwrite after a second staging: Spark cannot overwrite what it is reading). Mo
 a delete or purge empties are removed. A killed run leaves the old partitions in place up
 to the overwrite; a re-run is idempotent.
 
+Huawei pages are read once: a ledger of landed files (``<table>_pages_*``) keeps what was read
+from each as partial sums, and a run opens only files that are new or were landed again.
+
 Google usage days arrive over several ingestion days. Their partial sums are kept by
 ingestion day (``<table>_parts_*``): a run replaces the ingestion days of its window there
 and rolls the touched usage days up from all their parts, so a late line changes its whole
@@ -22,7 +25,7 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_months, first_of_month, previous_month, refresh_window, rollup_window
@@ -31,9 +34,12 @@ from ..operators.merge import Batch, append_new, keyed_merge
 from ..session import scratch_path
 from ..sources import cur as cur_src
 from ..sources import files
+from ..sources.ledger import PageLedger
 from . import billing, loads
 
 _NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+GCP_ZONES = ["usage_month", "billing_month"]
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -79,14 +85,28 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
 
 
 def values_of(df: DataFrame, col: str) -> list:
-    """Distinct values of a date column in order (bounded by the calendar)."""
-    return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+    """Distinct values of a date column in order, null first (bounded by the calendar)."""
+    return in_order(r[0] for r in df.select(col).distinct().collect())
+
+
+def in_order(values: Iterable) -> list:
+    """Distinct values in order, null first."""
+    return sorted(set(values), key=lambda v: (v is not None, v if v is not None else dt.date.min))
+
+
+def is_one_of(col: str, values: Iterable) -> Column:
+    """``col`` is one of ``values``, null among them; written so that partitions prune."""
+    values = list(values)
+    known = F.col(col).isin(*[v for v in values if v is not None])
+    return known | F.col(col).isNull() if None in values else known
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], replace: Iterable = ()) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], replace: Iterable = (),
+                         gather: bool = False) -> None:
     """Stage ``df`` (cuts its lineage to the table it may read), replace the partitions
     present in it, then remove what is left of ``replace`` (values of the first partition
-    column whose old partitions end with this run) and not in ``df``."""
+    column whose old partitions end with this run) and not in ``df``. With ``gather`` the
+    final write rebalances by partition, so that few tasks write into a folder."""
     spark = df.sparkSession
     with staging(spark) as stage:
         staged = stage(df)
@@ -94,16 +114,21 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], repl
         gone = []
         if old is not None and list(replace):
             kept = staged.select(*partition_by).distinct()
-            gone = (old.filter(F.col(partition_by[0]).isin(*replace)).select(*partition_by).distinct()
-                    .join(kept, partition_by, "left_anti").collect())   # partitions of a few months
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # partitions of a few months; a null value is a partition like any other
+            same = [F.col(f"o.{c}").eqNullSafe(F.col(f"k.{c}")) for c in partition_by]
+            gone = (old.filter(is_one_of(partition_by[0], replace)).select(*partition_by).distinct().alias("o")
+                    .join(kept.alias("k"), same, "left_anti").collect())
+        final = staged.hint("rebalance", *partition_by) if gather else staged
+        (final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_by).parquet(path))
     for row in gone:
-        delete_folder(spark, "/".join([path, *(f"{c}={row[c]}" for c in partition_by)]))
+        delete_folder(spark, "/".join([path, *(f"{c}={_NULL_PARTITION if row[c] is None else row[c]}"
+                                               for c in partition_by)]))
 
 
 def _of_months(existing: DataFrame | None, col: str, months: list[dt.date]) -> DataFrame | None:
-    return None if existing is None else existing.filter(F.col(col).isin(*months))
+    # a column of null partitions alone has no type of its own
+    return None if existing is None else existing.filter(is_one_of(col, months)).withColumn(col, F.col(col).cast("date"))
 
 
 def run_aws_load(spark: SparkSession, cur_path: str, external_tables: list[str], view_tables: list[str],
@@ -128,14 +153,14 @@ def run_aws_load(spark: SparkSession, cur_path: str, external_tables: list[str],
             inputs.append(loads.AwsInput(loads.union_tables(spark, [n for n in names if window(n) == w]), kind, w))
     with staging(spark) as stage:
         batches = [Batch(stage(b.df), b.update_cols) for b in (i.batch() for i in inputs)]
-        months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
+        months = in_order(m for b in batches for m in values_of(b.df, "billing_month"))
         existing = read_table(spark, table_path)
         replaced = set(months)
         if existing is not None and loads.aws_cleanup_applies(as_of, cleanup):
             start = add_months(first_of_month(as_of), -1)
             replaced |= set(values_of(existing.filter(F.col("billing_month") >= F.lit(start)), "billing_month"))
             existing = loads.aws_window_delete(existing, as_of)
-        out = loads.aws_merge(batches, _of_months(existing, "billing_month", sorted(replaced)))
+        out = loads.aws_merge(batches, _of_months(existing, "billing_month", in_order(replaced)))
         overwrite_partitions(out, table_path, ["billing_month"], replaced)
     return months
 
@@ -156,8 +181,18 @@ def refresh_gcp_parts(lines: DataFrame, parts_path: str, dates: list[dt.date],
     months = values_of(days, "usage_month")
     if not months:
         return new, months
-    parts = spark.read.parquet(parts_path).filter(F.col("usage_month").isin(*months))
-    return parts.join(days.select("usage_date"), "usage_date", "left_semi"), months
+    return parts_of_days(spark.read.parquet(parts_path), days, months), months
+
+
+def parts_of_days(parts: DataFrame, days: DataFrame, months: list[dt.date]) -> DataFrame:
+    """The parts of the given usage days (a null day among them), from their months alone."""
+    return (parts.filter(is_one_of("usage_month", months)).alias("p")
+            .join(days.select("usage_date").distinct().alias("d"),
+                  F.col("p.usage_date").eqNullSafe(F.col("d.usage_date")), "left_semi"))
+
+
+def gcp_parts_path(table_path: str, internal: bool) -> str:
+    return f"{table_path}_parts_{'internal' if internal else 'external'}"
 
 
 def run_gcp_load(spark: SparkSession, export_path: str, table_path: str, as_of: dt.date,
@@ -174,38 +209,100 @@ def run_gcp_load(spark: SparkSession, export_path: str, table_path: str, as_of:
                 continue
             lines = spark.read.parquet(path).filter(F.col("partition_date").between(F.lit(ws), F.lit(we)))
             parts, touched = refresh_gcp_parts(
-                lines, f"{table_path}_parts_{'internal' if internal else 'external'}", dates, stage)
+                lines, gcp_parts_path(table_path, internal), dates, stage)
             batches.append(Batch(daily.gcp_daily_from_parts(parts, internal),
                                  daily.GCP_DESCRIPTORS + (daily.GCP_INTERNAL if internal else daily.GCP_EXTERNAL)))
             months |= set(touched)
-        existing = _of_months(read_table(spark, table_path), "usage_month", sorted(months))
+        months = in_order(months)
+        existing = _of_months(read_gcp_table(spark, table_path), "usage_month", months)
         out = keyed_merge(None if existing is None else existing.drop("usage_month"), batches, daily.GCP_KEYS,
                           daily.GCP_COLUMNS)
-        overwrite_partitions(out.withColumn("usage_month", F.trunc("usage_date", "MM")), table_path, ["usage_month"])
-    return sorted(months)
+        write_gcp_table(out, table_path, months)
+    return months
+
+
+def write_gcp_table(rows: DataFrame, table_path: str, months: Iterable) -> None:
+    """Replace usage ``months`` of the Google daily table. Below the usage month lies the billing
+    month, a descriptor: a rollup that wants late lines of recent billing months finds them
+    without opening the rest of the history. A key whose billing month changes moves; what
+    it leaves empty goes."""
+    overwrite_partitions(rows.withColumn("usage_month", F.trunc("usage_date", "MM")), table_path, GCP_ZONES, months)
+
+
+def read_gcp_table(spark: SparkSession, table_path: str) -> DataFrame | None:
+    table = read_table(spark, table_path)
+    return None if table is None else table.withColumn("billing_month", F.col("billing_month").cast("date"))
 
 
 def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: str | None, table_path: str,
                     as_of: dt.date, first_run: bool = False, external_first_run: bool | None = None,
                     explicit_start: dt.date | None = None) -> list[dt.date]:
     """landed JSON pages (internal and external accounts) -> merge into the cycles the
-    records belong to, whatever their bill dates. The external accounts may have a window
-    of their own (``external_first_run``)."""
+    records belong to, whatever their bill dates; a record without a cycle belongs to the null
+    month. The external accounts may have a window of their own (``external_first_run``).
+
+    Only files that the ledger does not know are opened. Rolled up are the days of the window
+    and, after the first run, whatever days the new files touch, late ones included."""
     def window(first: bool) -> tuple[dt.date, dt.date]:
         return refresh_window(as_of, "HWC", first, explicit_start)
     first = first_run if external_first_run is None else external_first_run
     sources = [(internal_pages, True, first_run)] + ([(external_pages, False, first)] if external_pages else [])
     with staging(spark) as stage:
-        batches = [Batch(stage(daily.huawei_daily_cost(files.read_huawei_pages(spark, path), *window(fresh), internal)),
-                         daily.HWC_DESCRIPTORS + (daily.HWC_INTERNAL if internal else daily.HWC_EXTERNAL))
-                   for path, internal, fresh in sources]
-        months = sorted({m for b in batches for m in values_of(b.df, "billing_month")})
-        existing = _of_months(read_table(spark, table_path), "billing_month", months)
-        out = keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS)
-        overwrite_partitions(out, table_path, ["billing_month"])
+        batches, commits = [], []
+        for path, internal, fresh in sources:
+            ledger = huawei_ledger(spark, table_path, internal)
+            rows, run = refresh_huawei_parts(ledger, path, window(fresh), not fresh, internal, stage)
+            commits.append((ledger, run))
+            if rows is not None:
+                batches.append(Batch(rows, daily.HWC_DESCRIPTORS + (daily.HWC_INTERNAL if internal else daily.HWC_EXTERNAL)))
+        months = in_order(m for b in batches for m in values_of(b.df, "billing_month"))
+        if months:
+            existing = _of_months(read_table(spark, table_path), "billing_month", months)
+            out = keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS)
+            overwrite_partitions(out, table_path, ["billing_month"])
+        for ledger, run in commits:
+            ledger.commit(run)
     return months
 
 
+def huawei_ledger(spark: SparkSession, table_path: str, internal: bool) -> PageLedger:
+    """The ledger of the pages of internal or external accounts beside a table."""
+    return PageLedger(spark, f"{table_path}_pages_{'internal' if internal else 'external'}", "bill_month")
+
+
+def refresh_huawei_parts(ledger: PageLedger, path: str, window: tuple[dt.date, dt.date], late_days: bool, internal: bool,
+                         stage: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame | None, int | None]:
+    """Read the new files below ``path`` into parts; daily rows of the window's days (and, with
+    ``late_days``, of all days that the new files touch) from all parts; the run to commit."""
+    spark = ledger.spark
+    run = ledger.read_new(path, lambda paths: daily.huawei_parts(
+        files.read_huawei_pages(spark, paths, with_file=True), "file"))
+    parts = ledger.parts(run)
+    if parts is None:
+        return None, run
+    months = set(months_between(*window))
+    days = spark.createDataFrame([], "bill_date date")
+    withdrawn = None
+    if run is not None:
+        withdrawn = ledger.withdrawn(run)
+        days = stage(ledger.all_parts(run).filter(F.col("run") == run).select("bill_date")
+                     .unionByName(withdrawn.select("bill_date")).distinct())
+    if late_days:
+        months |= {first_of_month(d) for d in values_of(days, "bill_date")}
+    lo, hi = (F.lit(d) for d in window)
+
+    def of_days(rows: DataFrame) -> DataFrame:
+        rows = rows.filter(is_one_of("bill_month", in_order(months)))
+        if not late_days:
+            return rows.filter(F.col("bill_date").between(lo, hi))
+        touched = rows.join(days.withColumn("touched", F.lit(True)), "bill_date", "left")
+        return touched.filter(F.col("bill_date").between(lo, hi) | F.col("touched")).drop("touched")
+    rows = stage(daily.huawei_daily_from_parts(of_days(parts), internal))
+    if withdrawn is not None:
+        rows = rows.unionByName(daily.huawei_withdrawn(of_days(withdrawn), rows, internal))
+    return rows, run
+
+
 def run_service_level(spark: SparkSession, aws_path: str, gcp_path: str, hw_path: str,
                       service_types: DataFrame, table_path: str, as_of: dt.date,
                       run_ts: dt.datetime) -> None:
@@ -214,7 +311,7 @@ def run_service_level(spark: SparkSession, aws_path: str, gcp_path: str, hw_path
     The window starts on the first of a month, so upsert (K5) followed by the
     purge of untouched window rows (K10) leaves exactly this run's rows in the
     window months: those partitions are replaced, emptied ones removed, older ones kept."""
-    gcp = read_table(spark, gcp_path).drop("usage_month")
+    gcp = read_gcp_table(spark, gcp_path).drop("usage_month")
     out = billing.service_level_billing(read_table(spark, aws_path), gcp, read_table(spark, hw_path),
                                         service_types, as_of, run_ts)
     ws, _ = rollup_window(as_of)

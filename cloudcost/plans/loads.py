@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +12,13 @@ from pyspark.sql import functions as F
 from ..operators import daily
 from ..operators.merge import Batch, keyed_merge, window_delete
 from ..sources import cur as cur_src
+from ..sources.catalog import union_catalog_tables
 from ..functions.dates import add_months, first_of_month
 
 
 def union_tables(spark: SparkSession, names: list[str]) -> DataFrame:
-    """S7 body: read the named tables alike and union them by column name."""
-    return reduce(lambda a, b: a.unionByName(b), [spark.table(n) for n in names])
+    """S7 body: read the named tables or views alike, reconcile their columns, union them."""
+    return union_catalog_tables(spark, names)
 
 
 def list_tables(spark: SparkSession, prefix: str, exclude: set[str], database: str | None = None) -> list[str]:

@@ -20,10 +20,11 @@ from .functions.classify import billing_type_class
 from .functions.dates import previous_month, refresh_window, rollup_window
 from .operators import amortized, costs, daily, pricing, reports, rollup
 from .operators.merge import Batch, append_new, keyed_merge, upsert_all
-from .plans import billing, jobs, loads
+from .plans import billing, compaction, jobs, loads, tables
 from .session import scratch_path
+from .sources import catalog
 from .sources import cur as cur_src
-from .sources import files
+from .sources import files, relational
 from .sources import fixtures as fx
 from .streaming import incremental
 
@@ -44,7 +45,9 @@ GCP_RUNS = [dt.date(2001, 6, 25), dt.date(2001, 7, 3), dt.date(2001, 7, 12), dt.
             dt.date(2001, 7, 30), dt.date(2001, 8, 2)]
 HW_RUNS = [dt.date(2001, 6, 25), dt.date(2001, 7, 4), dt.date(2001, 7, 12), dt.date(2001, 7, 21),
            dt.date(2001, 7, 30), dt.date(2001, 8, 4), dt.date(2001, 8, 13), dt.date(2001, 8, 15)]
+SOURCES_AS_OF = dt.date(2001, 7, 21)
 CLEANUP_AS_OF = dt.date(2001, 8, 14)
+HISTORY = (dt.date(1992, 1, 1), dt.date(2001, 12, 31))
 PURGE_START = dt.date(2001, 7, 1)
 SLB_CMP = [c for c in billing.SLB_OUT if c != "last_updated_at"]
 
@@ -238,6 +241,18 @@ def _q_s7(f: Fixture) -> DataFrame:
                                    "line_item_line_item_type", "line_item_unblended_cost")
 
 
+@query("catalog_fan_in")
+def _q_s7b(f: Fixture) -> DataFrame:
+    """Catalog tables of a database with an extra, a missing and a narrower column; one
+    period, which prunes in the catalog."""
+    database = f"external_{uuid.uuid4().hex}"
+    fx.create_external_database(f.spark, f.d, database, f.cur)
+    names = catalog.catalog_tables(f.spark, database, fx.CUR_EXT_PREFIX, {fx.EXCLUDED_CUR_TABLE})
+    rows = catalog.union_catalog_tables(f.spark, names).filter(cur_src.period_predicate(cur_src.V1, Y, M))
+    return rows.select(F.to_date(cur_src.TS).alias("usage_date"), "line_item_usage_account_id", "product_location",
+                       "resource_tags_user_team", "line_item_usage_amount", "line_item_unblended_cost")
+
+
 @query("huawei_json_explode")
 def _q_s5(f: Fixture) -> DataFrame:
     recs = files.read_huawei_pages(f.spark, fx.landed_exports(f.spark, f.d)["huawei"])
@@ -623,6 +638,17 @@ def _q_ss(f: Fixture) -> DataFrame:
         F.try_element_at(F.create_map(F.lit("unit"), F.col("usage.unit")), F.lit("unit")).alias("usage_unit"))
 
 
+@query("relational_date_slices")
+def _q_s8(f: Fixture) -> DataFrame:
+    """The service-level rows of a product's accounts between two bound dates, read in
+    date slices."""
+    path = _job_table(f, "relational")
+    rows = f.slb.select(*SLB_CMP)
+    rows.write.parquet(path)
+    table = relational.read_date_slices(f.spark, path, rows.schema, "usage_date", WS, WE, days=10)
+    return table.filter(F.col("usage_date").between(F.lit(PREV_START), F.lit(PREV_END)) & (F.col("cloud_provider") == C.AWS))
+
+
 # --- streaming ---------------------------------------------------------------------------
 
 @query("stream_incremental_daily")
@@ -652,7 +678,95 @@ def _q_f2_jobs(f: Fixture) -> DataFrame:
     path = _job_table(f, "gcp-job")
     for i, as_of in enumerate(GCP_RUNS):
         jobs.run_gcp_load(f.spark, fx.landed_exports(f.spark, f.d)["gcp"], path, as_of, first_run=i == 0)
-    return jobs.read_table(f.spark, path).select(*daily.GCP_COLUMNS)
+    return jobs.read_gcp_table(f.spark, path).select(*daily.GCP_COLUMNS)
+
+
+@query("gcp_parts_compacted")
+def _q_f2_compacted(f: Fixture) -> DataFrame:
+    """F2 run after run with its parts compacted after each; rows are those of the parts alone."""
+    path = _job_table(f, "gcp-compacted")
+    for i, as_of in enumerate(GCP_RUNS):
+        jobs.run_gcp_load(f.spark, fx.landed_exports(f.spark, f.d)["gcp"], path, as_of, first_run=i == 0)
+        compaction.compact(f.spark, jobs.gcp_parts_path(path, True), ["partition_date", "usage_month"])
+    parts = f.spark.read.parquet(jobs.gcp_parts_path(path, True))
+    return daily.gcp_daily_from_parts(parts).select(*daily.GCP_COLUMNS)
+
+
+@query("aws_load_all_sources")
+def _q_f1_sources(f: Fixture) -> DataFrame:
+    """F1 as a job: the v1 report, two v2 reports, external catalog tables and a view, each with
+    its own window: the second v2 report is new and back-fills."""
+    path = _job_table(f, "aws-sources")
+    v2 = fx.land_v2_reports(fx.landed_cur_v2(f.spark, f.d), _job_table(f, "v2-reports"))
+    database = f"external_{uuid.uuid4().hex}"
+    fx.create_external_database(f.spark, f.d, database, f.cur)
+    external = catalog.catalog_tables(f.spark, database, fx.CUR_EXT_PREFIX, {fx.EXCLUDED_CUR_TABLE})
+    view = f"amortized_{uuid.uuid4().hex}"
+    f.view.createOrReplaceTempView(view)
+    jobs.run_aws_load(f.spark, fx.landed_exports(f.spark, f.d)["cur"], external, [view], path, SOURCES_AS_OF,
+                      v2_paths=v2, new_tables=[v2[1]])
+    return jobs.read_table(f.spark, path).select(*daily.AWS_COLUMNS)
+
+
+# --- merges into bucketed tables: the target is not shuffled ------------------------------------
+
+BUCKETS = 8
+
+
+def _bucketed(f: Fixture, make, batches: list[list[Batch]]) -> DataFrame:
+    """A new bucketed table after ``batches``, merge by merge."""
+    name = f"merged_{uuid.uuid4().hex}"
+    table = make(f.spark, name, _job_table(f, "bucketed"), batches[0][0].df.schema, BUCKETS)
+    for some in batches:
+        with jobs.staging(f.spark) as stage:
+            table.merge(some, stage)
+    return table.read()
+
+
+@query("aws_bucketed_load")
+def _q_k2b(f: Fixture) -> DataFrame:
+    """K2 with an earlier run, then the whole window over it, then the same run replayed."""
+    def run(we: dt.date) -> list[Batch]:
+        return [i.batch() for i in (loads.AwsInput(f.cur, "internal", (WS, we)),
+                                    loads.AwsInput(f.external_cur(), "external", (WS, we)),
+                                    loads.AwsInput(f.view, "view", (WS, we)))]
+    return _bucketed(f, tables.aws_table, [run(REFRESH_AS_OF), run(WE), run(WE)])
+
+
+@query("gcp_bucketed_load")
+def _q_k3b(f: Fixture) -> DataFrame:
+    i = Batch(daily.gcp_daily_cost(f.gcp_export, WS, WE, True), daily.GCP_DESCRIPTORS + daily.GCP_INTERNAL)
+    e = Batch(daily.gcp_daily_cost(f.gcp_external_export, WS, WE, False), daily.GCP_DESCRIPTORS + daily.GCP_EXTERNAL)
+    return _bucketed(f, tables.gcp_table, [[i], [e], [i, e]])
+
+
+@query("huawei_bucketed_load")
+def _q_k4b(f: Fixture) -> DataFrame:
+    i = Batch(daily.huawei_daily_cost(f.hw_records, WS, WE, True), daily.HWC_DESCRIPTORS + daily.HWC_INTERNAL)
+    e = Batch(daily.huawei_daily_cost(f.hw_external_records, WS, WE, False), daily.HWC_DESCRIPTORS + daily.HWC_EXTERNAL)
+    return _bucketed(f, tables.huawei_table, [[i, e], [e]])
+
+
+@query("service_level_bucketed_upsert")
+def _q_k5b(f: Fixture) -> DataFrame:
+    own = [c for c in f.slb.columns if c not in rollup.SLB_KEYS]
+    return _bucketed(f, tables.service_level_table, [[Batch(_slb_history(f), own)], [Batch(f.slb, own)]]).select(*SLB_CMP)
+
+
+HW_DELIVERIES = 4
+
+
+@query("huawei_pages_incremental")
+def _q_s5_jobs(f: Fixture) -> DataFrame:
+    """F3 over pages that arrive in four deliveries, in no order of bill dates; each run opens the
+    new files alone, and late records change their whole days."""
+    base = _job_table(f, "hw-pages")
+    landing, table = f"{base}/landing", f"{base}/table"
+    turn = F.pmod(F.xxhash64("customer_id", "bill_date", "consume_amount"), F.lit(HW_DELIVERIES))
+    for n in range(HW_DELIVERIES):
+        files.write_huawei_pages(f.hw_records.filter(turn == n), f"{landing}/{n}")
+        jobs.run_huawei_load(f.spark, landing, None, table, HISTORY[1], first_run=n == 0, explicit_start=HISTORY[0])
+    return jobs.read_table(f.spark, table).select(*daily.HWC_COLUMNS)
 
 
 @query("huawei_load_incremental")
@@ -683,7 +797,7 @@ def _q_f4_jobs(f: Fixture) -> DataFrame:
     paths = {k: _job_table(f, k) for k in ("aws", "gcp", "hw", "slb")}
     f.load_daily_tables()
     jobs.overwrite_partitions(f.aws_daily, paths["aws"], ["billing_month"])
-    jobs.overwrite_partitions(f.gcp_daily.withColumn("usage_month", F.trunc("usage_date", "MM")), paths["gcp"], ["usage_month"])
+    jobs.write_gcp_table(f.gcp_daily, paths["gcp"], [])
     jobs.overwrite_partitions(f.hw_daily, paths["hw"], ["billing_month"])
     stale = f.slb.limit(5).withColumn("usage_date", F.lit(dt.date(2002, 3, 5)))
     jobs.overwrite_partitions(stale.withColumn("usage_month", F.trunc("usage_date", "MM")), paths["slb"], ["usage_month"])

@@ -54,11 +54,15 @@ def write_huawei_pages(records: DataFrame, path: str, page_size: int = PAGE_SIZE
     pages.write.mode("overwrite").json(path)
 
 
-def read_huawei_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_huawei_pages(spark: SparkSession, path: str | list[str], multi_line: bool = False,
+                      with_file: bool = False) -> DataFrame:
     """Pages -> one row per bill record (``explode`` of ``monthly_records``).
-    ``multi_line`` reads one pretty-printed page per file instead."""
+    ``path`` is a folder or a list of files; ``multi_line`` reads one pretty-printed page per
+    file; ``with_file`` adds the name of the record's file as ``file``."""
     pages = spark.read.schema(HUAWEI_PAGE).option("multiLine", multi_line).json(path)
-    return pages.select(F.explode("monthly_records").alias("r")).select("r.*")
+    origin = [F.col("_metadata.file_path").alias("file")] if with_file else []
+    return pages.select(*origin, F.explode("monthly_records").alias("r")).select(
+        *(["file"] if with_file else []), "r.*")
 
 
 NULL_MARK = "\\N"

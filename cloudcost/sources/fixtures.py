@@ -171,6 +171,33 @@ def register_cur_external_tables(spark: SparkSession, sf_dir: str, cur: DataFram
     return names
 
 
+def create_external_database(spark: SparkSession, sf_dir: str, database: str, cur: DataFrame) -> None:
+    """The external accounts' tables as catalog tables of a database, partitioned by period,
+    with columns of their own: the second has one more, the third lacks one and has a
+    narrower number."""
+    from ..session import scratch_path
+    base = scratch_path(spark, f"{database}-{uuid.uuid4().hex}")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    for name, df in cur_external_tables(spark, sf_dir, cur).items():
+        if name.endswith("1"):
+            df = df.withColumn("resource_tags_user_team", F.concat(F.lit("team-"), "line_item_usage_account_id"))
+        if name.endswith("2"):
+            df = df.drop("product_location").withColumn(
+                "line_item_usage_amount", F.col("line_item_usage_amount").cast("decimal(12,2)"))
+        df.write.partitionBy("year", "month").option("path", f"{base}/{name}").saveAsTable(f"{database}.{name}")
+
+
+def land_v2_reports(cur_v2: DataFrame, base: str) -> list[str]:
+    """Two version 2 reports of other accounts of the organisation, at their own prices."""
+    account = F.col("line_item_usage_account_id").cast("bigint") % 4
+    paths = []
+    for n, factor in ((1, "1.1"), (2, "1.2")):
+        rows = _priced(cur_v2.filter(account == n), {"line_item_unblended_cost": factor, "line_item_blended_cost": factor})
+        paths.append(f"{base}/cur_v2_{n}")
+        rows.write.partitionBy("billing_period").parquet(paths[-1])
+    return paths
+
+
 def amortized_view(spark: SparkSession, sf_dir: str, cur: DataFrame | None = None) -> DataFrame:
     """Pre-aggregated (daily-shaped) amortized-cost view of the 'A' flag lines,
     with partition columns year/month."""

@@ -50,13 +50,12 @@ def month_tables(spark):
     from cloudcost import registry as R
     from cloudcost.plans import jobs
     from cloudcost.session import scratch_path
-    from pyspark.sql import functions as F
     f = R.Fixture(spark, SF)
     f.load_daily_tables()
     base = scratch_path(spark, f"plans-test-{uuid.uuid4().hex}")
     paths = {k: f"{base}/{k}" for k in ("aws", "gcp", "hw")}
     jobs.overwrite_partitions(f.aws_daily, paths["aws"], ["billing_month"])
-    jobs.overwrite_partitions(f.gcp_daily.withColumn("usage_month", F.trunc("usage_date", "MM")), paths["gcp"], ["usage_month"])
+    jobs.write_gcp_table(f.gcp_daily, paths["gcp"], [])
     jobs.overwrite_partitions(f.hw_daily, paths["hw"], ["billing_month"])
     return {k: jobs.read_table(spark, p) for k, p in paths.items()}
 
@@ -71,7 +70,8 @@ def test_rollups_and_payer_costs_prune_months(month_tables):
 
     from cloudcost.operators import rollup
     ws, we = dt.date(2001, 2, 1), dt.date(2001, 8, 15)
-    for df in (rollup.rollup_aws(month_tables["aws"], ws, we, None), rollup.rollup_huawei(month_tables["hw"], ws, we, None)):
+    for df in (rollup.rollup_aws(month_tables["aws"], ws, we, None), rollup.rollup_gcp(month_tables["gcp"], ws, we, None),
+               rollup.rollup_huawei(month_tables["hw"], ws, we, None)):
         found = _filters(df)
         assert found and all("billing_month" in x for x in found)
 
