@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
@@ -53,6 +54,9 @@ class SegmentEncoder:
         self.tok = Tokenizer.from_file(path)
         # the strings of added tokens, which the library finds in a text before all else
         self.added = tuple({x for t in self.tok.get_added_tokens_decoder().values() for x in (t.content, t.content.lower())})
+        # a character without case that all of them hold
+        common = set.intersection(*map(set, self.added)) if self.added else set()
+        self.added_mark = min((c for c in common if c.lower() == c.upper()), default="")
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         bar = self.tok.encode(" |", add_special_tokens=False).ids
         self.bar = bar[0] if len(bar) == 1 else None
@@ -61,6 +65,8 @@ class SegmentEncoder:
         self.memo: dict[str, bytes] = {}
 
     def _holds_added(self, x: str) -> bool:
+        if self.added_mark and self.added_mark not in x:
+            return False
         low = x.lower()
         return any(a in x or a in low for a in self.added)
 
@@ -90,14 +96,25 @@ class SegmentEncoder:
         done = self._ids(whole)
         heads = iter(done[len(done) - sum(s is not None for s in segments):])
         rest = iter(done)
-        wanted = set().union(*(s[1:] for s in segments if s))
-        new = wanted.difference(self.memo)
-        if len(self.memo) + len(new) > MEMO:  # results never depend on what is remembered
-            self.memo = {}
-            new = wanted
-        self._remember(list(new))
-        get = self.memo.__getitem__
-        return [next(rest) if s is None else next(heads) + b"".join(map(get, s[1:])) for s in segments]
+        # most texts hold nothing new: their segments are looked up once
+        tails, open_, get = [b""] * len(segments), [], self.memo.__getitem__
+        for i, s in enumerate(segments):
+            if s:
+                try:
+                    tails[i] = b"".join(map(get, islice(s, 1, None)))
+                except KeyError:
+                    open_.append(i)
+        if open_:
+            wanted = set().union(*(islice(segments[i], 1, None) for i in open_))
+            new = wanted.difference(self.memo)
+            if len(self.memo) + len(new) > MEMO:  # results never depend on what is remembered
+                self.memo = {}
+                new = wanted
+            self._remember(list(new))
+            get = self.memo.__getitem__
+            for i in open_:
+                tails[i] = b"".join(map(get, islice(segments[i], 1, None)))
+        return [next(rest) if s is None else next(heads) + tail for s, tail in zip(segments, tails)]
 
     def _remember(self, fresh: list[str]) -> None:
         """Encode new segments, joined by a bar that is one id; marked segments, and
