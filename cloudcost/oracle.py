@@ -28,11 +28,7 @@ def _class(col: str) -> str:
 
 
 def _same_month(a: str, b: str) -> str:
-    return f"date_trunc('month', {a}) = date_trunc('month', {b})"
-
-
-def _diff_month(a: str, b: str) -> str:
-    return f"date_trunc('month', {a}) <> date_trunc('month', {b})"
+    return f"date_diff('month', {a}, {b}) = 0"
 
 
 LT = ("CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Usage' "
@@ -230,25 +226,30 @@ FROM (SELECT *, CAST(CAST(value AS DECIMAL(20,8)) * -0.1 AS DECIMAL(20,8)) AS a1
                    ts - INTERVAL 8219 DAY AS ust FROM events))"""
 
 
-def gcp_daily_select(lo: str, hi: str, internal: bool = True) -> str:
-    own, other = ("", "ext_") if internal else ("ext_", "")
-    price, credit = ("1", "1") if internal else ("2", "3")
+# every line under the names of the daily table, before anything is summed
+CTE["gcp_lines"] = """
+SELECT partition_date, usage_start_time::DATE AS usage_date, strptime(invoice_month, '%Y%m')::DATE AS month,
+  billing_account_id, ifnull(project_id, '') AS project_id, ifnull(service_id, '') AS service_code,
+  ifnull(sku_id, '') AS sku_id, ifnull(region, '') AS region, ifnull(cost_type, '') AS cost_type,
+  {'project_name': ifnull(project_name, ''), 'service_name': ifnull(service_description, ''),
+   'sku_description': ifnull(sku_description, ''), 'location': ifnull(location, ''),
+   'currency': ifnull(currency, ''), 'usage_unit': ifnull(usage_unit, '')} AS words,
+  ifnull(usage_amount, 0) AS amount, ifnull(cost, 0) AS price, credit_sum AS credit
+FROM gcp"""
+_GCP_KEY = "usage_date, billing_account_id, project_id, service_code, sku_id, region, cost_type"
+_GCP_WORDS = ("project_name", "service_name", "sku_description", "location", "currency", "usage_unit")
+
+
+def gcp_daily_select(lo: str, hi: str, internal: bool = True, src: str = "gcp_lines") -> str:
+    """One aggregate over the lines of an ingestion window. The external accounts' lines have
+    twice the price and three times the credit, and fill the ``ext_`` columns."""
+    own, other, price, credit = ("", "ext_", 1, 1) if internal else ("ext_", "", 2, 3)
     return f"""
-SELECT CAST(usage_start_time AS DATE) AS usage_date,
-  CAST(MAX(strptime(invoice_month, '%Y%m')) AS DATE) AS billing_month,
-  billing_account_id, COALESCE(project_id, '') AS project_id,
-  COALESCE(MAX(project_name), '') AS project_name,
-  COALESCE(service_id, '') AS service_code, COALESCE(MAX(service_description), '') AS service_name,
-  COALESCE(sku_id, '') AS sku_id, COALESCE(MAX(sku_description), '') AS sku_description,
-  COALESCE(region, '') AS region, COALESCE(MAX(location), '') AS location,
-  COALESCE(MAX(currency), '') AS currency, COALESCE(cost_type, '') AS cost_type,
-  CAST(ROUND(COALESCE(SUM(usage_amount), 0), 8) AS DECIMAL(30,8)) AS usage_amount,
-  COALESCE(MAX(usage_unit), '') AS usage_unit,
-  CAST(ROUND(COALESCE(SUM(cost * {price}), 0), 8) AS DECIMAL(20,8)) AS {own}cost,
-  CAST(ROUND(SUM(credit_sum * {credit}), 8) AS DECIMAL(20,8)) AS {own}credits,
-  CAST(0 AS DECIMAL(20,8)) AS {other}cost, CAST(0 AS DECIMAL(20,8)) AS {other}credits
-FROM gcp WHERE partition_date BETWEEN {lo} AND {hi}
-GROUP BY 1, 3, 4, 6, 8, 10, 13"""
+SELECT {_GCP_KEY}, max(month) AS billing_month, {", ".join(f"max(words.{w}) AS {w}" for w in _GCP_WORDS)},
+  sum(amount)::DECIMAL(30,8) AS usage_amount,
+  sum(price * {price})::DECIMAL(20,8) AS {own}cost, sum(credit * {credit})::DECIMAL(20,8) AS {own}credits,
+  0::DECIMAL(20,8) AS {other}cost, 0::DECIMAL(20,8) AS {other}credits
+FROM {src} WHERE partition_date BETWEEN {lo} AND {hi} GROUP BY ALL"""
 
 
 CTE["gcp_daily"] = gcp_daily_select(WS, WE)
@@ -258,10 +259,10 @@ SELECT gcp_daily.* REPLACE (gcp_e.ext_cost AS ext_cost, gcp_e.ext_credits AS ext
 JOIN gcp_e USING (usage_date, billing_account_id, project_id, service_code, sku_id, region, cost_type)"""
 CTE["gcp_runs"] = gcp_daily_select("DATE '2000-12-01'", "DATE '2001-08-02'")
 # the lines from 15 July on arrive five days late
-CTE["gcp_late"] = gcp_daily_select(WS, AS_OF) \
-    .replace("FROM gcp WHERE", """FROM (SELECT * FROM gcp WHERE partition_date < DATE '2001-07-15'
-      UNION ALL SELECT * REPLACE (partition_date + 5 AS partition_date) FROM gcp WHERE partition_date + 5 >= DATE '2001-07-15') late
-  WHERE""")
+CTE["gcp_late"] = gcp_daily_select(WS, AS_OF, src="(SELECT * FROM gcp_lines WHERE partition_date < DATE '2001-07-15' UNION ALL "
+                                   "SELECT * FROM gcp_moved)")
+CTE["gcp_moved"] = """
+SELECT * REPLACE (partition_date + 5 AS partition_date) FROM gcp_lines WHERE partition_date + 5 >= DATE '2001-07-15'"""
 CTE["gcp_refresh"] = gcp_daily_select("DATE '2001-07-11'", "DATE '2001-07-20'")
 
 # --- Huawei -------------------------------------------------------------------------
@@ -339,8 +340,8 @@ _LINES = {
 
 
 def rollup_select(provider: str, outside: bool, ws: str, we: str) -> str:
-    """Months are compared as numbers; a late row moves to the end of its billing month."""
-    late = "(year(billing_month) * 12 + month(billing_month)) <> (year(day) * 12 + month(day))"
+    """A late row moves to the end of its billing month."""
+    late = f"NOT ({_same_month('billing_month', 'day')})"
     keep = f"{late} AND billing_month >= {ws}" if outside else f"NOT ({late}) AND day BETWEEN {ws} AND {we}"
     return f"""
 SELECT moved AS usage_date, '{provider}' AS cloud_provider, ba AS billing_account_id, ua AS usage_account_id,
@@ -520,9 +521,9 @@ CTE["a14"] = """
 SELECT product_id, organization_id, cloud_provider, CAST(SUM(ad) AS DECIMAL(20,8)) AS cost
 FROM calc_all_prev GROUP BY 1, 2, 3"""
 # taxed lines never count for the payer; a late line counts at the end of its billing month
-CTE["payer_lines"] = """
+CTE["payer_lines"] = f"""
 SELECT a.product_id, a.organization_id, d.usage_date, d.billing_month, ifnull(d.net_unblended_cost, 0) AS net,
-  date_diff('month', d.usage_date, d.billing_month) = 0 AS in_month
+  {_same_month("d.usage_date", "d.billing_month")} AS in_month
 FROM (FROM aws_daily WHERE billing_type <> 'Tax') d JOIN acc_ext a ON a.account_id = d.usage_account_id"""
 CTE["a15"] = f"""
 SELECT product_id, organization_id, usage_date, CAST(SUM(net) AS DECIMAL(20,8)) AS cost
@@ -602,6 +603,13 @@ FROM a14 pc
 LEFT JOIN (SELECT product_id, MAX(invoice_number) AS last_no FROM billings GROUP BY 1) lb ON lb.product_id = pc.product_id
 LEFT JOIN active_pricing ap ON ap.organization_id = pc.organization_id AND ap.cloud_provider = pc.cloud_provider"""
 
+# lines with the entity of their account, null where the dimension does not know it
+CTE["entity_lines"] = """
+SELECT make_date(year::INTEGER, month::INTEGER, 1) AS period, year(make_date(year::INTEGER, 1, 1)) AS y, d,
+  bill_payer_account_id, line_item_usage_account_id, line_item_unblended_cost AS unblended,
+  known.entity AS billing_entity
+FROM cur LEFT JOIN (SELECT account_id, billing_entity AS entity FROM org_accounts) known
+  ON known.account_id = line_item_usage_account_id"""
 # ---------------------------------------------------------------------------------------------
 # Final queries
 # ---------------------------------------------------------------------------------------------
@@ -698,24 +706,20 @@ FINAL: dict[str, str] = {
         CAST(ROUND(SUM(pricing_public_on_demand_cost), 2) AS DECIMAL(22,2)) AS on_demand_cost
         FROM cur WHERE CAST(year AS INTEGER) = 2001 AND CAST(month AS INTEGER) = 7
         GROUP BY 1, 2, 3 ORDER BY total_cost DESC""",
-    "report_unclassified_lines": """SELECT d AS usage_date,
-        COALESCE(line_item_line_item_type, 'UNKNOWN') AS billing_type, COUNT(*) AS rows,
-        CAST(COALESCE(SUM(line_item_unblended_cost), 0) AS DECIMAL(20,8)) AS unblended_cost
-        FROM cur WHERE CAST(year AS INTEGER) = 2001 AND CAST(month AS INTEGER) = 7
-        AND product_servicecode = '' AND d BETWEEN DATE '2001-07-01' AND DATE '2001-07-07'
-        GROUP BY 1, 2 ORDER BY 1""",
-    "report_distinct_entities": """SELECT DISTINCT o.billing_entity
-        FROM cur a LEFT JOIN org_accounts o ON a.line_item_usage_account_id = o.account_id
-        WHERE CAST(a.year AS INTEGER) = 2001 AND CAST(a.month AS INTEGER) = 7""",
-    "report_entity_accounts": f"""SELECT DISTINCT o.billing_entity, a.bill_payer_account_id,
-        a.line_item_usage_account_id
-        FROM cur a LEFT JOIN org_accounts o ON a.line_item_usage_account_id = o.account_id
-        WHERE CAST(a.year AS INTEGER) = 2001 AND CAST(a.month AS INTEGER) = 7 AND o.billing_entity IN ({_ENTS})""",
-    "report_entity_account_list": """SELECT COALESCE(billing_entity, 'UNKNOWN') AS billing_entity,
-        array_to_string(list_sort(list(account_id)), ',') AS account_ids FROM org_accounts GROUP BY billing_entity""",
-    "report_entity_cost": """SELECT o.billing_entity, CAST(SUM(a.line_item_unblended_cost) AS DECIMAL(20,8)) AS total_cost
-        FROM cur a LEFT JOIN org_accounts o ON a.line_item_usage_account_id = o.account_id
-        WHERE a.year = '2001' AND a.d BETWEEN DATE '2001-07-01' AND DATE '2001-07-31' GROUP BY 1""",
+    "report_unclassified_lines": """SELECT d AS usage_date, kind AS billing_type, count(*) AS rows,
+          sum(unblended)::DECIMAL(20,8) AS unblended_cost
+        FROM (SELECT d, ifnull(line_item_line_item_type, 'UNKNOWN') AS kind, ifnull(line_item_unblended_cost, 0) AS unblended
+              FROM cur WHERE len(product_servicecode) = 0 AND (year, month) = ('2001', '7') AND day(d) <= 7
+                AND date_trunc('month', d) = DATE '2001-07-01') empty
+        GROUP BY ALL ORDER BY usage_date""",
+    "report_distinct_entities": "SELECT DISTINCT billing_entity FROM entity_lines WHERE period = DATE '2001-07-01'",
+    "report_entity_accounts": f"""SELECT billing_entity, bill_payer_account_id, line_item_usage_account_id
+        FROM entity_lines WHERE period = DATE '2001-07-01' AND billing_entity IN ({_ENTS}) GROUP BY ALL""",
+    "report_entity_account_list": """SELECT ifnull(entity, 'UNKNOWN') AS billing_entity, accounts AS account_ids FROM (
+        SELECT billing_entity AS entity, string_agg(account_id, ',' ORDER BY account_id) AS accounts
+        FROM org_accounts GROUP BY ALL)""",
+    "report_entity_cost": """SELECT billing_entity, sum(unblended)::DECIMAL(20,8) AS total_cost FROM entity_lines
+        WHERE y = 2001 AND date_trunc('month', d) = DATE '2001-07-01' GROUP BY ALL""",
     "report_account_cost": """SELECT bill_payer_account_id, line_item_usage_account_id,
         CAST(SUM(line_item_unblended_cost) AS DECIMAL(20,8)) AS cost,
         CAST(SUM(line_item_blended_cost) AS DECIMAL(20,8)) AS blended_cost
@@ -738,7 +742,7 @@ FINAL: dict[str, str] = {
         CAST(billing_month + INTERVAL 1 MONTH AS DATE) AS next_billing_month,
         strftime(usage_date, '%Y-%m') AS usage_ym,
         CAST(strptime(strftime(billing_month, '%Y%m'), '%Y%m') AS DATE) AS billing_month_parsed,
-        date_trunc('month', usage_date) = date_trunc('month', billing_month) AS in_month FROM aws_daily""",
+        {same} AS in_month FROM aws_daily""".replace("{same}", _same_month("usage_date", "billing_month")),
     "scalar_struct_array_map": """SELECT CAST(usage_start_time AS DATE) AS usage_date,
         COALESCE(project_id, '') AS project_id, service_description AS service_name, region,
         credit_sum AS credits_total, credits_null AS credits_missing, usage_unit FROM gcp""",
