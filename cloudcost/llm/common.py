@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = PIECE = 1 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,17 +30,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     behind it is cut, and lost executors do not take the rows with them."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")  # nothing reads the shuffles of this write again
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.written_path = path
     return table
 
 
-def forget(df: DataFrame) -> None:
-    """Delete a table of ``written`` once the last table that reads it has been written."""
-    spark = df.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` once the last table that reads them has been written."""
+    for df in tables:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -131,7 +141,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every ``data[start:end]``."""
+    """64-bit hash of every ``data[start:end]``; it depends on the bytes alone. Long data are
+    worked through by the piece in which the ranges start."""
+    if len(data) > 2 * PIECE and len(starts):
+        out = np.empty(len(starts), np.uint64)
+        piece = starts // PIECE
+        for p in np.unique(piece):
+            own = np.flatnonzero(piece == p)
+            a, b = int(p) * PIECE, int(ends[own].max())
+            if b - a > 2 * PIECE:  # a range longer than a piece
+                out[own] = _range_hashes(data[a:b], starts[own] - a, ends[own] - a)
+            else:
+                out[own] = range_hashes(data[a:b], starts[own] - a, ends[own] - a)
+        return out
+    return _range_hashes(data, starts, ends)
+
+
+def _range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _powers(len(data) + 1)
     with np.errstate(over="ignore"):
         run = np.empty(len(data) + 1, np.uint64)

@@ -32,6 +32,7 @@ EMBED, WIDTH, STEP, FILTERS, HIDDEN = 6, 8, 2, 32, 16
 HALF = 128                    # bytes; a chunk is two halves
 WINDOW, SHORT = 512, 160
 PAD = 256
+BLOCK = 4096                  # halves convolved at once
 MAX_DOCS, WINDOWS, EPOCHS, BATCH = 4000, 3, 16, 128
 
 
@@ -77,11 +78,16 @@ def score_texts(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     halves = np.maximum(2, -(-(sizes + WIDTH - STEP) // HALF))
     begin = np.concatenate([[0], np.cumsum(halves)]) * HALF
     codes = np.full(int(begin[-1]) + WIDTH, PAD, np.int16)
-    codes[np.repeat(begin[:-1] - offsets[:-1], sizes) + np.arange(len(data))] = data
-    z = _columns(net, codes)[:int(begin[-1]) // STEP] @ net.conv
+    for at, lo, hi in zip(begin[:-1].tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+        codes[at:at + hi - lo] = data[lo:hi]
     cross = (begin[1:, None] // STEP - np.arange(1, (WIDTH - STEP) // STEP + 1)).ravel()
-    z[cross] = -np.inf                       # these would look into the next text
-    tops = z.reshape(-1, HALF // STEP, FILTERS).max(1)
+    tops = np.empty((int(begin[-1]) // HALF, FILTERS), np.float32)
+    per = HALF // STEP
+    for lo in range(0, len(tops), BLOCK):    # of a long text only the pooled halves are held
+        hi = min(lo + BLOCK, len(tops))
+        z = _columns(net, codes[lo * HALF:hi * HALF + WIDTH])[:(hi - lo) * per] @ net.conv
+        z[cross[(cross >= lo * per) & (cross < hi * per)] - lo * per] = -np.inf  # would look into the next text
+        tops[lo:hi] = z.reshape(-1, per, FILTERS).max(1)
     chunk = np.maximum(tops[:-1], tops[1:])
     first = np.concatenate([[0], np.cumsum(halves)])
     inner = np.ones(len(tops) - 1, bool)
