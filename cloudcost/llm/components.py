@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,8 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
         met = labels.join(near, labels.node == near.a).select("node", "component", "far", "near")
         hooks = met.groupBy(F.col("component").alias("root")).agg(F.min("near").alias("hook"))
         low = F.least("component", "far", "near", "hook")  # least skips nulls
-        labels = _with_far(met.join(hooks, met.node == hooks.root, "left")
-                           .select("node", low.alias("component"), (low < F.col("component")).alias("moved")))
+        old, labels = labels, _with_far(met.join(hooks, met.node == hooks.root, "left").select(
+            "node", low.alias("component"), (low < F.col("component")).alias("moved")))
+        forget(old)
+    forget(both)
     return labels.select("node", "component")
 
 

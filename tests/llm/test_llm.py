@@ -111,21 +111,6 @@ def edit(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("lane_weight", [linededup.LANE_WEIGHT, 50])
-def test_simhash_counts_bits(spark, lane_weight):
-    data = [(0, ["a"]), (1, ["a", "b", "c"]), (2, ["qqqqq"] * 100 + ["rrrrr"] * 99), (3, ["x", "yyyyyyy"]),
-            (4, ["é" * 12, "x" * 30, "yyyyy", "the"]), (5, [str(i) for i in range(500)]), (6, ["w" * 20] * 3276),
-            (7, ["w" * 20] * 3277), (10, ["abcdef", "xy", "qrstuvw", "zz", "mnopqr", "hijkl", "of"]), (8, ["word"] * 32767), (9, ["word"] * 17000 + ["drow"] * 17000 + ["o"])]
-    df = spark.createDataFrame(data, "i int, words array<string>")
-    hashes = {r.i: r.h for r in df.select("i", F.transform("words", lambda x: F.xxhash64(x)).alias("h")).collect()}
-    for r in linededup.with_simhash(df, ["i"], lane_weight=lane_weight).collect():
-        words = dict(data)[r.i]
-        counted = [len(w) >= 5 for w in words]
-        weights = [max(1, min(len(w) - 3, 10)) if c or sum(counted) < 4 else 0 for w, c in zip(words, counted)]
-        want = sum(1 << b for b in range(64) if 2 * sum(k for h, k in zip(hashes[r.i], weights) if (h >> b) & 1) > sum(weights))
-        assert r.sim & (2 ** 64 - 1) == want, r.i
-
-
 def test_lines_against_brute_force(spark):
     rng = random.Random(1)
     words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(300)]
@@ -140,10 +125,7 @@ def test_lines_against_brute_force(spark):
     found = rows(linededup.removed_lines(docs), "doc_id", "line_no")
 
     place = [(i // 5, i % 5) for i in range(len(lines))]
-    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string").select(
-        "i", linededup.line_words(F.col("line")).alias("words"))
-    own = {r.i: r.words for r in df.collect()}
-    sims = {r.i: r.sim for r in linededup.with_simhash(df, ["i"]).collect()}
+    own = ["".join(c if c.isalnum() else " " for c in x.lower()).split() for x in lines]
     root = list(range(len(lines)))
 
     def top(i):
@@ -151,15 +133,17 @@ def test_lines_against_brute_force(spark):
             i = root[i]
         return i
     near = 0
-    for i in range(len(lines)):
-        for j in range(i):
-            a, b = own[i], own[j]
-            if a == b or (bin((sims[i] ^ sims[j]) & (2 ** 64 - 1)).count("1") <= 3
-                          and edit(a, b) <= int(max(len(a), len(b)) * (1 - linededup.SIMILARITY) + 1e-9)):
+    for i, a in enumerate(own):
+        for j, b in enumerate(own[:i]):
+            if edit(a, b) <= int(max(len(a), len(b)) * (1 - linededup.SIMILARITY) + 1e-9):
                 near += a != b
                 root[max(top(i), top(j))] = min(top(i), top(j))
     want = sorted((place[i] for i in range(len(lines)) if top(i) != i), key=str)
     assert near > 10 and found == want
+    dedup = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in linededup.dedup_lines(docs).collect()}
+    for d in {p[0] for p in place}:
+        kept = [lines[i] for i, p in enumerate(place) if p[0] == d and top(i) == i]
+        assert dedup[d] == (5, 5 - len(kept), "\n".join(kept))
 
 
 def test_lines_of_odd_rows(spark):
@@ -220,7 +204,9 @@ def test_substrings_of_odd_rows(spark):
     assert got[(1, size)].n_removed == 0 and got[(2, size)].n_removed == size and got[(2, size)].n_spans == 1
     assert got[(None, size)].n_removed == size and got[(8, size)].n_removed == 0
     assert got[(3, 0)].kept_sha256 == hashlib.sha256(b"").hexdigest() and got[(7, 2)].n_removed == 0
-    assert got[(6, len(LONG * 400) + 3)].kept == b"end"[:0] or got[(6, len(LONG * 400) + 3)].n_spans == 1
+    # the long text is later than both: its runs stand in documents 1 and 2, its end stands nowhere else
+    long = got[(6, len(LONG * 400) + 3)]
+    assert long.kept == b"end" and long.n_spans == 1 and long.n_removed == len(LONG * 400)
     assert substrings.remove_repeats(no_docs(spark)).count() == 0
 
 
@@ -232,9 +218,9 @@ def test_short_items_and_edges(spark):
                                   (4, None), (5, "nothing here"), (5, "w1 w2"), (None, "w1 w2 zz")], "doc_id long, text string")
     items = spark.createDataFrame([("10", " ".join(words[3:20])), ("9", "w1 W2"), ("9", None), (None, "here"), ("8", "")],
                                   "item_id string, text string")
-    got = {(r.doc_id, r.n_words): (r.n_hit, r["items"]) for r in winnow.report(docs, items).collect()}
-    assert got == {(1, 30): (19, ["10", "9"]), (2, 11): (0, []), (3, 2): (2, ["9"]), (4, 0): (0, []),
-                   (5, 2): (2, ["9"]), (None, 3): (2, ["9"])} or got[(5, 2)] in ((1, []), (2, ["9"]))
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in winnow.report(docs, items).collect()), key=str)
+    assert got == sorted([(1, 30, 19, ["10", "9"]), (2, 11, 0, []), (3, 2, 2, ["9"]), (4, 0, 0, []), (5, 2, 0, []),
+                          (5, 2, 2, ["9"]), (None, 3, 2, ["9"])], key=str)
     assert rows(winnow.clean(docs, items).filter("doc_id in (2, 4)"), "doc_id") == [(2,), (4,)]
     assert winnow.report(docs, items.limit(0)).filter("n_hit > 0").count() == 0
     assert winnow.report(no_docs(spark), items).count() == 0
@@ -382,7 +368,7 @@ def test_near_duplicates_of_odd_rows(spark):
     got = jaccard.near_duplicates(odd_docs(spark))
     r = rows(got, "doc_id", "component_id")
     assert (2, 1) in r and (8, 1) in r and (3, 3) in r and (None, None) in r and len(r) == 13
-    assert (6, 6) in r or (6, 1) in r
+    assert (6, 1) in r and (7, 7) in r  # the long text repeats document 1: nearly the same set of shingles
     kept = jaccard.keep_first(odd_docs(spark))
     assert kept.columns == odd_docs(spark).columns and kept.filter("doc_id in (2, 8)").count() == 0
     assert jaccard.near_duplicates(no_docs(spark)).count() == 0
@@ -437,6 +423,30 @@ def brute_nearest(data, pick, k=5):
     return out
 
 
+@pytest.mark.parametrize("kind,n,d", [("few", 4, 64), ("one", 1, 64), ("random", 3000, 768), ("clusters", 6000, 768), ("equal", 900, 64)])
+def test_every_query_finds_five_or_all(spark, kind, n, d):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(n, d))
+    if kind == "clusters":
+        x = rng.normal(size=(n // 10, d))[rng.integers(0, n // 10, n)] + 0.5 * x
+    if kind == "equal":  # a third of all rows on one axis
+        x[: n // 3] = x[0]
+    data = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(4)
+    step = max(1, n // 60)
+    want = brute_nearest(data, lambda i: i % step == 0)
+    found = {}
+    for r in crosspolytope.nearest(df, lambda i: i % step == 0).collect():
+        found.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert set(found) == {q for q in want if want[q]}
+    assert all(sorted(f) == list(range(1, min(5, n - 1) + 1)) for f in found.values())
+    if kind == "equal":
+        assert all(found[q][1] == (1 if q == 0 else 0) for q in found if q < n // 3)
+    elif n > 1:
+        hits = sum(v in {w for w, _ in want[q]} for q, f in found.items() for v in f.values())
+        assert hits / sum(len(w) for w in want.values()) >= 0.9
+
+
 @pytest.mark.parametrize("sf", [MID, "/root/testdata/sf0.1"])
 def test_recall(spark, sf):
     data = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
