@@ -186,10 +186,10 @@ def calibrated(rows: DataFrame, k: int, seed: int) -> tuple[int, int]:
     """Tables and probes for these vectors (see the top). The sample is at most ``SAMPLE``
     rows, chosen by a hash of their ids; ``ASKED`` of them are its queries."""
     some = bounded_sample(rows.select("id", "v"), SAMPLE, ["id"]).collect()
-    x = np.array([r.v for r in some], np.float64).reshape(len(some), -1)
-    axes = 2 << max(1, (x.shape[1] - 1).bit_length())
     if len(some) <= 10 * k:
         return 1, EVERY
+    x = np.array([r.v for r in some], np.float64)
+    axes = 2 << max(1, (x.shape[1] - 1).bit_length())
     x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
     cosine = x[:ASKED] @ x.T
     np.fill_diagonal(cosine, -np.inf)
