@@ -30,6 +30,7 @@ from .common import shuffle_partitions, slices, text_bytes, written
 from .tokens import encoder
 
 PARTITION_BYTES = 24 << 20
+BROADCAST_PARTS = 1 << 18     # 24 bytes each
 
 
 def in_id_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -70,9 +71,11 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
     vocabulary allows, else 4), n, gstart`` with the global offset of every document."""
     rows = written(in_id_order(docs, id_col, text_col).mapInArrow(
         encode_rows(path, end_id), "doc_id long, ids binary, n long, part int, local long"), "ids")
-    # one row of a few bytes a partition: the other side, which holds the ids, stays put
-    return rows.join(F.broadcast(offsets(rows, "part", "n")), "part").select(
-        "doc_id", "ids", "n", (F.col("base") + F.col("local")).alias("gstart"))
+    base = offsets(rows, "part", "n")
+    # one row of a few bytes a partition: while they are few, the ids stay where they are
+    if (rows.agg(F.max("part").alias("p")).first().p or 0) < BROADCAST_PARTS:
+        base = F.broadcast(base)
+    return rows.join(base, "part").select("doc_id", "ids", "n", (F.col("base") + F.col("local")).alias("gstart"))
 
 
 def offsets(rows: DataFrame, part: str, n: str) -> DataFrame:
