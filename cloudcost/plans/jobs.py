@@ -11,6 +11,9 @@ to the overwrite; a re-run is idempotent.
 Huawei pages are read once: a ledger of landed files (``<table>_pages_*``) keeps what was read
 from each as partial sums, and a run opens only files that are new or were landed again.
 
+The daily tables may be given as ``BucketedTable`` instead of paths: their months are merged
+without a shuffle of the table and replaced in one step.
+
 Google usage days arrive over several ingestion days. Their partial sums are kept by
 ingestion day (``<table>_parts_*``): a run replaces the ingestion days of its window there
 and rolls the touched usage days up from all their parts, so a late line changes its whole
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import add_months, first_of_month, previous_month, refresh_window, rollup_window
 from ..operators import daily
+from ..operators.bucketed import BucketedTable
 from ..operators.merge import Batch, append_new, keyed_merge
 from ..session import scratch_path
 from ..sources import cur as cur_src
@@ -132,7 +136,7 @@ def _of_months(existing: DataFrame | None, col: str, months: list[dt.date]) -> D
 
 
 def run_aws_load(spark: SparkSession, cur_path: str, external_tables: list[str], view_tables: list[str],
-                 table_path: str, as_of: dt.date, first_run: bool = False, cleanup: bool = False,
+                 table_path: str | BucketedTable, as_of: dt.date, first_run: bool = False, cleanup: bool = False,
                  v2_paths: Iterable[str] = (), new_tables: Iterable[str] = (),
                  explicit_start: dt.date | None = None) -> list[dt.date]:
     """the internal CUR (v1) and further internal v2 exports, external CUR tables and
@@ -152,6 +156,10 @@ def run_aws_load(spark: SparkSession, cur_path: str, external_tables: list[str],
         for w in sorted({window(n) for n in names}):
             inputs.append(loads.AwsInput(loads.union_tables(spark, [n for n in names if window(n) == w]), kind, w))
     with staging(spark) as stage:
+        if isinstance(table_path, BucketedTable):
+            if cleanup:
+                raise ValueError("the window delete is not built for bucketed tables")
+            return table_path.merge([i.batch() for i in inputs], stage)
         batches = [Batch(stage(b.df), b.update_cols) for b in (i.batch() for i in inputs)]
         months = in_order(m for b in batches for m in values_of(b.df, "billing_month"))
         existing = read_table(spark, table_path)
@@ -195,7 +203,11 @@ def gcp_parts_path(table_path: str, internal: bool) -> str:
     return f"{table_path}_parts_{'internal' if internal else 'external'}"
 
 
-def run_gcp_load(spark: SparkSession, export_path: str, table_path: str, as_of: dt.date,
+def _folder(table: str | BucketedTable) -> str:
+    return table.path if isinstance(table, BucketedTable) else table
+
+
+def run_gcp_load(spark: SparkSession, export_path: str, table_path: str | BucketedTable, as_of: dt.date,
                  first_run: bool = False, external_export_path: str | None = None,
                  explicit_start: dt.date | None = None) -> list[dt.date]:
     """exports partitioned by ingestion date (internal, and external if given) -> parts
@@ -209,10 +221,12 @@ def run_gcp_load(spark: SparkSession, export_path: str, table_path: str, as_of:
                 continue
             lines = spark.read.parquet(path).filter(F.col("partition_date").between(F.lit(ws), F.lit(we)))
             parts, touched = refresh_gcp_parts(
-                lines, gcp_parts_path(table_path, internal), dates, stage)
+                lines, gcp_parts_path(_folder(table_path), internal), dates, stage)
             batches.append(Batch(daily.gcp_daily_from_parts(parts, internal),
                                  daily.GCP_DESCRIPTORS + (daily.GCP_INTERNAL if internal else daily.GCP_EXTERNAL)))
             months |= set(touched)
+        if isinstance(table_path, BucketedTable):
+            return table_path.merge(batches, stage)
         months = in_order(months)
         existing = _of_months(read_gcp_table(spark, table_path), "usage_month", months)
         out = keyed_merge(None if existing is None else existing.drop("usage_month"), batches, daily.GCP_KEYS,
@@ -234,7 +248,7 @@ def read_gcp_table(spark: SparkSession, table_path: str) -> DataFrame | None:
     return None if table is None else table.withColumn("billing_month", F.col("billing_month").cast("date"))
 
 
-def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: str | None, table_path: str,
+def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: str | None, table_path: str | BucketedTable,
                     as_of: dt.date, first_run: bool = False, external_first_run: bool | None = None,
                     explicit_start: dt.date | None = None) -> list[dt.date]:
     """landed JSON pages (internal and external accounts) -> merge into the cycles the
@@ -250,13 +264,16 @@ def run_huawei_load(spark: SparkSession, internal_pages: str, external_pages: st
     with staging(spark) as stage:
         batches, commits = [], []
         for path, internal, fresh in sources:
-            ledger = huawei_ledger(spark, table_path, internal)
+            ledger = huawei_ledger(spark, _folder(table_path), internal)
             rows, run = refresh_huawei_parts(ledger, path, window(fresh), not fresh, internal, stage)
             commits.append((ledger, run))
             if rows is not None:
                 batches.append(Batch(rows, daily.HWC_DESCRIPTORS + (daily.HWC_INTERNAL if internal else daily.HWC_EXTERNAL)))
-        months = in_order(m for b in batches for m in values_of(b.df, "billing_month"))
-        if months:
+        if isinstance(table_path, BucketedTable):
+            months = table_path.merge(batches, stage) if batches else []
+        else:
+            months = in_order(m for b in batches for m in values_of(b.df, "billing_month"))
+        if months and not isinstance(table_path, BucketedTable):
             existing = _of_months(read_table(spark, table_path), "billing_month", months)
             out = keyed_merge(existing, batches, daily.HWC_KEYS, daily.HWC_COLUMNS)
             overwrite_partitions(out, table_path, ["billing_month"])

@@ -235,6 +235,27 @@ def test_bucketed_merges_equal_keyed_merges(spark, tmp_path, seed, monkeypatch):
     assert same(again.read(), want)  # found again by a new session's catalog
 
 
+def test_jobs_into_bucketed_tables_equal_jobs_into_paths(spark, fixture, tmp_path):
+    pages = str(tmp_path / "pages")
+    aws, gcp, hw = (str(tmp_path / x) for x in ("aws", "gcp", "hw"))
+    b_hw = tables.huawei_table(spark, "job_hw", str(tmp_path / "b_hw"), fixture.hw_daily.schema, 3)
+    b_gcp = tables.gcp_table(spark, "job_gcp", str(tmp_path / "b_gcp"), fixture.gcp_daily.schema, 3)
+    b_aws = tables.aws_table(spark, "job_aws", str(tmp_path / "b_aws"), fixture.aws_daily.schema, 3)
+    landed = fx.landed_exports(spark, SF)
+    for first, day in ((True, d(2001, 7, 12)), (False, d(2001, 7, 21))):
+        page(pages, f"{day}.json", (str(day), "2001-07", "x", 1), ("2001-07-02", None, "y", day.day))
+        for table in (hw, b_hw):
+            jobs.run_huawei_load(spark, pages, None, table, day, first_run=first)
+        for table in (gcp, b_gcp):
+            jobs.run_gcp_load(spark, landed["gcp"], table, day, first_run=first)
+        for table in (aws, b_aws):
+            jobs.run_aws_load(spark, landed["cur"], [], [], table, day, first_run=first)
+    for table, path in ((b_hw, hw), (b_gcp, gcp), (b_aws, aws)):
+        assert same(table.read(), jobs.read_table(spark, path).select(*table.columns))
+    with pytest.raises(ValueError):
+        jobs.run_aws_load(spark, landed["cur"], [], [], b_aws, d(2001, 7, 21), cleanup=True)
+
+
 # --- U2, R2 ---------------------------------------------------------------------------------
 
 def test_two_months_amortized_in_one_scan(spark, fixture):
