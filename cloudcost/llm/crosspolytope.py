@@ -16,9 +16,9 @@ Queries that find fewer than ``k`` vectors are scanned for in the same way: none
 less than there is.
 
 Vectors of a bucket travel as blocks of bounded size, in the precision they are stored
-in, and so do the queries that probe it. An axis is dealt out under ``SALTS`` keys, to
-each of which its queries go, so that a hot axis (many equal vectors) is several tasks. A
-task returns at most ``k`` rows a query.
+in, and so do the queries that probe it. A block's rows of a crowded axis (many equal
+vectors) are dealt out under ``SALTS`` keys, to all of which its queries go, so that it is
+several tasks. A task returns at most ``k`` rows a query.
 
 Cases: vectors that are null, empty, zero, of another length than most rows of the
 table have (the smallest such length on ties), or that hold null or non-finite
@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, written
 
 BLOCK = 8192
+CROWDED = BLOCK // 16         # rows of a block on one axis
 SALTS, SLOTS = 4, 64
 SAMPLE, ASKED, RECALL = 4000, 200, 0.96
 MOST_TABLES, MOST_PROBES = 16, 32
@@ -94,14 +95,15 @@ def _hashed(role: str, tables: int, probes: int, seed: int, kind: str):
                 ids, x = _matrix(batch.slice(at, BLOCK))
                 unit = x / np.linalg.norm(x, axis=1, keepdims=True)
                 out = {"t": [], "axis": [], "salt": [], f"{role}_ids": [], f"{role}_vecs": []}
-                salt = ids // SLOTS % SALTS if role == "v" else np.zeros(len(ids), np.int64)
                 for t in range(tables):
                     if probes == EVERY:
                         axes = ids[:, None] % SLOTS if role == "v" else np.tile(np.arange(SLOTS), (len(ids), 1))
                     else:
                         axes = signed_axes(rotate(unit, t, seed), 1 if role == "v" else probes)
                     rows = np.repeat(np.arange(len(ids)), axes.shape[1])
-                    flat = axes.ravel() * SALTS + salt[rows]
+                    flat = axes.ravel().astype(np.int64)
+                    crowded = (np.bincount(flat)[flat] > CROWDED) & (role == "v")
+                    flat = flat * SALTS + np.where(crowded, ids[rows] // SLOTS % SALTS, 0)
                     order = np.argsort(flat, kind="stable")
                     cuts = np.flatnonzero(np.diff(flat[order])) + 1
                     for part in np.split(order, cuts):
