@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LEDGER = "path string, file string, length long, modified timestamp, run int"
+PAGES = "*.{json,json.gz}"  # pages land as they are or compressed
 _REPLACED = "file string, run int, by_run int"
 
 
-def landed_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+def landed_files(spark: SparkSession, path: str, pattern: str = PAGES) -> DataFrame:
     """``path`` (to open it), ``file`` (as ``_metadata.file_path`` names it), ``length``,
     ``modified`` of every landed file; contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
@@ -61,12 +62,12 @@ class PageLedger:
         last = self.ledger().agg(F.max("run").alias("r")).first().r
         return -1 if last is None else last
 
-    def pending(self, path: str, pattern: str = "*.json") -> DataFrame:
+    def pending(self, path: str, pattern: str = PAGES) -> DataFrame:
         """Landed files that no committed run has read as they are now."""
         known = self.ledger().select("file", "length", "modified")
         return landed_files(self.spark, path, pattern).join(known, ["file", "length", "modified"], "left_anti")
 
-    def read_new(self, path: str, parse: Callable[[list[str]], DataFrame], pattern: str = "*.json") -> int | None:
+    def read_new(self, path: str, parse: Callable[[list[str]], DataFrame], pattern: str = PAGES) -> int | None:
         """Read the pending files with ``parse`` (paths -> parts with the columns ``file`` and
         the month) and write their parts; None if there are none. The names of the new files
         pass through the driver, as they do for any scan."""
