@@ -206,6 +206,21 @@ def test_the_target_of_a_bucketed_merge_is_not_shuffled(spark, fixture, tmp_path
     assert sum("Exchange" in x for x in lines) == 1  # the batch
 
 
+def test_rows_to_merge_carry_a_column_once(spark):
+    """Columns that the latest row of a key decides are not shuffled a second time as those of its first row."""
+    schema = "k string, a int, b int"
+    one, two = (spark.createDataFrame(r, schema) for r in ([("x", 1, 1), ("y", 1, 1)], [("x", 2, None), ("z", 2, 2)]))
+    change, where = bucketed.deltas([Batch(one, ["a", "b"])], ["k"], ["k", "a", "b"])
+    assert "first" not in change.columns and where == {"a": "own0", "b": "own0"}
+    change, _ = bucketed.deltas([Batch(one, ["a"]), Batch(two, ["a", "b"])], ["k"], ["k", "a", "b"])
+    assert change.schema["first"].dataType.names == ["b"]
+    out = keyed_merge(one, [Batch(two, ["a", "b"])], ["k"])
+    assert "min_by" not in plan(out)
+    assert sorted(map(tuple, out.collect())) == [("x", 2, None), ("y", 1, 1), ("z", 2, 2)]
+    out = keyed_merge(one, [Batch(two, ["a"]), Batch(one, ["b"])], ["k"])  # b: the first row, then its owner
+    assert sorted(map(tuple, out.collect())) == [("x", 2, 1), ("y", 1, 1), ("z", 2, 2)]
+
+
 def random_batches(spark, seed):
     import random
     rng = random.Random(seed)
