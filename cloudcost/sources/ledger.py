@@ -80,7 +80,9 @@ class PageLedger:
             return None
         self._new = self.spark.createDataFrame([(r.path, r.file, r.length, r.modified) for r in new],
                                                "path string, file string, length long, modified timestamp")
-        parse(self.opened).write.partitionBy(self.month).parquet(f"{self.base}/parts/run={run}")
+        # gathered by month: else every task would write a file into every month
+        parts = parse(self.opened).hint("rebalance", self.month)
+        parts.write.partitionBy(self.month).parquet(f"{self.base}/parts/run={run}")
         old = self.ledger().join(self._new.select("file"), "file", "left_semi").select("file", "run")
         if not old.isEmpty():
             old.write.parquet(f"{self.base}/replaced/by_run={run}")
@@ -108,7 +110,9 @@ class PageLedger:
         return self._table("replaced", _REPLACED).filter(F.col("by_run") <= run).select("file", "run").distinct()
 
     def withdrawn(self, run: int) -> DataFrame | None:
-        """Parts that ``run`` has replaced."""
+        """Parts that ``run`` has replaced; None if there are none."""
+        if not _exists(self.spark, f"{self.base}/replaced/by_run={run}"):
+            return None
         every = self.all_parts(run)
         gone = self._table("replaced", _REPLACED).filter(F.col("by_run") == run).select("file", "run")
         return None if every is None else every.join(gone, ["file", "run"], "left_semi")

@@ -4,6 +4,7 @@ import glob
 import os
 
 from cloudcost import registry as R
+from cloudcost.plans import jobs
 from cloudcost.sources import fixtures as fx
 from cloudcost.sources.files import read_huawei_pages, write_huawei_pages
 from cloudcost.sources.ledger import PageLedger
@@ -50,3 +51,20 @@ def test_pages_land_compressed_and_are_found(spark, tmp_path):
     assert got.exceptAll(records).count() == 0 and got.count() == records.count()
     ledger = PageLedger(spark, str(tmp_path / "ledger"), "bill_month")
     assert ledger.pending(pages).count() == len(glob.glob(f"{pages}/*.json.gz"))
+
+
+def test_page_parts_are_gathered_by_month(spark, tmp_path):
+    pages, table = str(tmp_path / "pages"), str(tmp_path / "table")
+    write_huawei_pages(fx.huawei_records(spark, SF), pages)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows, many tasks
+    try:
+        jobs.run_huawei_load(spark, pages, None, table, R.HISTORY[1], first_run=True, explicit_start=R.HISTORY[0])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ledger = jobs.huawei_ledger(spark, table, True)
+    for months in (glob.glob(f"{ledger.base}/parts/run=0/bill_month=*"), glob.glob(f"{table}/billing_month=*")):
+        assert len(months) > 12 and all(len(glob.glob(f"{m}/*.parquet")) == 1 for m in months)
+    assert ledger.withdrawn(0) is None
+    want = R.daily.huawei_daily_cost(fx.huawei_records(spark, SF), *R.HISTORY)
+    assert jobs.read_table(spark, table).select(want.columns).exceptAll(want).count() == 0
+    assert jobs.read_table(spark, table).count() == want.count()
