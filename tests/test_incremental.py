@@ -221,6 +221,36 @@ def test_rows_to_merge_carry_a_column_once(spark):
     assert sorted(map(tuple, out.collect())) == [("x", 2, 1), ("y", 1, 1), ("z", 2, 2)]
 
 
+def test_a_batch_alone_is_not_regrouped(spark):
+    rows = spark.createDataFrame([("x", 1, None, 1), ("y", None, 2, 1)], "k string, a int, b int, at int")
+    change, where = bucketed.deltas([Batch(rows, ["a"])], ["k"], ["k", "a", "b"])
+    assert "Aggregate" not in plan(change) and "Exchange" not in plan(change)
+    assert where == {"a": "own0"} and change.columns == ["k", "first", "own0", bucketed.KEY]
+    assert sorted((r.k, r.first.b, r.own0.a) for r in change.collect()) == [("x", None, 1), ("y", 2, None)]
+    twice = rows.unionByName(rows.withColumns({"a": F.lit(9), "at": F.lit(2)}))
+    change, _ = bucketed.deltas([Batch(twice, ["a", "b"], "at")], ["k"], ["k", "a", "b"])  # the last of a key counts
+    assert sorted((r.k, r.own0.a, r.own0.b) for r in change.collect()) == [("x", 9, None), ("y", 9, 2)]
+    change, where = bucketed.deltas([Batch(rows, [])], ["k"], ["k", "a"])
+    assert where == {} and sorted((r.k, r.first.a) for r in change.collect()) == [("x", 1), ("y", None)]
+
+
+def test_a_replayed_batch_is_computed_once(spark, fixture):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(a):
+        seen.add(1)
+        return a
+    rows = spark.createDataFrame([(d(2001, 1, 1), "x", 1), (d(2001, 2, 1), "y", 2)], "m date, k string, a int")
+    batch = Batch(rows.withColumn("a", F.udf(count, "int")("a")), ["a"])
+    other = Batch(rows.withColumn("a", F.lit(7)).filter("k = 'x'"), ["a"])
+
+    def make(spark, name, path, schema, buckets):
+        return bucketed.BucketedTable(spark, name, path, ["m", "k"], ["m", "k", "a"], "m", buckets).attach(schema)
+    out = R._bucketed(fixture, make, [[batch], [other], [batch]])
+    assert sorted((r.k, r.a) for r in out.collect()) == [("x", 1), ("y", 2)]
+    assert seen.value == 2
+
+
 def random_batches(spark, seed):
     import random
     rng = random.Random(seed)
