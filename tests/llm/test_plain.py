@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
-from cloudcost.llm import langid, quality, substrings
+from cloudcost.llm import langid, quality, repeats, substrings
 from tests.llm.test_llm import LONG, SMALL, no_docs, odd_docs
 
 TEXTS = [b"", b"a", b"short text, two lines\nof it", LONG.encode() * 3, "é日本語 ok\x00".encode() * 20, b"q" * 256, b"z" * 250, b"%x" * 700]
@@ -100,6 +100,13 @@ def test_long_data_have_the_same_anchors_in_pieces(monkeypatch):
     assert strings_of(substrings.anchors(data, offsets)) == strings_of(substrings._anchors(data, offsets))
 
 
+def test_anchors_are_dealt_evenly():
+    data = np.random.default_rng(9).integers(97, 123, 400_000, dtype=np.uint8)
+    found = np.sort(substrings.anchors(data, np.array([0, len(data)]))[3])
+    counts = np.diff(repeats._ranges(found, 16))
+    assert counts.sum() == len(found) and counts.max() < 1.5 * counts.mean()  # smallest hashes alone: 13 times
+
+
 def test_removed_substrings_of_a_text_in_pieces(spark):
     rng = np.random.default_rng(6)
     shared = bytes(rng.integers(97, 123, 300).astype(np.uint8))
