@@ -56,6 +56,23 @@ def test_no_similar_line_is_missed(spark, similarity):
     assert sorted(r.doc_id for r in got.collect()) == gone  # recall 1 at all lengths
 
 
+def test_long_lines_far_apart_make_no_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(75)]
+    lines = [" ".join(shared + [f"w{rng.randrange(10**6)}" for _ in range(75)]) for _ in range(40)]
+    made, write = {}, linededup.written
+
+    def counted(df, name):
+        out = write(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(linededup, "written", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert linededup.dedup_lines(docs).filter("n_removed > 0").count() == 0
+    assert made["open-lines"][0] >= 39  # all but the smallest meet
+    assert made["near-lines"][1] == 0   # 741 by 64 parities alone
+
+
 def test_short_spaceless_and_wordless_lines(spark):
     chinese = "我们在公园里散步然后一起去吃饭再回家休息"
     lines = ["Menu", "menu!", "Log in", "LOG IN", "log out", "-----", " -----", "=====", "", "", "  ", "  ",
