@@ -23,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffles_freed
+
 _LEDGER = "path string, file string, length long, modified timestamp, run int"
 PAGES = "*.{json,json.gz}"  # pages land as they are or compressed
 _REPLACED = "file string, run int, by_run int"
@@ -82,7 +84,8 @@ class PageLedger:
                                                "path string, file string, length long, modified timestamp")
         # gathered by month: else every task would write a file into every month
         parts = parse(self.opened).hint("rebalance", self.month)
-        parts.write.partitionBy(self.month).parquet(f"{self.base}/parts/run={run}")
+        with shuffles_freed(self.spark):
+            parts.write.partitionBy(self.month).parquet(f"{self.base}/parts/run={run}")
         old = self.ledger().join(self._new.select("file"), "file", "left_semi").select("file", "run")
         if not old.isEmpty():
             old.write.parquet(f"{self.base}/replaced/by_run={run}")

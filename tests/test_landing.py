@@ -1,10 +1,14 @@
 """Exports are landed when a query reads them, from narrow rows, in tasks and files whose size is bounded."""
 
+import datetime as dt
 import glob
 import os
 
+from pyspark.sql import functions as F
+
 from cloudcost import registry as R
 from cloudcost.plans import jobs
+from cloudcost.session import shuffles_freed
 from cloudcost.sources import fixtures as fx
 from cloudcost.sources.files import read_huawei_pages, write_huawei_pages
 from cloudcost.sources.ledger import PageLedger
@@ -68,3 +72,28 @@ def test_page_parts_are_gathered_by_month(spark, tmp_path):
     want = R.daily.huawei_daily_cost(fx.huawei_records(spark, SF), *R.HISTORY)
     assert jobs.read_table(spark, table).select(want.columns).exceptAll(want).count() == 0
     assert jobs.read_table(spark, table).count() == want.count()
+
+
+def _shuffle_files(spark) -> set:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffles(spark, tmp_path):
+    """Shuffles of a landed or staged table go with the write, whoever else writes meanwhile."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = _shuffle_files(spark), spark.conf.get(setting, None)
+    rows = spark.range(2000).select((F.col("id") % 7).alias("k"), F.lit(dt.date(2001, 7, 1)).alias("m"))
+    with jobs.staging(spark) as stage:
+        assert len(stage(rows.groupBy("k", "m").count()).collect()) == 7
+        jobs.overwrite_partitions(rows.repartition(3, "k"), str(tmp_path / "t"), ["m"])
+        jobs.overwrite_partitions(rows.repartition(3, "k"), str(tmp_path / "t"), ["m"])
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(setting, None) == was
+    with shuffles_freed(spark):
+        with shuffles_freed(spark):
+            pass
+        assert spark.conf.get(setting) == "true"
+    assert spark.conf.get(setting, None) == was
+    assert jobs.read_table(spark, str(tmp_path / "t")).count() == 2000
