@@ -56,6 +56,51 @@ def test_no_similar_line_is_missed(spark, similarity):
     assert sorted(r.doc_id for r in got.collect()) == gone  # recall 1 at all lengths
 
 
+def test_lines_around_the_border_of_the_classes(spark, monkeypatch):
+    """Lines with few and with many classes of words link; the order of the runs changes no result."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    lines = []
+    for n in (linededup.LONGER - 25, linededup.LONGER - 1, linededup.LONGER, linededup.LONGER + 20):
+        line = rng.choices(words, k=n)
+        lines.append(line)
+        for cut, changed in ((1, 0), (n // 10, 0), (n // 10, n // 25), (0, n // 7), (0, n // 5)):
+            copy = line[cut:]
+            for at in rng.sample(range(len(copy)), changed):
+                copy[at] = rng.choice(words)
+            lines.append(copy)
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    gone, _ = removed_by_edits(lines, linededup.SIMILARITY)
+    assert 12 <= len(gone) < 20
+    for classes in (linededup._classes, lambda d, q: bytes(linededup.SLOTS_SEEN),
+                    lambda d, q: bytes(rng.randrange(30) for _ in range(linededup.SLOTS_SEEN))):
+        monkeypatch.setattr(linededup, "_classes", classes)
+        got = linededup.dedup_lines(docs).filter("n_removed > 0")
+        assert sorted(r.doc_id for r in got.collect()) == gone
+
+
+def test_classes_of_long_lines_fold(spark):
+    """A line has as many classes as its length needs (each takes a pass over its words); numbers of
+    different parities follow from the fewer classes of two."""
+    hashes = [random.Random(i).getrandbits(63) for i in range(260)]
+    sizes = (20, 100, 199, 205, 260)
+    made = spark.createDataFrame([(n, hashes[:n]) for n in sizes], "n int, hs array<long>").select(
+        "n", linededup._wide(F.col("hs")).alias("wide"))
+    assert {r.n: r.wide and len(r.wide) for r in made.collect()} == {20: None, 100: 4, 199: 4, 205: 16, 260: 16}
+    pairs = made.alias("x").crossJoin(made.alias("y")).select(
+        F.col("x.n").alias("a"), F.col("y.n").alias("b"), linededup._wide_apart("x", "y").alias("apart")).collect()
+
+    def want(a, b):
+        if min(a, b) < linededup.LONG:
+            return 0
+        classes = 1024 if min(a, b) >= linededup.LONGER else 256
+        odd = {}
+        for h in hashes[min(a, b):max(a, b)]:
+            odd[h % classes] = odd.get(h % classes, 0) ^ 1
+        return sum(odd.values())
+    assert {(r.a, r.b): r.apart for r in pairs} == {(a, b): want(a, b) for a in sizes for b in sizes}
+
+
 def test_long_lines_far_apart_make_no_pairs(spark, monkeypatch):
     rng = random.Random(5)
     shared = [f"s{i}" for i in range(75)]
